@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from quillrank.functions.titles import titles_alike
 from quillrank.operators.ranking import top_per_query
 from quillrank.options import RankOptions
-from quillrank.workspace import Saved, Workspace
+from quillrank.workspace import Measured, Workspace
 
 ENTRY = ("doc_id", "doc_key", "title", "score")
 
@@ -45,14 +45,23 @@ def _walk(kept: Column, candidates: Column, options: RankOptions) -> Column:
 
 def _round(selection: DataFrame, titled: DataFrame, options: RankOptions) -> DataFrame:
     """``titled``: at most ``depth`` candidates per query with position and title."""
-    pools = titled.groupBy("query_id").agg(
-        F.array_sort(F.collect_list(F.struct("position", *ENTRY))).alias("pool")
+    candidates = titled.select("query_id", F.struct("position", *ENTRY).alias("candidate"))
+    # Few bytes and much work per query: a fixed number of partitions keeps them from being packed together.
+    tasks = int(selection.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pools = (
+        selection.unionByName(candidates, allowMissingColumns=True)
+        .repartition(tasks, "query_id")
+        .groupBy("query_id")
+        .agg(
+            F.any_value("kept", F.lit(True)).alias("kept"),
+            F.array_sort(F.collect_list("candidate")).alias("pool"),
+        )
     )
-    walked = selection.join(pools, "query_id", "left").select(
+    walked = pools.select(
         "query_id",
-        F.when(F.col("pool").isNull(), F.col("kept")).otherwise(_walk(F.col("kept"), F.col("pool"), options)).alias("kept"),
-        F.coalesce(F.size("pool"), F.lit(0)).alias("seen"),
-        F.element_at("pool", -1).alias("last"),
+        _walk(F.col("kept"), F.col("pool"), options).alias("kept"),
+        F.size("pool").alias("seen"),
+        F.try_element_at("pool", F.lit(-1)).alias("last"),
     )
     return walked.select(
         "query_id",
@@ -78,7 +87,7 @@ def _after_last() -> Column:
     )
 
 
-def _remaining(candidates: DataFrame, state: Saved, options: RankOptions) -> DataFrame:
+def _remaining(candidates: DataFrame, state: Measured, options: RankOptions) -> DataFrame:
     """Candidates of open queries below the last one seen."""
     unfinished = state.frame.where("open").select("query_id", "kept", "last_score", "last_doc_id", "last_doc_key")
     if state.fits(options.broadcast_bytes):
@@ -101,18 +110,18 @@ def extend_selection(
 
     # A selection that already holds something has to be held against all candidates first; an empty one not.
     top = top_per_query(candidates, options.depth)
-    state = workspace.save(_round(selection, _with_titles(top, documents, small), options), "selection", **is_open)
+    state = workspace.save_measured(_round(selection, _with_titles(top, documents, small), options), "selection", **is_open)
     finished = [state.frame.where(~F.col("open"))]
     rest = None
-    while state.measures["n_open"]:
+    while state.observed["n_open"]:
         if rest is None:
             pending = _with_titles(_remaining(candidates, state, options), documents, small=False)
         else:
             pending = _remaining(rest, state, options)
         pending = pending.where(~_alike_any(F.col("kept"), F.col("title"), options)).select("query_id", *ENTRY)
-        rest = workspace.save(pending, "candidates").frame
+        rest = workspace.save(pending, "candidates")
         still = state.frame.where("open").select("query_id", "kept")
-        state = workspace.save(_round(still, top_per_query(rest, options.depth), options), "selection", **is_open)
+        state = workspace.save_measured(_round(still, top_per_query(rest, options.depth), options), "selection", **is_open)
         finished.append(state.frame.where(~F.col("open")))
     return reduce(DataFrame.union, [part.select("query_id", "kept") for part in finished])
 

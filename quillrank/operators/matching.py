@@ -16,7 +16,8 @@ def match_terms(documents: DataFrame, dictionary: DataFrame, options: RankOption
     This is the one pass over the text. All later steps read only these rows. ``doc_key`` tells rows
     apart whose ids are equal; it holds once the rows are written.
     """
-    rows = documents.where(F.col("doc_len") > 0).withColumn("doc_key", F.monotonically_increasing_id())
+    # The key goes first: it keeps the filter from being pushed down, where it would repeat the analysis.
+    rows = documents.withColumn("doc_key", F.monotonically_increasing_id()).where(F.col("doc_len") > 0)
     tokens = F.concat(F.array(F.lit(PRESENT)), F.col("title_tokens"), F.col("body_tokens"))
     keys = ["doc_key", "doc_id", "doc_len", "title"]
     on = ["token"]
@@ -60,6 +61,13 @@ def term_frequencies(hits: DataFrame) -> DataFrame:
     )
 
 
+def term_statistics(hits: DataFrame, stats: DataFrame) -> DataFrame:
+    """``(term, cf, n_docs, avg_len)``: all that scoring needs to know about a term, one row per query term."""
+    return collection_tf(hits).select(
+        "term", "cf", *[stats.select(name).scalar().alias(name) for name in ("n_docs", "avg_len")]
+    )
+
+
 def collection_tf(hits: DataFrame) -> DataFrame:
     """``(term, cf)``: occurrences of each query term in the corpus, summed before the shuffle."""
     return hits.groupBy("term").agg(F.count(F.lit(1)).alias("cf"))

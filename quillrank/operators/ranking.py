@@ -32,7 +32,7 @@ def rank_all(scores: DataFrame, workspace: Workspace) -> DataFrame:
     (query, slice) pairs as queries and slices together, so those counts are broadcast.
     """
     ordered = scores.repartitionByRange(F.col("query_id"), *best_first()).withColumn("slice", F.spark_partition_id())
-    slices = workspace.save(ordered, "slices").frame
+    slices = workspace.save(ordered, "slices")
     earlier = Window.partitionBy("query_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         slices.groupBy("query_id", "slice")

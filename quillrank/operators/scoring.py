@@ -9,36 +9,33 @@ from quillrank.operators.lookup import lookup_join
 from quillrank.options import RankOptions
 
 
-def term_weights(terms: DataFrame, frequencies: DataFrame) -> DataFrame:
-    """``(query_id, term, weight, n_terms, cf)``; ``weight`` is how often the query repeats the term."""
-    repeats = terms.groupBy("query_id", "term").agg(
-        F.count(F.lit(1)).alias("weight"), F.max("n_terms").alias("n_terms")
+def posting_scores(postings: DataFrame, statistics: DataFrame, options: RankOptions, small: bool = True) -> DataFrame:
+    """``(doc_key, doc_id, doc_len, term, tf, cf, term_score)``.
+
+    A term's score in a document is the same for all queries, so it is computed before queries are joined.
+    """
+    score = dph(*[F.col(name) for name in ("tf", "cf", "doc_len", "avg_len", "n_docs")], options.ratio)
+    return lookup_join(postings, statistics, ["term"], small, options.salts, "doc_key").select(
+        "doc_key", "doc_id", "doc_len", "term", "tf", "cf", score.alias("term_score")
     )
-    return repeats.join(frequencies, "term").select("query_id", "term", "weight", "n_terms", "cf")
 
 
-def dph_term_scores(
-    postings: DataFrame, weights: DataFrame, stats: DataFrame, options: RankOptions, small: bool = True
+def query_shares(terms: DataFrame) -> DataFrame:
+    """``(query_id, term, share)``: the part of a query's terms, repeated ones counted, that is ``term``."""
+    return terms.groupBy("query_id", "term").agg((F.count(F.lit(1)) / F.max("n_terms")).alias("share"))
+
+
+def query_term_scores(
+    scored: DataFrame, shares: DataFrame, options: RankOptions, small: bool = True
 ) -> DataFrame:
-    """Score of every query term in every document that holds it."""
-    matched = lookup_join(postings, weights, ["term"], small, options.salts, "doc_key")
-    score = dph(
-        F.col("tf"),
-        F.col("cf"),
-        F.col("doc_len"),
-        stats.select("avg_len").scalar(),
-        stats.select("n_docs").scalar(),
-        options.ratio,
-    )
-    return matched.select(
-        "query_id", "doc_key", "doc_id", "doc_len", "term", "tf", "cf", "weight", "n_terms", score.alias("term_score")
-    )
+    """``scored`` once for every query that holds the term, with ``query_id`` and ``share``."""
+    return lookup_join(scored, shares, ["term"], small, options.salts, "doc_key")
 
 
-def dph_scores(term_scores: DataFrame, options: RankOptions) -> DataFrame:
+def document_scores(term_scores: DataFrame, options: RankOptions) -> DataFrame:
     """``(query_id, doc_key, doc_id, score)``: term scores averaged over all terms of the query, repeated
     and unmatched ones included."""
-    mean = F.sum(F.col("weight") * F.col("term_score")) / F.max("n_terms")
+    mean = F.sum(F.col("share") * F.col("term_score"))
     return term_scores.groupBy("query_id", "doc_key", "doc_id").agg(
         F.round(mean, options.score_digits).alias("score")
     )

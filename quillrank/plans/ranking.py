@@ -9,22 +9,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from quillrank.operators.diversity import extend_selection, no_selection
 from quillrank.operators.documents import analyze_documents
 from quillrank.operators.matching import (
-    collection_tf, corpus_stats, hits, match_terms, matched_documents, term_frequencies,
+    corpus_stats, hits, match_terms, matched_documents, term_frequencies, term_statistics,
 )
-from quillrank.operators.scoring import dph_scores, dph_term_scores, term_weights
+from quillrank.operators.scoring import document_scores, posting_scores, query_shares, query_term_scores
 from quillrank.operators.terms import plain_dictionary, query_terms, stem_vocabulary, stemmed_dictionary
 from quillrank.options import RankOptions
 from quillrank.sources.articles import RANKED_FIELDS, read_articles
 from quillrank.sources.queries import distinct_queries, read_queries
-from quillrank.workspace import Saved, Workspace
+from quillrank.workspace import Measured, Workspace
 
 
 @dataclass(frozen=True)
 class Match:
     """The corpus cut down to what the queries need, on disk."""
 
-    queries: Saved  # query_id, query
-    terms: Saved  # query_id, pos, term, n_terms
+    queries: Measured  # query_id, query
+    terms: Measured  # query_id, pos, term, n_terms
     matches: DataFrame  # see match_terms
     options: RankOptions
 
@@ -40,40 +40,39 @@ class Match:
     def postings(self) -> DataFrame:
         return term_frequencies(self.hits)
 
-    @property
-    def weights(self) -> DataFrame:
-        return term_weights(self.terms.frame, collection_tf(self.hits))
-
     @property
     def stats(self) -> DataFrame:
         return corpus_stats(self.documents)
 
     @property
     def term_scores(self) -> DataFrame:
-        # The weights hold no more rows than the measured query terms, each of five short columns.
-        small = self.terms.nbytes * 2 <= self.options.broadcast_bytes
-        return dph_term_scores(self.postings, self.weights, self.stats, self.options, small)
+        # Neither lookup side has more rows, or wider ones, than the measured query terms.
+        small = self.terms.fits(self.options.broadcast_bytes)
+        scored = posting_scores(self.postings, term_statistics(self.hits, self.stats), self.options, small)
+        return query_term_scores(scored, query_shares(self.terms.frame), self.options, small)
 
     @property
     def scores(self) -> DataFrame:
-        return dph_scores(self.term_scores, self.options)
+        return document_scores(self.term_scores, self.options)
 
 
 def match_corpus(articles: DataFrame, queries: DataFrame, options: RankOptions, workspace: Workspace) -> Match:
     """Analyze queries and articles and write where the query terms occur."""
-    asked = workspace.save(distinct_queries(queries), "queries")
-    terms = workspace.save(query_terms(asked.frame, options), "terms")
+    asked = workspace.save_measured(distinct_queries(queries), "queries")
+    terms = workspace.save_measured(query_terms(asked.frame, options), "terms")
     documents = analyze_documents(articles, options)
     if options.stem:
         # Read twice, for the vocabulary and for the match. The tokens of titles and leading paragraphs
         # are smaller than the articles and need no second parse.
-        documents = workspace.save(documents, "tokens").frame
-        dictionary = stemmed_dictionary(stem_vocabulary(documents, options), terms.frame, options)
+        documents = workspace.save(documents, "tokens")
+        stems = workspace.save_measured(
+            stemmed_dictionary(stem_vocabulary(documents, options), terms.frame, options), "dictionary"
+        )
+        dictionary, small = stems.frame, stems.fits(options.broadcast_bytes)
     else:
-        dictionary = plain_dictionary(terms.frame)
-    dictionary = workspace.save(dictionary, "dictionary")
-    matches = match_terms(documents, dictionary.frame, options, dictionary.fits(options.broadcast_bytes))
-    return Match(asked, terms, workspace.save(matches, "matches").frame, options)
+        dictionary, small = plain_dictionary(terms.frame), terms.fits(options.broadcast_bytes)
+    matches = workspace.save(match_terms(documents, dictionary, options, small), "matches")
+    return Match(asked, terms, matches, options)
 
 
 def _zero_scores(match: Match, scores: DataFrame, short: DataFrame) -> DataFrame:
@@ -108,10 +107,10 @@ def select_distinct(match: Match, workspace: Workspace) -> DataFrame:
 
     done = extend(selection, scores.where(F.col("score") > 0))
     for below in ("zero", "negative"):
-        parts = workspace.save(
+        parts = workspace.save_measured(
             done.withColumn("short", F.size("kept") < options.k), "ranked", n_short=F.count_if("short")
         )
-        if not parts.measures["n_short"]:
+        if not parts.observed["n_short"]:
             return parts.frame.drop("short")
         short = parts.frame.where("short").drop("short")
         if below == "zero":

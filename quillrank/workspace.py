@@ -1,7 +1,7 @@
 """Intermediate tables in the folder all executors share.
 
 Writing a table cuts the lineage: a lost executor costs the tasks it was running, not a new pass over the
-corpus. The table is measured while it is written, so a later join knows whether it may be broadcast.
+corpus. A table that may be broadcast later is measured while it is written.
 """
 
 from __future__ import annotations
@@ -29,13 +29,13 @@ def shared_root(spark: SparkSession) -> str:
 
 
 @dataclass(frozen=True)
-class Saved:
-    """A written table and what was measured while writing it."""
+class Measured:
+    """A written table and what was observed while writing it."""
 
     frame: DataFrame
     rows: int
     nbytes: int
-    measures: dict
+    observed: dict
 
     def fits(self, limit: int) -> bool:
         return self.nbytes <= limit
@@ -51,24 +51,24 @@ class Workspace:
     def folder(self, name: str) -> str:
         return f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
 
-    def save(self, frame: DataFrame, name: str, **measures: Column) -> Saved:
-        """Write ``frame`` as Parquet and return it read back, with row count, byte size and ``measures``."""
+    def save(self, frame: DataFrame, name: str) -> DataFrame:
+        """Write ``frame`` as Parquet and return it read back."""
+        path = self.folder(name)
+        frame.write.parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path)
+
+    def save_measured(self, frame: DataFrame, name: str, **measures: Column) -> Measured:
+        """``save``, with row count, byte size and the aggregates ``measures``, all from the same job."""
         watch = Observation()
-        observed = frame.observe(
+        watched = frame.observe(
             watch,
             F.count(F.lit(1)).alias("rows"),
             F.coalesce(F.sum(_row_bytes(frame.schema)), F.lit(0)).alias("nbytes"),
             *[column.alias(alias) for alias, column in measures.items()],
         )
-        path = self.folder(name)
-        observed.write.parquet(path)
+        saved = self.save(watched, name)
         found = watch.get
-        return Saved(
-            self.spark.read.schema(frame.schema).parquet(path),
-            found["rows"],
-            found["nbytes"],
-            {alias: found[alias] for alias in measures},
-        )
+        return Measured(saved, found["rows"], found["nbytes"], {alias: found[alias] for alias in measures})
 
     def close(self) -> None:
         jvm = self.spark._jvm
