@@ -20,6 +20,7 @@ from quillrank.options import RankOptions
 from quillrank.workspace import Measured, Workspace
 
 ENTRY = ("doc_id", "doc_key", "title", "score")
+TOP_ROW_BYTES = 64  # query_id, doc_key, score and position
 
 
 def no_selection(queries: DataFrame, scores: DataFrame, documents: DataFrame) -> DataFrame:
@@ -71,9 +72,10 @@ def _round(selection: DataFrame, titled: DataFrame, options: RankOptions) -> Dat
     )
 
 
-def _with_titles(rows: DataFrame, documents: DataFrame, small: bool) -> DataFrame:
-    titles = documents.select("doc_key", "title")
-    return titles.join(F.broadcast(rows) if small else rows, "doc_key")
+def _with_titles(rows: DataFrame, documents: DataFrame, small: bool = False) -> DataFrame:
+    """Ids and titles come from ``documents``, so the other side is of fixed width."""
+    rows = rows.drop("doc_id")
+    return documents.select("doc_key", "doc_id", "title").join(F.broadcast(rows) if small else rows, "doc_key")
 
 
 def _after_last() -> Column:
@@ -105,17 +107,16 @@ def extend_selection(
 ) -> DataFrame:
     """Continue ``selection`` with ``candidates`` ``(query_id, doc_key, doc_id, score)``, all of which rank
     below what is already kept. Returns ``(query_id, kept)``."""
-    small = n_queries * options.depth * 128 <= options.broadcast_bytes
+    small = n_queries * options.depth * TOP_ROW_BYTES <= options.broadcast_bytes
     is_open = {"n_open": F.count_if("open")}
 
-    # A selection that already holds something has to be held against all candidates first; an empty one not.
     top = top_per_query(candidates, options.depth)
     state = workspace.save_measured(_round(selection, _with_titles(top, documents, small), options), "selection", **is_open)
     finished = [state.frame.where(~F.col("open"))]
     rest = None
     while state.observed["n_open"]:
         if rest is None:
-            pending = _with_titles(_remaining(candidates, state, options), documents, small=False)
+            pending = _with_titles(_remaining(candidates, state, options), documents)
         else:
             pending = _remaining(rest, state, options)
         pending = pending.where(~_alike_any(F.col("kept"), F.col("title"), options)).select("query_id", *ENTRY)

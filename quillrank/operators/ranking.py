@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from quillrank.options import RankOptions
 from quillrank.workspace import Workspace
 
 BEST_FIRST = (F.desc, "score"), (F.asc, "doc_id"), (F.asc, "doc_key")
@@ -24,12 +25,12 @@ def top_per_query(scores: DataFrame, count: int) -> DataFrame:
     return scores.withColumn("position", F.row_number().over(window)).where(F.col("position") <= count)
 
 
-def rank_all(scores: DataFrame, workspace: Workspace) -> DataFrame:
+def rank_all(scores: DataFrame, options: RankOptions, workspace: Workspace) -> DataFrame:
     """Every row with its ``position`` in its query, without one task per query.
 
     Rows are range-partitioned by query and order, so a large query spreads over many slices. A row's
-    position is its place in its slice plus the rows of earlier slices. There are at most as many
-    (query, slice) pairs as queries and slices together, so those counts are broadcast.
+    position is its place in its slice plus the rows of earlier slices. There are no more (query, slice)
+    pairs than queries and slices together; they are counted before they are broadcast.
     """
     ordered = scores.repartitionByRange(F.col("query_id"), *best_first()).withColumn("slice", F.spark_partition_id())
     slices = workspace.save(ordered, "slices")
@@ -39,9 +40,11 @@ def rank_all(scores: DataFrame, workspace: Workspace) -> DataFrame:
         .count()
         .select("query_id", "slice", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before"))
     )
+    offsets = workspace.save_measured(offsets, "offsets")
+    small = offsets.fits(options.broadcast_bytes)
     within = Window.partitionBy("query_id", "slice").orderBy(*best_first())
     return (
-        slices.join(F.broadcast(offsets), ["query_id", "slice"])
+        slices.join(F.broadcast(offsets.frame) if small else offsets.frame, ["query_id", "slice"])
         .withColumn("position", F.col("before") + F.row_number().over(within))
         .drop("slice", "before")
     )

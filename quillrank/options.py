@@ -25,7 +25,7 @@ class RankOptions:
     # Selection
     k: int = 10
     min_title_distance: float = 0.5
-    depth: int = 100  # candidates looked at per query and round; does not change the result
+    depth: int = 100  # candidates looked at per query and round, at most 1000; does not change the result
 
     # Physical choices; none of them changes the result
     broadcast_bytes: int = 64 << 20  # a lookup side larger than this is joined by shuffle
@@ -36,5 +36,8 @@ class RankOptions:
             raise ValueError(f"ratio must be 'real' or 'integer', not {self.ratio!r}")
         if self.body_passes not in (1, 2):
             raise ValueError("body_passes must be 1 or 2")
-        if self.k < 1 or self.depth < 1 or self.max_paragraphs < 0 or self.salts < 1:
-            raise ValueError("k, depth and salts must be positive, max_paragraphs not negative")
+        if self.k < 1 or self.max_paragraphs < 0 or self.salts < 1:
+            raise ValueError("k and salts must be positive, max_paragraphs not negative")
+        if not 1 <= self.depth <= 1000:
+            # Above that Spark no longer cuts partitions down before the shuffle.
+            raise ValueError("depth must be between 1 and 1000")

@@ -81,12 +81,7 @@ def _zero_scores(match: Match, scores: DataFrame, short: DataFrame) -> DataFrame
     Only queries that cannot fill their ranking with positive scores get here. The rows are made document
     by document and cut to the best per query before they are shuffled.
     """
-    scored = (
-        scores.where(F.col("score") != 0)
-        .join(short.select("query_id"), "query_id", "left_semi")
-        .groupBy("doc_key")
-        .agg(F.collect_set("query_id").alias("scored"))
-    )
+    scored = scores.where(F.col("score") != 0).groupBy("doc_key").agg(F.collect_set("query_id").alias("scored"))
     ids = short.agg(F.collect_list("query_id")).scalar()
     others = F.array_except(ids, F.coalesce(F.col("scored"), F.array().cast("array<bigint>")))
     return match.documents.join(scored, "doc_key", "left").select(
@@ -114,6 +109,8 @@ def select_distinct(match: Match, workspace: Workspace) -> DataFrame:
             return parts.frame.drop("short")
         short = parts.frame.where("short").drop("short")
         if below == "zero":
+            # Both rounds read the scores of these queries.
+            scores = workspace.save(scores.join(short.select("query_id"), "query_id", "left_semi"), "scores")
             candidates = _zero_scores(match, scores, short)
         else:
             candidates = scores.where(F.col("score") < 0).join(short.select("query_id"), "query_id", "left_semi")

@@ -55,15 +55,14 @@ def decode_articles(line: Column, schema: T.StructType = ARTICLE, strict: bool =
 
 def read_with_rejects(spark: SparkSession, path: str, schema: T.StructType = ARTICLE) -> tuple[DataFrame, DataFrame]:
     """Articles, and the raw lines that are no article, as ``(articles, rejects)``."""
-    marked = schema.add(CORRUPT, T.StringType()) if CORRUPT not in schema.names else schema
+    marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     decoded = spark.read.text(path).select(
         "value",
         F.from_json("value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("article"),
     )
     broken = F.col("article").isNull() | F.col(f"article.{CORRUPT}").isNotNull()
-    names = [name for name in schema.names if name != CORRUPT]
     return (
-        decoded.where(~broken).select(*[f"article.{name}" for name in names]),
+        decoded.where(~broken).select(*[f"article.{name}" for name in schema.names]),
         decoded.where(broken).select("value"),
     )
 

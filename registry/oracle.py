@@ -162,7 +162,7 @@ ORACLE: dict[str, str] = {
     "articles_scan": _FLAT_ARTICLE,
     "json_decode": _FLAT_ARTICLE,
     "article_rejects": "SELECT string_split(text, chr(10))[1] AS value FROM documents",
-    "tokenize_text": _text_tokens(_keep(False)),
+    "tokenize": _text_tokens(_keep(False)),
     # RE2 has no back references: four equal characters in a row are spelled out.
     "tokenize_limits": _text_tokens(
         "token <> '' AND length(token) <= 20 AND len(regexp_extract_all(token, '[0-9]')) <= 4 AND NOT regexp_matches(token, '"
@@ -176,18 +176,18 @@ SELECT a.doc_id,
        coalesce(string_agg(token, ' ' ORDER BY pos, idx) FILTER (part = 0), '') AS title_terms,
        coalesce(string_agg(token, ' ' ORDER BY pos, idx) FILTER (part = 1), '') AS body_terms
 FROM articles a LEFT JOIN tokens t ON t.doc_id = a.doc_id GROUP BY a.doc_id""",
-    "first_five_paragraphs": f"WITH {_ARTICLES} SELECT doc_id, pos, subtype, content FROM paragraphs",
+    "first_paragraphs": f"WITH {_ARTICLES} SELECT doc_id, pos, subtype, content FROM paragraphs",
     "analyzed_contents": f"""WITH {_ARTICLES}, {_tokens()}
 SELECT p.doc_id, p.pos, p.content, coalesce(string_agg(token, ' ' ORDER BY idx), '') AS tokens
 FROM paragraphs p LEFT JOIN tokens t ON t.doc_id = p.doc_id AND t.pos = p.pos AND t.part = 1
 GROUP BY p.doc_id, p.pos, p.content""",
     "doc_length": f"WITH {_ARTICLES}, {_tokens()} SELECT doc_id, doc_len FROM docs",
     "non_empty_docs": f"WITH {_ARTICLES}, {_tokens()} SELECT doc_id, title, doc_len FROM docs WHERE doc_len > 0",
-    "corpus_statistics": f"""WITH {_ARTICLES}, {_tokens()}
+    "corpus_stats": f"""WITH {_ARTICLES}, {_tokens()}
 SELECT count(*) AS n_docs, CAST(sum(doc_len) AS BIGINT) AS total_len, round(sum(doc_len) / count(*), 6) AS avg_len
 FROM docs WHERE doc_len > 0""",
     "term_frequencies": f"WITH {_scores()} SELECT doc_id, doc_len, term, tf FROM postings",
-    "collection_term_frequencies": f"WITH {_scores()} SELECT term, cf FROM cfs",
+    "collection_tf": f"WITH {_scores()} SELECT term, cf FROM cfs",
     "doc_query_pairs": f"""WITH {_scores()}
 SELECT query_id, doc_id, doc_len, count(*) AS n_matched, CAST(sum(tf) AS BIGINT) AS total_tf
 FROM term_scores GROUP BY query_id, doc_id, doc_len""",

@@ -13,7 +13,7 @@ from quillrank.operators.diversity import near_duplicate_titles
 from quillrank.operators.documents import analyze_contents, analyze_documents, first_paragraphs, non_empty
 from quillrank.operators.matching import collection_tf, corpus_stats
 from quillrank.operators.ranking import rank_all, top_per_query
-from quillrank.operators.terms import query_terms as terms_of_queries, stem_vocabulary as vocabulary_of
+from quillrank.operators.terms import query_terms, stem_vocabulary
 from quillrank.options import RankOptions
 from quillrank.plans.ranking import Match, match_corpus, rank_matches, select_distinct
 from quillrank.sinks.report import file_name, nested, report_lines
@@ -30,9 +30,12 @@ LIMITS = TokenRules(max_length=20, max_digits=4, max_repeats=3)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
-def query(function):
-    QUERIES[function.__name__] = function
-    return function
+def query(name: str):
+    def register(function):
+        QUERIES[name] = function
+        return function
+
+    return register
 
 
 def match(spark: SparkSession, sf: str, options: RankOptions = PLAIN) -> tuple[Match, Workspace]:
@@ -55,8 +58,8 @@ def joined(tokens) -> F.Column:
 # Sources
 
 
-@query
-def queries_scan(spark, sf):
+@query("queries_scan")
+def _queries_scan(spark, sf):
     path = Workspace(spark).folder("queries")
     sample_queries(spark, sf).select("query").write.text(path)
     return read_queries(spark, path).select("query")
@@ -76,21 +79,21 @@ def _flat_article(article: DataFrame) -> DataFrame:
     )
 
 
-@query
-def articles_scan(spark, sf):
+@query("articles_scan")
+def _articles_scan(spark, sf):
     path = Workspace(spark).folder("articles")
     sample_articles(spark, sf).write.json(path)
     return _flat_article(read_articles(spark, path))
 
 
-@query
-def json_decode(spark, sf):
+@query("json_decode")
+def _json_decode(spark, sf):
     lines = sample_articles(spark, sf).select(F.to_json(F.struct("*")).alias("value"))
     return _flat_article(lines.select(decode_articles(F.col("value")).alias("article")).select("article.*"))
 
 
-@query
-def article_rejects(spark, sf):
+@query("article_rejects")
+def _article_rejects(spark, sf):
     path = Workspace(spark).folder("mixed")
     articles = sample_articles(spark, sf).select(F.to_json(F.struct("*")).alias("value"))
     broken = texts(spark, sf).select(F.split("text", "\n")[0].alias("value"))
@@ -101,39 +104,39 @@ def article_rejects(spark, sf):
 # Text analysis
 
 
-@query
-def tokenize_text(spark, sf):
+@query("tokenize")
+def _tokenize_text(spark, sf):
     tokens = texts(spark, sf).select("doc_id", tokenize(F.col("text")).alias("tokens"))
     return tokens.select("doc_id", F.size("tokens").alias("n_tokens"), joined("tokens").alias("tokens"))
 
 
-@query
-def tokenize_limits(spark, sf):
+@query("tokenize_limits")
+def _tokenize_limits(spark, sf):
     tokens = texts(spark, sf).select("doc_id", tokenize(F.col("text"), LIMITS).alias("tokens"))
     return tokens.select("doc_id", F.size("tokens").alias("n_tokens"), joined("tokens").alias("tokens"))
 
 
-@query
-def stopword_filter(spark, sf):
+@query("stopword_filter")
+def _stopword_filter(spark, sf):
     tokens = texts(spark, sf).select("doc_id", tokenize(F.col("text")).alias("tokens"))
     kept = tokens.select("doc_id", remove_stopwords(F.col("tokens"), PLAIN.stopwords).alias("tokens"))
     return kept.select("doc_id", F.size("tokens").alias("n_tokens"), joined("tokens").alias("tokens"))
 
 
-@query
-def query_terms(spark, sf):
-    return terms_of_queries(sample_queries(spark, sf), PLAIN)
+@query("query_terms")
+def _query_terms(spark, sf):
+    return query_terms(sample_queries(spark, sf), PLAIN)
 
 
-@query
-def analyzed_terms(spark, sf):
+@query("analyzed_terms")
+def _analyzed_terms(spark, sf):
     return analyze_documents(sample_articles(spark, sf), PLAIN).select(
         "doc_id", joined("title_tokens").alias("title_terms"), joined("body_tokens").alias("body_terms")
     )
 
 
-@query
-def first_five_paragraphs(spark, sf):
+@query("first_paragraphs")
+def _first_five_paragraphs(spark, sf):
     chosen = first_paragraphs(F.col("contents"), PLAIN.max_paragraphs)
     return (
         sample_articles(spark, sf)
@@ -142,8 +145,8 @@ def first_five_paragraphs(spark, sf):
     )
 
 
-@query
-def analyzed_contents(spark, sf):
+@query("analyzed_contents")
+def _analyzed_contents(spark, sf):
     return (
         analyze_contents(sample_articles(spark, sf), PLAIN)
         .select(F.col("id").alias("doc_id"), F.posexplode("contents").alias("pos", "item"))
@@ -151,43 +154,43 @@ def analyzed_contents(spark, sf):
     )
 
 
-@query
-def doc_length(spark, sf):
+@query("doc_length")
+def _doc_length(spark, sf):
     return analyze_documents(sample_articles(spark, sf), PLAIN).select("doc_id", "doc_len")
 
 
-@query
-def non_empty_docs(spark, sf):
+@query("non_empty_docs")
+def _non_empty_docs(spark, sf):
     return non_empty(analyze_documents(sample_articles(spark, sf), PLAIN)).select("doc_id", "title", "doc_len")
 
 
-@query
-def stem_vocabulary(spark, sf):
-    return vocabulary_of(analyze_documents(sample_articles(spark, sf), STEMMED), STEMMED)
+@query("stem_vocabulary")
+def _stem_vocabulary(spark, sf):
+    return stem_vocabulary(analyze_documents(sample_articles(spark, sf), STEMMED), STEMMED)
 
 
 # Corpus statistics and matches
 
 
-@query
-def corpus_statistics(spark, sf):
+@query("corpus_stats")
+def _corpus_statistics(spark, sf):
     return corpus_stats(analyze_documents(sample_articles(spark, sf), PLAIN)).withColumn(
         "avg_len", F.round("avg_len", 6)
     )
 
 
-@query
-def term_frequencies(spark, sf):
+@query("term_frequencies")
+def _term_frequencies(spark, sf):
     return match(spark, sf)[0].postings.select("doc_id", "doc_len", "term", "tf")
 
 
-@query
-def collection_term_frequencies(spark, sf):
+@query("collection_tf")
+def _collection_term_frequencies(spark, sf):
     return collection_tf(match(spark, sf)[0].hits)
 
 
-@query
-def doc_query_pairs(spark, sf):
+@query("doc_query_pairs")
+def _doc_query_pairs(spark, sf):
     return (
         match(spark, sf)[0]
         .term_scores.groupBy("query_id", "doc_key", "doc_id", "doc_len")
@@ -199,30 +202,30 @@ def doc_query_pairs(spark, sf):
 # Scores
 
 
-@query
-def dph_term_scores(spark, sf):
+@query("dph_term_scores")
+def _dph_term_scores(spark, sf):
     return match(spark, sf)[0].term_scores.select(
         "query_id", "doc_id", "term", "tf", "cf", F.round("term_score", 6).alias("term_score")
     )
 
 
-@query
-def dph_scores(spark, sf):
+@query("dph_scores")
+def _dph_scores(spark, sf):
     return match(spark, sf)[0].scores.select("query_id", "doc_id", "score")
 
 
-@query
-def dph_scores_integer_ratio(spark, sf):
+@query("dph_scores_integer_ratio")
+def _dph_scores_integer_ratio(spark, sf):
     return match(spark, sf, replace(PLAIN, ratio="integer"))[0].scores.select("query_id", "doc_id", "score")
 
 
 # Rankings
 
 
-@query
-def ranked_all(spark, sf):
+@query("ranked_all")
+def _ranked_all(spark, sf):
     found, workspace = match(spark, sf)
-    return rank_all(found.scores, workspace).select("query_id", "doc_id", "score", F.col("position").cast("int"))
+    return rank_all(found.scores, PLAIN, workspace).select("query_id", "doc_id", "score", F.col("position").cast("int"))
 
 
 def _top10(spark, sf):
@@ -231,71 +234,71 @@ def _top10(spark, sf):
     return found.documents.select("doc_key", "title").join(F.broadcast(top), "doc_key")
 
 
-@query
-def top10_raw(spark, sf):
+@query("top10_raw")
+def _top10_raw(spark, sf):
     return _top10(spark, sf).select("query_id", "position", "doc_id", "score", "title")
 
 
-@query
-def title_distances(spark, sf):
+@query("title_distances")
+def _title_distances(spark, sf):
     lines = texts(spark, sf).select("doc_id", F.split("text", "\n").alias("lines")).where(F.size("lines") > 1)
     a, b = (F.regexp_replace(F.col("lines")[i], "[^ -~]", "?") for i in (0, 1))
     return lines.select("doc_id", F.round(title_distance(a, b), 6).alias("distance"))
 
 
-@query
-def title_pairs(spark, sf):
+@query("title_pairs")
+def _title_pairs(spark, sf):
     return near_duplicate_titles(_top10(spark, sf), PLAIN)
 
 
-@query
-def dedup_titles(spark, sf):
+@query("dedup_titles")
+def _dedup_titles(spark, sf):
     kept = select_distinct(*match(spark, sf))
     return kept.select("query_id", F.posexplode("kept").alias("pos", "entry")).select(
         "query_id", "pos", "entry.doc_id", "entry.title"
     )
 
 
-@query
-def ranked_top10(spark, sf):
+@query("ranked_top10")
+def _ranked_top10(spark, sf):
     return ranked(spark, sf)
 
 
-@query
-def ranked_top10_integer_ratio(spark, sf):
+@query("ranked_top10_integer_ratio")
+def _ranked_top10_integer_ratio(spark, sf):
     return ranked(spark, sf, replace(PLAIN, ratio="integer"))
 
 
-@query
-def ranked_include_unmatched(spark, sf):
+@query("ranked_include_unmatched")
+def _ranked_include_unmatched(spark, sf):
     return ranked(spark, sf, replace(PLAIN, include_unmatched=True))
 
 
-@query
-def ranked_include_unmatched_integer_ratio(spark, sf):
+@query("ranked_include_unmatched_integer_ratio")
+def _ranked_include_unmatched_integer_ratio(spark, sf):
     return ranked(spark, sf, replace(PLAIN, include_unmatched=True, ratio="integer"))
 
 
-@query
-def ranked_without_stopword_list(spark, sf):
+@query("ranked_without_stopword_list")
+def _ranked_without_stopword_list(spark, sf):
     return ranked(spark, sf, replace(PLAIN, stopwords=(), include_unmatched=True, ratio="integer"))
 
 
-@query
-def ranked_top10_stemmed(spark, sf):
+@query("ranked_top10_stemmed")
+def _ranked_top10_stemmed(spark, sf):
     return ranked(spark, sf, STEMMED)
 
 
-@query
-def ranked_top10_body_passes2(spark, sf):
+@query("ranked_top10_body_passes2")
+def _ranked_top10_body_passes2(spark, sf):
     return ranked(spark, sf, replace(STEMMED, body_passes=2))
 
 
 # Output
 
 
-@query
-def ranking_nested(spark, sf):
+@query("ranking_nested")
+def _ranking_nested(spark, sf):
     rows = nested(ranked(spark, sf))
     return rows.select(
         "query_id",
@@ -304,11 +307,11 @@ def ranking_nested(spark, sf):
     )
 
 
-@query
-def ranking_report(spark, sf):
+@query("ranking_report")
+def _ranking_report(spark, sf):
     return report_lines(ranked(spark, sf)).select("query_id", "line_no", "line")
 
 
-@query
-def ranking_file_name(spark, sf):
+@query("ranking_file_name")
+def _ranking_file_name(spark, sf):
     return sample_queries(spark, sf).select("query_id", file_name(F.col("query")).alias("file_name"))
