@@ -43,12 +43,14 @@ def hits(matches: DataFrame) -> DataFrame:
 
 
 def corpus_stats(documents: DataFrame) -> DataFrame:
-    """One row ``(n_docs, total_len, avg_len)`` over non-empty documents."""
-    return (
-        documents.where(F.col("doc_len") > 0)
-        .agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("doc_len").cast("long")).alias("total_len"))
-        .select("n_docs", "total_len", F.try_divide("total_len", "n_docs").alias("avg_len"))
-    )
+    """One row ``(n_docs, total_len, avg_len)`` over non-empty documents.
+
+    Empty documents are not filtered out but not counted: a filter would move below the analysis and
+    repeat it.
+    """
+    return documents.agg(
+        F.count_if(F.col("doc_len") > 0).alias("n_docs"), F.sum(F.col("doc_len").cast("long")).alias("total_len")
+    ).select("n_docs", "total_len", F.try_divide("total_len", "n_docs").alias("avg_len"))
 
 
 def term_frequencies(hits: DataFrame) -> DataFrame:

@@ -32,6 +32,8 @@ def rank_all(scores: DataFrame, options: RankOptions, workspace: Workspace) -> D
     position is its place in its slice plus the rows of earlier slices. There are no more (query, slice)
     pairs than queries and slices together; they are counted before they are broadcast.
     """
+    # Range partitioning reads its input twice, once for the bounds.
+    scores = workspace.save(scores, "scores")
     ordered = scores.repartitionByRange(F.col("query_id"), *best_first()).withColumn("slice", F.spark_partition_id())
     slices = workspace.save(ordered, "slices")
     earlier = Window.partitionBy("query_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)

@@ -7,9 +7,9 @@ paragraphs, spelled in capitals where they hold a comma; other lines have no sub
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from quillrank.sources.articles import CONTENT_ITEM
+from quillrank.sources.articles import ARTICLE, RANKED_FIELDS
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,8 +27,8 @@ def spread(frame: DataFrame, small: int = 256 << 20) -> DataFrame:
     return frame.repartition(spark.sparkContext.defaultParallelism) if size <= small else frame
 
 
-def articles_from_documents(documents: DataFrame) -> DataFrame:
-    """Articles with every field of the article schema; ``id`` keeps its type."""
+def articles_from_documents(documents: DataFrame, schema: T.StructType = ARTICLE) -> DataFrame:
+    """Articles with the fields of ``schema``; ``id`` keeps its type."""
     lines = documents.select("doc_id", "source", F.split("text", "\n").alias("lines"))
     several = F.size("lines") > 1
     # Titles are reduced to ASCII, so that engines that count bytes and engines that count characters
@@ -36,6 +36,8 @@ def articles_from_documents(documents: DataFrame) -> DataFrame:
     title = F.when(several, F.regexp_replace(F.col("lines")[0], "[^ -~]", "?"))
     body = F.when(several, F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(1)))).otherwise(F.col("lines"))
 
+    item_fields = schema["contents"].dataType.elementType.names
+
     def item(line):
         subtype = F.when(line.endswith("."), F.when(line.contains(","), F.lit("PARAGRAPH")).otherwise(F.lit("paragraph")))
         fixed = {
@@ -45,19 +47,20 @@ def articles_from_documents(documents: DataFrame) -> DataFrame:
             "mime": F.lit("text/html"),
         }
         return F.struct(
-            *[fixed.get(name, F.lit(None).cast("string")).alias(name) for name in CONTENT_ITEM.names]
+            *[fixed.get(name, F.lit(None).cast("string")).alias(name) for name in item_fields]
         )
 
-    return lines.select(
-        F.col("doc_id").alias("id"),
-        F.concat(F.lit("https://example.org/"), F.col("doc_id")).alias("article_url"),
-        title.alias("title"),
-        F.lit(None).cast("string").alias("author"),
-        (F.lit(1577836800000) + F.col("doc_id") * 60000).alias("published_date"),
-        F.transform(body, item).alias("contents"),
-        F.lit("article").alias("type"),
-        "source",
-    )
+    fields = {
+        "id": F.col("doc_id"),
+        "article_url": F.concat(F.lit("https://example.org/"), F.col("doc_id")),
+        "title": title,
+        "author": F.lit(None).cast("string"),
+        "published_date": F.lit(1577836800000) + F.col("doc_id") * 60000,
+        "contents": F.transform(body, item),
+        "type": F.lit("article"),
+        "source": F.col("source"),
+    }
+    return lines.select(*[fields[name].alias(name) for name in schema.names])
 
 
 def queries_from_benchmark(benchmark: DataFrame) -> DataFrame:
@@ -67,8 +70,9 @@ def queries_from_benchmark(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def sample_articles(spark: SparkSession, folder: str) -> DataFrame:
-    return articles_from_documents(spread(read_table(spark, folder, "documents").select("doc_id", "source", "text")))
+def sample_articles(spark: SparkSession, folder: str, schema: T.StructType = RANKED_FIELDS) -> DataFrame:
+    documents = read_table(spark, folder, "documents").select("doc_id", "source", "text")
+    return articles_from_documents(spread(documents), schema)
 
 
 def sample_queries(spark: SparkSession, folder: str) -> DataFrame:

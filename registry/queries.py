@@ -17,7 +17,7 @@ from quillrank.operators.terms import query_terms, stem_vocabulary
 from quillrank.options import RankOptions
 from quillrank.plans.ranking import Match, match_corpus, rank_matches, select_distinct
 from quillrank.sinks.report import file_name, nested, report_lines
-from quillrank.sources.articles import decode_articles, read_articles, read_with_rejects
+from quillrank.sources.articles import ARTICLE, decode_articles, read_articles, read_with_rejects
 from quillrank.sources.queries import read_queries
 from quillrank.sources.tables import read_table, sample_articles, sample_queries, spread
 from quillrank.workspace import Workspace
@@ -82,20 +82,20 @@ def _flat_article(article: DataFrame) -> DataFrame:
 @query("articles_scan")
 def _articles_scan(spark, sf):
     path = Workspace(spark).folder("articles")
-    sample_articles(spark, sf).write.json(path)
+    sample_articles(spark, sf, ARTICLE).write.json(path)
     return _flat_article(read_articles(spark, path))
 
 
 @query("json_decode")
 def _json_decode(spark, sf):
-    lines = sample_articles(spark, sf).select(F.to_json(F.struct("*")).alias("value"))
+    lines = sample_articles(spark, sf, ARTICLE).select(F.to_json(F.struct("*")).alias("value"))
     return _flat_article(lines.select(decode_articles(F.col("value")).alias("article")).select("article.*"))
 
 
 @query("article_rejects")
 def _article_rejects(spark, sf):
     path = Workspace(spark).folder("mixed")
-    articles = sample_articles(spark, sf).select(F.to_json(F.struct("*")).alias("value"))
+    articles = sample_articles(spark, sf, ARTICLE).select(F.to_json(F.struct("*")).alias("value"))
     broken = texts(spark, sf).select(F.split("text", "\n")[0].alias("value"))
     articles.union(broken).write.text(path)
     return read_with_rejects(spark, path)[1]
