@@ -2,10 +2,12 @@
 
 Going down a query's ranking, a document is kept if its title is far from the titles of all documents kept
 before it, until k are kept. How far down that leads is not known beforehand: a third of the corpus may
-carry one title. So it goes in rounds. A round takes the ``depth`` best candidates of every open query and
-walks over them inside the row. For queries still short of k, all remaining candidates are then compared
-with the kept titles, in parallel, and those alike drop out. The best of what remains is certain to be
-kept, so k rounds suffice whatever ``depth`` is; nearly always one does.
+carry one title. So it goes in rounds. The first takes the ``depth`` best candidates of every query and
+walks over them inside the row; nearly always that is enough. Queries still short of k go on with a window
+of the next candidates, ten times wider each round. Those alike to a kept title drop out in parallel, each
+on its own, and the walk continues over the best ``depth`` of the others. Every round either keeps a
+document or uses up its window, so the rounds number at most k plus the logarithm of the longest ranking,
+and no task ever holds more than ``depth`` candidates of a query.
 """
 
 from __future__ import annotations
@@ -15,12 +17,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quillrank.functions.titles import titles_alike
-from quillrank.operators.ranking import top_per_query
+from quillrank.operators.ranking import first_per_query, rank_all, top_per_query
 from quillrank.options import RankOptions
 from quillrank.workspace import Measured, Workspace
 
 ENTRY = ("doc_id", "doc_key", "title", "score")
 TOP_ROW_BYTES = 64  # query_id, doc_key, score and position
+UNCOUNTED = 1 << 62  # more candidates than any query has
 
 
 def no_selection(queries: DataFrame, scores: DataFrame, documents: DataFrame) -> DataFrame:
@@ -31,7 +34,12 @@ def no_selection(queries: DataFrame, scores: DataFrame, documents: DataFrame) ->
 
 
 def _alike_any(kept: Column, title: Column, options: RankOptions) -> Column:
-    return F.exists(kept, lambda entry: titles_alike(entry["title"], title, options.min_title_distance))
+    """Whether ``title`` is alike to a kept one. Equal titles are looked for first: that is cheap, and
+    copies are what there is most of."""
+    equal = F.exists(kept, lambda entry: (entry["title"] == title) & (title != ""))
+    return F.when(equal & F.lit(options.min_title_distance > 0), F.lit(True)).otherwise(
+        F.exists(kept, lambda entry: titles_alike(entry["title"], title, options.min_title_distance))
+    )
 
 
 def _walk(kept: Column, candidates: Column, options: RankOptions) -> Column:
@@ -44,57 +52,55 @@ def _walk(kept: Column, candidates: Column, options: RankOptions) -> Column:
     return F.aggregate(candidates, kept, step)
 
 
-def _round(selection: DataFrame, titled: DataFrame, options: RankOptions) -> DataFrame:
-    """``titled``: at most ``depth`` candidates per query with position and title."""
-    candidates = titled.select("query_id", F.struct("position", *ENTRY).alias("candidate"))
+def _round(state: DataFrame, titled: DataFrame, window: int, options: RankOptions) -> DataFrame:
+    """``state``: ``(query_id, kept, decided, total)``, where candidates up to position ``decided`` of
+    ``total`` are settled. ``titled``: per query the first ``depth`` candidates of the next ``window`` that
+    are not settled."""
+    candidates = titled.select(
+        "query_id", F.struct(F.col("position").cast("long").alias("position"), *ENTRY).alias("candidate")
+    )
     # Few bytes and much work per query: a fixed number of partitions keeps them from being packed together.
-    tasks = int(selection.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(state.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pools = (
-        selection.unionByName(candidates, allowMissingColumns=True)
+        state.unionByName(candidates, allowMissingColumns=True)
         .repartition(tasks, "query_id")
         .groupBy("query_id")
         .agg(
-            F.any_value("kept", F.lit(True)).alias("kept"),
+            *[F.any_value(name, F.lit(True)).alias(name) for name in ("kept", "decided", "total")],
             F.array_sort(F.collect_list("candidate")).alias("pool"),
         )
     )
-    walked = pools.select(
+    cut = F.size("pool") == options.depth
+    return pools.select(
         "query_id",
         _walk(F.col("kept"), F.col("pool"), options).alias("kept"),
-        F.size("pool").alias("seen"),
-        F.try_element_at("pool", F.lit(-1)).alias("last"),
-    )
-    return walked.select(
-        "query_id",
-        "kept",
-        ((F.size("kept") < options.k) & (F.col("seen") == options.depth)).alias("open"),
-        *[F.col(f"last.{name}").alias(f"last_{name}") for name in ("score", "doc_id", "doc_key")],
-    )
+        F.when(cut, F.try_element_at("pool", F.lit(-1))["position"])
+        .otherwise(F.least(F.col("decided") + window, F.col("total")))
+        .alias("decided"),
+        "total",
+    ).withColumn("open", (F.size("kept") < options.k) & (F.col("decided") < F.col("total")))
 
 
-def _with_titles(rows: DataFrame, documents: DataFrame, small: bool = False) -> DataFrame:
+def _with_titles(rows: DataFrame, documents: DataFrame, small: bool) -> DataFrame:
     """Ids and titles come from ``documents``, so the other side is of fixed width."""
-    rows = rows.drop("doc_id")
+    rows = rows.select("query_id", "doc_key", "score", "position")
     return documents.select("doc_key", "doc_id", "title").join(F.broadcast(rows) if small else rows, "doc_key")
 
 
-def _after_last() -> Column:
-    score, doc_id, doc_key = (F.col(name) for name in ("score", "doc_id", "doc_key"))
-    return (score < F.col("last_score")) | (
-        (score == F.col("last_score"))
-        & (
-            (doc_id > F.col("last_doc_id"))
-            | ((doc_id == F.col("last_doc_id")) & (doc_key > F.col("last_doc_key")))
-        )
-    )
+def _undecided(ranked: DataFrame, state: Measured, window: int, documents: DataFrame, options: RankOptions) -> DataFrame:
+    """The candidates of the next ``window`` that are not alike to a kept title, the first ``depth`` per query."""
 
+    def of_query(rows: DataFrame, *columns: str) -> DataFrame:
+        unfinished = state.frame.where("open").select("query_id", *columns)
+        return rows.join(F.broadcast(unfinished) if state.fits(options.broadcast_bytes) else unfinished, "query_id")
 
-def _remaining(candidates: DataFrame, state: Measured, options: RankOptions) -> DataFrame:
-    """Candidates of open queries below the last one seen."""
-    unfinished = state.frame.where("open").select("query_id", "kept", "last_score", "last_doc_id", "last_doc_key")
-    if state.fits(options.broadcast_bytes):
-        unfinished = F.broadcast(unfinished)
-    return candidates.join(unfinished, "query_id").where(_after_last())
+    next_ones = of_query(ranked, "decided").where(
+        (F.col("position") > F.col("decided")) & (F.col("position") <= F.col("decided") + window)
+    )
+    small = state.observed["n_open"] * window * TOP_ROW_BYTES <= options.broadcast_bytes
+    titled = of_query(_with_titles(next_ones, documents, small), "kept")
+    others = titled.where(~_alike_any(F.col("kept"), F.col("title"), options))
+    return first_per_query(others, options.depth, [F.asc("position")], "place")
 
 
 def extend_selection(
@@ -107,22 +113,30 @@ def extend_selection(
 ) -> DataFrame:
     """Continue ``selection`` with ``candidates`` ``(query_id, doc_key, doc_id, score)``, all of which rank
     below what is already kept. Returns ``(query_id, kept)``."""
-    small = n_queries * options.depth * TOP_ROW_BYTES <= options.broadcast_bytes
-    is_open = {"n_open": F.count_if("open")}
 
-    top = top_per_query(candidates, options.depth)
-    state = workspace.save_measured(_round(selection, _with_titles(top, documents, small), options), "selection", **is_open)
+    def save(state: DataFrame) -> Measured:
+        return workspace.save_measured(state, "selection", n_open=F.count_if("open"))
+
+    # How many candidates there are is only counted for queries that need more than the first ones.
+    start = selection.select(
+        "query_id", "kept", F.lit(0).cast("long").alias("decided"), F.lit(UNCOUNTED).cast("long").alias("total")
+    )
+    small = n_queries * options.depth * TOP_ROW_BYTES <= options.broadcast_bytes
+    top = _with_titles(top_per_query(candidates, options.depth), documents, small)
+    state = save(_round(start, top, UNCOUNTED, options))
     finished = [state.frame.where(~F.col("open"))]
-    rest = None
+    ranked, window = None, options.depth
     while state.observed["n_open"]:
-        if rest is None:
-            pending = _with_titles(_remaining(candidates, state, options), documents)
-        else:
-            pending = _remaining(rest, state, options)
-        pending = pending.where(~_alike_any(F.col("kept"), F.col("title"), options)).select("query_id", *ENTRY)
-        rest = workspace.save(pending, "candidates")
-        still = state.frame.where("open").select("query_id", "kept")
-        state = workspace.save_measured(_round(still, top_per_query(rest, options.depth), options), "selection", **is_open)
+        unfinished = state.frame.where("open").select("query_id", "kept", "decided", "total")
+        window *= 10
+        if ranked is None:
+            ranked = workspace.save(
+                rank_all(candidates.join(unfinished.select("query_id"), "query_id", "left_semi"), options, workspace),
+                "ranked",
+            )
+            counts = ranked.groupBy("query_id").agg(F.max("position").alias("total"))
+            unfinished = unfinished.drop("total").join(counts, "query_id")
+        state = save(_round(unfinished, _undecided(ranked, state, window, documents, options), window, options))
         finished.append(state.frame.where(~F.col("open")))
     return reduce(DataFrame.union, [part.select("query_id", "kept") for part in finished])
 

@@ -15,14 +15,19 @@ def best_first() -> list:
     return [order(name) for order, name in BEST_FIRST]
 
 
-def top_per_query(scores: DataFrame, count: int) -> DataFrame:
-    """The ``count`` best rows of every query, with their ``position``.
+def first_per_query(rows: DataFrame, count: int, order: list, name: str) -> DataFrame:
+    """The first ``count`` rows of every query, with their place as ``name``.
 
     The comparison with a constant lets Spark cut every partition down to ``count`` rows per query before
     the shuffle, so a query that matches most of the corpus sends no more than the others.
     """
-    window = Window.partitionBy("query_id").orderBy(*best_first())
-    return scores.withColumn("position", F.row_number().over(window)).where(F.col("position") <= count)
+    window = Window.partitionBy("query_id").orderBy(*order)
+    return rows.withColumn(name, F.row_number().over(window)).where(F.col(name) <= count)
+
+
+def top_per_query(scores: DataFrame, count: int) -> DataFrame:
+    """The ``count`` best rows of every query, with their ``position``."""
+    return first_per_query(scores, count, best_first(), "position")
 
 
 def rank_all(scores: DataFrame, options: RankOptions, workspace: Workspace) -> DataFrame:
