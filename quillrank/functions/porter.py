@@ -7,8 +7,10 @@ over running text.
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Column, functions as F, types as T
 
 # Fixed values of the published algorithm: suffix and replacement by step.
 STEP_2 = (
@@ -28,12 +30,16 @@ STEP_4 = (
 )
 
 
+_NOT_VOWELS = re.compile("[^aeiouy]")
+_VOWELS = re.compile("[aeiou]")
+
+
 def _shape(word: str) -> str:
     """One letter per character: v for a vowel, c for a consonant. A y after a consonant is a vowel."""
-    shape = ""
-    for i, letter in enumerate(word):
-        vowel = letter in "aeiou" or (letter == "y" and i > 0 and shape[i - 1] == "c")
-        shape += "v" if vowel else "c"
+    shape = _VOWELS.sub("v", _NOT_VOWELS.sub("c", word))
+    while "y" in shape:
+        at = shape.index("y")
+        shape = shape[:at] + ("v" if shape[:at].endswith("c") else "c") + shape[at + 1 :]
     return shape
 
 
@@ -120,6 +126,14 @@ def porter_stem(word: str) -> str:
     return _tidy(_residual(word))
 
 
+def stem_prefix(word: Column) -> Column:
+    """Equal for a word and its stem, if the stem has two letters or more.
+
+    Every step leaves the first two letters alone, except that a y in second place may become an i.
+    """
+    return F.translate(F.substring(word, 1, 2), "y", "i")
+
+
 @F.pandas_udf(T.StringType())
 def stem(words: pd.Series) -> pd.Series:
     return words.map(porter_stem, na_action="ignore")

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from quillrank.functions.porter import stem
-from quillrank.functions.text import tokenize
+from quillrank.functions.porter import stem, stem_prefix
+from quillrank.functions.text import TOKEN_LETTERS, tokenize
 from quillrank.options import RankOptions
 
 # Every document carries the empty token, which no text yields, and the dictionary maps it to the empty
@@ -24,18 +24,37 @@ def query_terms(queries: DataFrame, options: RankOptions) -> DataFrame:
     return terms.select("query_id", "pos", "term", "n_terms")
 
 
-def stem_vocabulary(documents: DataFrame, options: RankOptions) -> DataFrame:
-    """``(token, stem1, stem2)`` for every distinct token of the corpus.
+def vocabulary(documents: DataFrame) -> DataFrame:
+    """``(token)``: the distinct tokens of the corpus, made distinct before the shuffle as well."""
+    return documents.select(F.explode(F.concat("title_tokens", "body_tokens")).alias("token")).distinct()
+
+
+def stem_vocabulary(tokens: DataFrame, options: RankOptions) -> DataFrame:
+    """``(token, stem1, stem2)`` for every row of ``tokens``.
 
     ``stem2`` is what a second analysis makes of ``stem1``: null where that is a stopword, else its stem.
     Only the vocabulary passes through Python, not the text.
     """
-    tokens = documents.select(F.explode(F.concat("title_tokens", "body_tokens")).alias("token")).distinct()
     stems = tokens.select("token", stem("token").alias("stem1"))
     again = F.when(~F.col("stem1").isin(list(options.stopwords)), F.col("stem1"))
     return stems.select("token", "stem1", stem(again).alias("stem2"))
 
 
+def candidate_tokens(vocabulary: DataFrame, terms: DataFrame) -> DataFrame:
+    """Rows of ``vocabulary`` whose ``token`` may stem to a query term, by its first two letters.
+
+    With few queries most of the vocabulary never reaches Python. Two letters or digits make at most 1,332
+    prefixes, so they are broadcast.
+    """
+    term = F.col("term")
+    longer = F.transform(F.split(F.lit(TOKEN_LETTERS), ""), lambda letter: stem_prefix(F.concat(term, letter)))
+    prefixes = F.when(F.length(term) == 1, F.array_append(longer, stem_prefix(term))).otherwise(
+        F.array(stem_prefix(term))
+    )
+    wanted = terms.select(F.explode(prefixes).alias("prefix")).distinct()
+    return vocabulary.join(F.broadcast(wanted), stem_prefix(F.col("token")) == F.col("prefix"), "left_semi")
+
+
 def plain_dictionary(terms: DataFrame) -> DataFrame:
     """``(token, term)`` where tokens are not stemmed: every query term stands for itself."""
     present = terms.sparkSession.range(1).select(F.lit(PRESENT).alias("term"))

@@ -12,7 +12,9 @@ from quillrank.operators.matching import (
     corpus_stats, hits, match_terms, matched_documents, term_frequencies, term_statistics,
 )
 from quillrank.operators.scoring import document_scores, posting_scores, query_shares, query_term_scores
-from quillrank.operators.terms import plain_dictionary, query_terms, stem_vocabulary, stemmed_dictionary
+from quillrank.operators.terms import (
+    candidate_tokens, plain_dictionary, query_terms, stem_vocabulary, stemmed_dictionary, vocabulary,
+)
 from quillrank.options import RankOptions
 from quillrank.sources.articles import RANKED_FIELDS, read_articles
 from quillrank.sources.queries import distinct_queries, read_queries
@@ -65,8 +67,9 @@ def match_corpus(articles: DataFrame, queries: DataFrame, options: RankOptions,
         # Read twice, for the vocabulary and for the match. The tokens of titles and leading paragraphs
         # are smaller than the articles and need no second parse.
         documents = workspace.save(documents, "tokens")
+        tokens = candidate_tokens(vocabulary(documents), terms.frame)
         stems = workspace.save_measured(
-            stemmed_dictionary(stem_vocabulary(documents, options), terms.frame, options), "dictionary"
+            stemmed_dictionary(stem_vocabulary(tokens, options), terms.frame, options), "dictionary"
         )
         dictionary, small = stems.frame, stems.fits(options.broadcast_bytes)
     else:

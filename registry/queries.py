@@ -13,7 +13,7 @@ from quillrank.operators.diversity import near_duplicate_titles
 from quillrank.operators.documents import analyze_contents, analyze_documents, first_paragraphs, non_empty
 from quillrank.operators.matching import collection_tf, corpus_stats
 from quillrank.operators.ranking import rank_all, top_per_query
-from quillrank.operators.terms import query_terms, stem_vocabulary
+from quillrank.operators.terms import query_terms, stem_vocabulary, vocabulary
 from quillrank.options import RankOptions
 from quillrank.plans.ranking import Match, match_corpus, rank_matches, select_distinct
 from quillrank.sinks.report import file_name, nested, report_lines
@@ -166,7 +166,7 @@ def _non_empty_docs(spark, sf):
 
 @query("stem_vocabulary")
 def _stem_vocabulary(spark, sf):
-    return stem_vocabulary(analyze_documents(sample_articles(spark, sf), STEMMED), STEMMED)
+    return stem_vocabulary(vocabulary(analyze_documents(sample_articles(spark, sf), STEMMED)), STEMMED)
 
 
 # Corpus statistics and matches
