@@ -17,6 +17,7 @@ from quillrank.sinks.report import write_report
 
 
 def main(argv: list[str] | None = None) -> None:
+    # Variables and defaults that existing callers set or rely on.
     parser = argparse.ArgumentParser(prog="quillrank")
     parser.add_argument("--queries", default=os.environ.get("BIGDATA_QUERIES", "data/queries.list"))
     parser.add_argument("--articles", default=os.environ.get("BIGDATA_NEWS"))

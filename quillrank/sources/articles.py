@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+# The field names of the corpus format.
 CONTENT_ITEM = T.StructType(
     [
         T.StructField(name, T.StringType())

@@ -55,15 +55,15 @@ BASE = RankOptions(score_digits=9)
 VARIANTS = {
     "default": BASE,
     "plain": replace(BASE, stem=False),
-    "shallow": replace(BASE, depth=1),
+    "shallow": replace(BASE, depth=1, k=3),
     "shallow 3": replace(BASE, depth=3, stem=False),
     "integer": replace(BASE, ratio="integer", stem=False),
     "unmatched": replace(BASE, include_unmatched=True, stem=False),
-    "unmatched shallow": replace(BASE, include_unmatched=True, depth=2, stem=False),
+    "unmatched shallow": replace(BASE, include_unmatched=True, depth=2, k=4, stem=False),
     "unmatched integer, all words": replace(BASE, include_unmatched=True, ratio="integer", stopwords=(), stem=False, k=20),
     "two passes": replace(BASE, body_passes=2),
     "two passes, shuffled": replace(BASE, body_passes=2, broadcast_bytes=0, salts=3),
-    "shuffled": replace(BASE, broadcast_bytes=0, salts=3, depth=4, stem=False),
+    "shuffled": replace(BASE, broadcast_bytes=0, salts=3, depth=4, k=6, stem=False),
     "strict distance": replace(BASE, min_title_distance=0.9, k=5),
     "k 1": replace(BASE, k=1, depth=1),
 }
