@@ -52,7 +52,7 @@ def _walk(kept: Column, candidates: Column, options: RankOptions) -> Column:
     return F.aggregate(candidates, kept, step)
 
 
-def _round(state: DataFrame, titled: DataFrame, window: int, options: RankOptions) -> DataFrame:
+def _round(state: DataFrame, titled: DataFrame, window: int, options: RankOptions, n_queries: int) -> DataFrame:
     """``state``: ``(query_id, kept, decided, total)``, where candidates up to position ``decided`` of
     ``total`` are settled. ``titled``: per query the first ``depth`` candidates of the next ``window`` that
     are not settled."""
@@ -60,7 +60,7 @@ def _round(state: DataFrame, titled: DataFrame, window: int, options: RankOption
         "query_id", F.struct(F.col("position").cast("long").alias("position"), *ENTRY).alias("candidate")
     )
     # Few bytes and much work per query: a fixed number of partitions keeps them from being packed together.
-    tasks = int(state.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(n_queries, int(state.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     pools = (
         state.unionByName(candidates, allowMissingColumns=True)
         .repartition(tasks, "query_id")
@@ -123,11 +123,12 @@ def extend_selection(
     )
     small = n_queries * options.depth * TOP_ROW_BYTES <= options.broadcast_bytes
     top = _with_titles(top_per_query(candidates, options.depth), documents, small)
-    state = save(_round(start, top, UNCOUNTED, options))
+    state = save(_round(start, top, UNCOUNTED, options, n_queries))
     finished = [state.frame.where(~F.col("open"))]
     ranked, window = None, options.depth
     while state.observed["n_open"]:
         unfinished = state.frame.where("open").select("query_id", "kept", "decided", "total")
+        n_open = state.observed["n_open"]
         window *= 10
         if ranked is None:
             ranked = workspace.save(
@@ -136,7 +137,8 @@ def extend_selection(
             )
             counts = ranked.groupBy("query_id").agg(F.max("position").alias("total"))
             unfinished = unfinished.drop("total").join(counts, "query_id")
-        state = save(_round(unfinished, _undecided(ranked, state, window, documents, options), window, options))
+        others = _undecided(ranked, state, window, documents, options)
+        state = save(_round(unfinished, others, window, options, n_open))
         finished.append(state.frame.where(~F.col("open")))
     return reduce(DataFrame.union, [part.select("query_id", "kept") for part in finished])
 
