@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillrank.llm.decontamination import find_items, n_hit
+from quillrank.llm.mixing import count_words, place, taken_words
+from quillrank.llm.sharding import document_order, sharded
 from quillrank.sources.tables import read_table
+from quillrank.workspace import Workspace
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -29,3 +32,28 @@ def op8_benchmark_decontamination(spark, folder):
         (F.size("spans") > 0).alias("contaminated"),
         "longest",
     )
+
+
+@query
+def op10_hilbert_sharding(spark, folder):
+    documents = read_table(spark, folder, "documents")
+    light = documents.select(*document_order())
+    placed = sharded(light, [F.col(name) for name in light.columns], Workspace(spark))
+    return placed.select(
+        "doc_id",
+        (F.col("text_bytes") + 8).alias("size"),
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "hilbert",
+    )
+
+
+@query
+def op9_source_mixing(spark, folder):
+    workspace = Workspace(spark)
+    documents = read_table(spark, folder, "documents").select("doc_id", "source", count_words(F.col("text")).alias("size"))
+    placed = place(workspace.save(documents, "sizes"), workspace)
+    return taken_words(placed).select("doc_id", "size", "source_size", "target", "taken")
