@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillrank.llm.decontamination import find_items, n_hit
 from quillrank.llm.mixing import count_words, place, taken_words
+from quillrank.llm.quality import THRESHOLD, remainder, scored, train
 from quillrank.llm.sharding import document_order, sharded
 from quillrank.sources.tables import read_table
 from quillrank.workspace import Workspace
@@ -57,3 +58,15 @@ def op9_source_mixing(spark, folder):
     documents = read_table(spark, folder, "documents").select("doc_id", "source", count_words(F.col("text")).alias("size"))
     placed = place(workspace.save(documents, "sizes"), workspace)
     return taken_words(placed).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op4_quality_classifier(spark, folder):
+    documents = read_table(spark, folder, "documents")
+    model = train(documents, read_table(spark, folder, "labels"), Workspace(spark))
+    return scored(documents, model).select(
+        "doc_id",
+        F.coalesce(remainder(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
