@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from quillrank.llm.decontamination import find_items, n_hit
 from quillrank.llm.mixing import count_words, place, taken_words
 from quillrank.llm.quality import THRESHOLD, remainder, scored, train
+from quillrank.llm.secrets import count_kind, listed, log_ratios, scan, with_base_spans
 from quillrank.llm.sharding import document_order, sharded
 from quillrank.sources.tables import read_table
 from quillrank.workspace import Workspace
@@ -70,3 +71,18 @@ def op4_quality_classifier(spark, folder):
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query
+def op3_secret_scans(spark, folder):
+    found = with_base_spans(read_table(spark, folder, "documents"))
+    # Every document has its spans written, so the texts are searched once.
+    found = Workspace(spark).save(found, "spans")
+    scanned = scan(found, log_ratios(found))
+    base = F.col("base")
+    return scanned.select(
+        "doc_id",
+        *[count_kind(base, kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
