@@ -1,3 +1,18 @@
 """The queries of this package in SQL for DuckDB, where SQL can express them."""
 
 LLM_ORACLE: dict[str, str] = {}
+
+_BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((cast('0x' || substr(digest, 1 + 5 * (i // 4)::INT, 5) as INT) >> (15 - 5 * (i % 4)::INT)) & 31), 1)), '')"""
+
+LLM_ORACLE["op5_warc"] = f"""
+with payloads as (select page_id, coalesce(html, '') as payload from pages),
+known as (
+    select page_id, strlen(payload) as payload_bytes, sha1(payload) as digest, max(page_id) over (partition by payload) as response
+    from payloads
+)
+select page_id, payload_bytes, {_BASE32} as payload_digest,
+    case when page_id is not distinct from response then 'response' else 'revisit' end as record_type,
+    case when page_id is distinct from response then response end as refers_to
+from known
+"""

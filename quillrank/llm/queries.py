@@ -11,6 +11,7 @@ from quillrank.llm.mixing import count_words, place, taken_words
 from quillrank.llm.quality import THRESHOLD, remainder, scored, train
 from quillrank.llm.secrets import count_kind, listed, log_ratios, scan, with_base_spans
 from quillrank.llm.sharding import document_order, sharded
+from quillrank.llm.warc import read_records, write_archives
 from quillrank.sources.tables import read_table
 from quillrank.workspace import Workspace
 
@@ -86,3 +87,12 @@ def op3_secret_scans(spark, folder):
         F.sha2(listed(base), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op5_warc(spark, folder):
+    workspace = Workspace(spark)
+    path = workspace.folder("warc")
+    index = write_archives(read_table(spark, folder, "pages"), path, workspace)
+    records = read_records(index, path, payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
