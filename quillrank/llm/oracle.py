@@ -16,3 +16,22 @@ select page_id, payload_bytes, {_BASE32} as payload_digest,
     case when page_id is distinct from response then response end as refers_to
 from known
 """
+
+_SUM = "list_reduce({}, lambda a, b: a + b)"
+_DOT = _SUM.format("list_transform(list_zip({0}, {1}), lambda p: p[1] * p[2])")
+LLM_ORACLE["op6_nearest_neighbours"] = f"""
+with usable as (
+    select distinct vec_id, embedding::DOUBLE[] as v from embeddings
+    where vec_id is not null and embedding is not null and len(embedding) > 0
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        and len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+queries as (select vec_id, min(v) as v from usable where vec_id % 50 = 0 group by vec_id),
+scored as (
+    select q.vec_id as query_id, c.vec_id,
+        max({_DOT.format('q.v', 'c.v')} / (sqrt({_DOT.format('q.v', 'q.v')}) * sqrt({_DOT.format('c.v', 'c.v')}))) as score
+    from queries q join usable c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) group by 1, 2
+),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::INT as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillrank.llm.decontamination import find_items, n_hit
 from quillrank.llm.mixing import count_words, place, taken_words
+from quillrank.llm.neighbours import nearest
 from quillrank.llm.quality import THRESHOLD, remainder, scored, train
 from quillrank.llm.secrets import count_kind, listed, log_ratios, scan, with_base_spans
 from quillrank.llm.sharding import document_order, sharded
@@ -96,3 +97,8 @@ def op5_warc(spark, folder):
     index = write_archives(read_table(spark, folder, "pages"), path, workspace)
     records = read_records(index, path, payloads=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op6_nearest_neighbours(spark, folder):
+    return nearest(read_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
