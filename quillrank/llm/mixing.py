@@ -126,7 +126,9 @@ def slots(sources: DataFrame) -> DataFrame:
         "*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(CHUNK).cast("long"))).alias("chunk")
     )
     i = F.explode(F.sequence(F.col("chunk"), F.least(F.col("chunk") + CHUNK, F.col("slots")) - 1)).alias("i")
-    rows = chunks.repartition("source_no", "chunk").select("*", i)
+    # A row grows by CHUNK, so tasks must not be merged by the size of what they read.
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = chunks.repartition(tasks, "source_no", "chunk").select("*", i)
     rest = F.col("target") - F.col("i") * F.col("length")
     place = shuffled(F.col("slots_before") + F.col("i"), F.col("all_slots"), F.lit(-1), invert=True)
     return rows.select(
@@ -159,7 +161,8 @@ def pieces(placed: Placed) -> DataFrame:
 
 def taken_pieces(placed: Placed) -> DataFrame:
     """``pieces`` joined with the slots that take them; ``high`` is cut where a slot is trimmed."""
-    joined = pieces(placed).join(slots(placed.sources), ["source_no", "block"])
+    # Both sides grow with the words, whatever their input looks like to the planner.
+    joined = pieces(placed).join(slots(placed.sources).hint("merge"), ["source_no", "block"])
     return joined.withColumn("high", F.least("high", "words")).where(F.col("low") < F.col("high"))
 
 
