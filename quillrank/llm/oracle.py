@@ -35,3 +35,24 @@ scored as (
 ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::INT as rank from scored)
 select query_id, rank, vec_id, score from ranked where rank <= 5
 """
+
+LLM_ORACLE["op1_ngram_jaccard_join"] = r"""
+with recursive words as (
+    select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w from documents
+),
+shingles as (
+    select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+        else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end as s from words
+),
+rows_ as (select doc_id, unnest(s) as g from shingles),
+pairs as (
+    select a.doc_id as a, b.doc_id as b, count(*) as both_ from rows_ a join rows_ b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2
+),
+links as (
+    select p.a, p.b from pairs p join shingles x on x.doc_id = p.a join shingles y on y.doc_id = p.b
+    where 100 * both_ >= 80 * (len(x.s) + len(y.s) - both_)
+),
+reach as (select doc_id as a, doc_id as b from documents union select r.a, l.b from reach r join links l on r.b = l.a)
+select s.doc_id, len(s.s) as n_shingles, min(r.b) as component_id from shingles s join reach r on r.a = s.doc_id group by all
+"""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from quillrank.llm.decontamination import find_items, n_hit
 from quillrank.llm.mixing import count_words, place, taken_words
 from quillrank.llm.neighbours import nearest
+from quillrank.llm.ngram_join import near_duplicates
 from quillrank.llm.quality import THRESHOLD, remainder, scored, train
 from quillrank.llm.secrets import count_kind, listed, log_ratios, scan, with_base_spans
 from quillrank.llm.sharding import document_order, sharded
@@ -102,3 +103,8 @@ def op5_warc(spark, folder):
 @query
 def op6_nearest_neighbours(spark, folder):
     return nearest(read_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op1_ngram_jaccard_join(spark, folder):
+    return near_duplicates(read_table(spark, folder, "documents"), Workspace(spark))
