@@ -96,7 +96,7 @@ def _describe(share: float):
             grams, first = shingle_sets(batch.column("text"))
             counter.add(grams)
             rows = len(first) - 1
-            yield _batch(
+            yield batch_of(
                 doc_id=batch.column("doc_id"),
                 n=pa.array(np.diff(first), pa.int64()),
                 name=pa.array(set_names(grams, first).view(np.int64)),
@@ -105,7 +105,7 @@ def _describe(share: float):
             )
         counter.settle()
         often = counter.counts >= max(2, share * counter.total)
-        yield _batch(
+        yield batch_of(
             doc_id=pa.nulls(1, pa.int64()),
             n=pa.nulls(1, pa.int64()),
             name=pa.nulls(1, pa.int64()),
@@ -116,7 +116,7 @@ def _describe(share: float):
     return run
 
 
-def _batch(**columns: pa.Array) -> pa.RecordBatch:
+def batch_of(**columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
@@ -142,7 +142,7 @@ class Order:
         return np.where(self.ranks(grams) > 0, FRAGMENTS, cell)
 
 
-class _Unseen:
+class Unseen:
     """Which sets a task meets for the first time; beyond a number of them it may say so again."""
 
     def __init__(self):
@@ -162,7 +162,7 @@ def _prefixes(order: Order):
     """``(gram, name, n, is_frequent)`` for the first n-grams of each set, in the global order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unseen = _Unseen()
+        unseen = Unseen()
         for batch in slices(batches):
             grams, first = shingle_sets(batch.column("text"))
             sizes, names = np.diff(first), set_names(grams, first)
@@ -174,7 +174,7 @@ def _prefixes(order: Order):
             keep = np.arange(len(grams)) - first[owners] < prefix_length(sizes)[owners]
             keep &= unseen(names)[owners]
             own = owners[keep]
-            yield _batch(
+            yield batch_of(
                 gram=pa.array(grams[keep].view(np.int64)),
                 name=pa.array(names[own].view(np.int64)),
                 n=pa.array(sizes[own], pa.int32()),
@@ -212,7 +212,7 @@ def _segments(order: Order, wanted: np.ndarray):
     """``(name, fragment, grams)`` of the sets that may be ``wanted``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unseen = _Unseen()
+        unseen = Unseen()
         for batch in slices(batches):
             grams, first = shingle_sets(batch.column("text"))
             names = set_names(grams, first)
@@ -226,7 +226,7 @@ def _segments(order: Order, wanted: np.ndarray):
             grams, key = grams[by_fragment], (owners * (FRAGMENTS + 1) + fragments)[by_fragment]
             keys, start = np.unique(key, return_index=True)
             lists = pa.ListArray.from_arrays(pa.array(np.append(start, len(grams)), pa.int32()), pa.array(grams.view(np.int64)))
-            yield _batch(
+            yield batch_of(
                 name=pa.array(names[keys // (FRAGMENTS + 1)].view(np.int64)),
                 fragment=pa.array(keys % (FRAGMENTS + 1), pa.int32()),
                 grams=lists,
@@ -266,7 +266,8 @@ def near_duplicates(documents: DataFrame, workspace: Workspace, frequent: float
     schema = "doc_id long, n long, name long, grams array<long>, counts array<long>"
     described = workspace.save(documents.mapInArrow(_describe(frequent), schema), "sets")
     sets = described.where(F.col("n").isNotNull()).select("doc_id", "n", "name")
-    order = _global_order(described, frequent)
+    total = described.agg(F.sum("n")).first()[0] or 0
+    order = frequent_rows(described, frequent * total)
 
     lists = _shared_prefixes(documents, order, workspace)
     first_links = _links(documents, _star_pairs(lists), order, workspace, "star")
@@ -276,12 +277,14 @@ def near_duplicates(documents: DataFrame, workspace: Workspace, frequent: float
     return _labelled(sets, workspace.save(components(joined, workspace), "components"))
 
 
-def _global_order(described: DataFrame, frequent: float) -> Order:
-    total = described.agg(F.sum("n")).first()[0] or 0
-    pairs = described.where(F.col("grams").isNotNull()).select(F.explode(F.arrays_zip("grams", "counts")).alias("g"))
+def frequent_rows(described: DataFrame, least: float) -> Order:
+    """The order from what tasks counted (``grams``, ``counts``): ``least`` is the count from which one is frequent.
+
+    As a share of all it bounds the number of rows, however large the corpus.
+    """
+    pairs = described.where(F.col("counts").isNotNull()).select(F.explode(F.arrays_zip("grams", "counts")).alias("g"))
     counted = pairs.groupBy(F.col("g.grams").alias("gram")).agg(F.sum("g.counts").alias("n"))
-    # Each has that share of all, so there are at most 1 / frequent rows.
-    rows = counted.where(F.col("n") >= max(2, frequent * total)).toArrow()
+    rows = counted.where(F.col("n") >= max(2, least)).toArrow()
     return Order(rows.column("gram").to_numpy().view(np.uint64), rows.column("n").to_numpy())
 
 

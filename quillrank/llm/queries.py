@@ -13,6 +13,7 @@ from quillrank.llm.ngram_join import near_duplicates
 from quillrank.llm.quality import THRESHOLD, remainder, scored, train
 from quillrank.llm.secrets import count_kind, listed, log_ratios, scan, with_base_spans
 from quillrank.llm.sharding import document_order, sharded
+from quillrank.llm.substring_dedup import repeats
 from quillrank.llm.warc import read_records, write_archives
 from quillrank.sources.tables import read_table
 from quillrank.workspace import Workspace
@@ -108,3 +109,8 @@ def op6_nearest_neighbours(spark, folder):
 @query
 def op1_ngram_jaccard_join(spark, folder):
     return near_duplicates(read_table(spark, folder, "documents"), Workspace(spark))
+
+
+@query
+def op7_substring_dedup(spark, folder):
+    return repeats(read_table(spark, folder, "documents"), Workspace(spark))
