@@ -10,7 +10,7 @@ count once; items with a null id are matched and hit words, but are not listed;
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -187,16 +187,21 @@ def _automata(items: DataFrame, window: int, block_bytes: int) -> Iterator[Autom
         yield Automaton(list(zip(found.column("item").to_pylist(), texts)), window)
 
 
-def find_items(documents: DataFrame, items: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``(doc_id, text, n_words, spans, longest, item_ids)`` per row of ``documents``.
+def find_items(
+    documents: DataFrame,
+    items: DataFrame,
+    keep: Sequence[str] = ("doc_id", "text"),
+    window: int = WINDOW,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """``(n_words, spans, longest, item_ids)`` beside the columns ``keep`` per row of ``documents``; ``text`` is one of them.
 
     ``spans`` are the runs of words that lie in an occurrence of a window, as ``[start, end)`` in words; a window
     is ``window`` consecutive words of an item, or a whole shorter item. ``longest`` is the longest match in words
     at any window, ``item_ids`` the items with occurring windows, sorted as strings.
     """
     frame = documents.select(
-        "doc_id",
-        "text",
+        *keep,
         F.lit(0).cast("long").alias("n_words"),
         F.array().cast(T.ArrayType(SPAN)).alias("spans"),
         F.lit(0).cast("long").alias("longest"),
@@ -221,7 +226,7 @@ def _pass(automaton: Automaton):
                 longest[text] = max(longest[text], *(hit[2] for hit in found))
                 names = {name for hit in found for name in hit[3]} - {None}
                 items[text] = sorted({*items[text], *names})
-            columns = [batch.column("doc_id"), batch.column("text"), pa.array(words.counts, pa.int64())]
+            columns = batch.columns[:-4] + [pa.array(words.counts, pa.int64())]
             columns += [pa.array(x, batch.schema.field(c).type) for c, x in (("spans", spans), ("longest", longest), ("item_ids", items))]
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
@@ -234,13 +239,15 @@ def n_hit() -> Column:
 
 
 def decontaminated(found: DataFrame, min_words: int = 1, max_coverage: float = 0.5) -> DataFrame:
-    """``(doc_id, text)`` without contamination, from ``find_items``.
+    """The rows of ``find_items`` without contamination, with the columns that were kept there.
 
     Documents of whose words more than ``max_coverage`` are hit are removed; with 0.0 every hit removes. From the
-    others, spans of at least ``min_words`` words are cut out, with what separates them from the next word.
+    others, spans of at least ``min_words`` words are cut out of ``text``, with what separates them from the next word.
     """
-    kept = found.where(~(n_hit() > F.col("n_words") * F.lit(max_coverage))).select("doc_id", "text", "spans")
-    schema = kept.select("doc_id", "text").schema
+    found = found.where(~(n_hit() > F.col("n_words") * F.lit(max_coverage)))
+    columns = [name for name in found.columns if name not in ("n_words", "spans", "longest", "item_ids")]
+    if max_coverage <= 0:
+        return found.select(*columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -250,10 +257,10 @@ def decontaminated(found: DataFrame, min_words: int = 1, max_coverage: float = 0
                 long = [span for span in spans if span["end"] - span["start"] >= min_words]
                 if long:
                     texts[i] = _without(words, i, long).decode()
-            columns = [batch.column("doc_id"), pa.array(texts, batch.schema.field("text").type)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text"])
+            new = {"text": pa.array(texts, batch.schema.field("text").type)}
+            yield pa.RecordBatch.from_arrays([new.get(name, batch.column(name)) for name in columns], names=columns)
 
-    return kept.mapInArrow(run, schema)
+    return found.select(*columns, "spans").mapInArrow(run, found.select(*columns).schema)
 
 
 def _without(words: Words, text: int, spans: list[dict]) -> bytes:

@@ -141,17 +141,18 @@ def slots(sources: DataFrame) -> DataFrame:
 
 
 def pieces(placed: Placed) -> DataFrame:
-    """The documents' columns with ``block``, ``low`` and ``high``: which words of the block are theirs.
+    """``(source_no, start, block, low, high, length)``: which words of a block are those of the document at ``start``.
 
     A document has one row per block it reaches into.
     """
     lengths = placed.sources.select("source_no", "length")
-    spread = placed.documents.where(F.col("size") > 0).join(lengths, "source_no")
+    spread = placed.documents.where(F.col("size") > 0).select("source_no", "start", "size").join(lengths, "source_no")
     first, last = F.floor(F.col("start") / F.col("length")), F.floor((F.col("start") + F.col("size") - 1) / F.col("length"))
     cut = spread.withColumn("block", F.explode(F.sequence(first, last)))
     begin = F.col("block") * F.col("length")
     return cut.select(
-        *placed.documents.columns,
+        "source_no",
+        "start",
         "block",
         F.greatest(F.col("start") - begin, F.lit(0)).alias("low"),
         F.least(F.col("start") + F.col("size") - begin, F.col("length")).alias("high"),

@@ -339,6 +339,9 @@ def _labelled(sets: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def representatives(documents: DataFrame, found: DataFrame) -> DataFrame:
-    """The rows of ``documents`` whose id is the smallest of its component, with all their columns."""
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
-    return documents.join(kept, documents["doc_id"] == F.col("_kept"), "left_semi")
+    """One row of ``documents`` per component of ``near_duplicates``, with all columns: that with the smallest id.
+
+    Equal rows of that id are one; rows without an id stay.
+    """
+    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    return documents.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
