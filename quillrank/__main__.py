@@ -13,7 +13,8 @@ import os
 from pyspark.sql import SparkSession
 
 from quillrank import RankOptions, Workspace, rank_files
-from quillrank.sinks.report import write_report
+from quillrank.functions.text import TokenRules
+from quillrank.sinks.report import write_ranking, write_report
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -28,6 +29,15 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--body-passes", type=int, default=1, choices=(1, 2))
     parser.add_argument("--ratio", default="real", choices=("real", "integer"))
     parser.add_argument("--include-unmatched", action="store_true")
+    parser.add_argument("--stopwords", help="a file with one word per line instead of the English list")
+    parser.add_argument("--max-token-length", type=int)
+    parser.add_argument("--max-token-digits", type=int)
+    parser.add_argument("--max-token-repeats", type=int)
+    parser.add_argument("--max-paragraphs", type=int, default=5)
+    parser.add_argument("--min-title-distance", type=float, default=0.5)
+    parser.add_argument("--rejects", help="where lines that are no article go; without it they fail the job")
+    parser.add_argument("--rows", help="write the ranking as Parquet there as well")
+    parser.add_argument("--work", help="folder for work tables that all executors share; spark.checkpoint.dir if not given")
     args = parser.parse_args(argv)
     if not args.articles:
         parser.error("--articles or BIGDATA_NEWS is needed")
@@ -36,15 +46,23 @@ def main(argv: list[str] | None = None) -> None:
     if args.master:
         builder = builder.master(args.master)
     spark = builder.getOrCreate()
+    words = {} if not args.stopwords else {"stopwords": tuple(row["value"] for row in spark.read.text(args.stopwords).collect())}
     options = RankOptions(
+        **words,
+        rules=TokenRules(args.max_token_length, args.max_token_digits, args.max_token_repeats),
+        max_paragraphs=args.max_paragraphs,
+        min_title_distance=args.min_title_distance,
         k=args.k,
         stem=not args.no_stem,
         body_passes=args.body_passes,
         ratio=args.ratio,
         include_unmatched=args.include_unmatched,
     )
-    with Workspace(spark) as workspace:
-        write_report(rank_files(spark, args.queries, args.articles, options, workspace), args.output)
+    with Workspace(spark, args.work) as workspace:
+        ranking = workspace.save(rank_files(spark, args.queries, args.articles, options, workspace, args.rejects), "ranking")
+        write_report(ranking, args.output)
+        if args.rows:
+            write_ranking(ranking, args.rows)
 
 
 if __name__ == "__main__":

@@ -1,16 +1,19 @@
 """Porter's suffix stripper (M. F. Porter, "An algorithm for suffix stripping", 1980).
 
 Follows the paper, with the two changes its author made in his own later program: ``bli`` for ``abli`` and
-the added ``logi`` in step 2, and words of one or two letters left alone. Run it over a vocabulary, never
-over running text.
+the added ``logi`` in step 2, and words of one or two letters left alone. All of it is built-in expressions. Run it
+over a vocabulary, never over running text.
+
+A letter is a vowel if it is one of a, e, i, o, u, or a y after a consonant. So a run of consonants is one letter that is
+not of the five and then letters that are neither of them nor y; a run of vowels begins with any of the six and goes on
+with the five. Read from the start of a word there is one way to do that, which the patterns below spell out.
 """
 
 from __future__ import annotations
 
-import re
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
 # Fixed values of the published algorithm: suffix and replacement by step.
 STEP_2 = (
@@ -30,110 +33,104 @@ STEP_4 = (
 )
 
 
-_NOT_VOWELS = re.compile("[^aeiouy]")
-_VOWELS = re.compile("[aeiou]")
+_TO_VOWELS = "^(?:[^aeiou][^aeiouy]*[aeiouy]|[aeiou])[aeiou]*"  # up to the end of the first run of vowels
+_HAS_VOWEL = "^(?:[^aeiou][^aeiouy]*[aeiouy]|[aeiou])"
+_ONE = _TO_VOWELS + "[^aeiou]"  # measure of one or more
+_TWO = _ONE + "[^aeiouy]*[aeiouy][aeiou]*[^aeiou]"
+_SHORT = "^[^aeiou][^aeiouy]*[aeiouy][^aeiouwxy]$"  # of measure one, and ends consonant, vowel, consonant
+
+# Ends in two equal consonants other than l, s and z. A y counts if it is a consonant, as every other one in a row is.
+_DOUBLE = r"([^aeiouylsz])\1$|(?:^|[aeiou])y(?:yy)+$|[^aeiouy](?:yy)+$"
 
 
-def _shape(word: str) -> str:
-    """One letter per character: v for a vowel, c for a consonant. A y after a consonant is a vowel."""
-    shape = _VOWELS.sub("v", _NOT_VOWELS.sub("c", word))
-    while "y" in shape:
-        at = shape.index("y")
-        shape = shape[:at] + ("v" if shape[:at].endswith("c") else "c") + shape[at + 1 :]
-    return shape
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.transform(F.array(value), body)[0]
 
 
-def _measure(word: str) -> int:
-    """How often a vowel is followed by a consonant."""
-    return _shape(word).count("vc")
+def _without(word: Column, count: Column | int) -> Column:
+    return F.substring(word, F.lit(1), F.length(word) - count)
 
 
-def _short_ending(word: str) -> bool:
-    """Ends consonant, vowel, consonant, the last not w, x or y."""
-    return _shape(word).endswith("cvc") and word[-1] not in "wxy"
+def _suffix(word: Column, suffixes) -> Column:
+    """The longest of the suffixes that the word has; empty if none. The leftmost match is the longest."""
+    return F.regexp_extract(word, f"({'|'.join(sorted(suffixes, key=len, reverse=True))})$", 1)
 
 
-def _double_consonant(word: str) -> bool:
-    return len(word) > 1 and word[-1] == word[-2] and _shape(word)[-1] == "c"
+def _replaced(word: Column, rules: tuple[tuple[str, str], ...]) -> Column:
+    new = F.create_map(*[F.lit(x) for rule in rules for x in rule])
 
+    def apply(suffix: Column) -> Column:
+        stem = _without(word, F.length(suffix))
+        return F.when((suffix != "") & stem.rlike(_ONE), F.concat(stem, F.try_element_at(new, suffix))).otherwise(word)
 
-def _longest_suffix(word: str, suffixes) -> str | None:
-    return max((s for s in suffixes if word.endswith(s)), key=len, default=None)
+    return _let(_suffix(word, [old for old, _ in rules]), apply)
 
 
-def _replace(word: str, rules) -> str:
-    replacements = dict(rules)
-    suffix = _longest_suffix(word, replacements)
-    if suffix is None:
-        return word
-    stem = word[: len(word) - len(suffix)]
-    return stem + replacements[suffix] if _measure(stem) > 0 else word
+def _plural(word: Column) -> Column:
+    return (
+        F.when(word.endswith("sses") | word.endswith("ies"), _without(word, 2))
+        .when(word.endswith("s") & ~word.endswith("ss"), _without(word, 1))
+        .otherwise(word)
+    )
 
 
-def _plural(word: str) -> str:
-    if word.endswith(("sses", "ies")):
-        return word[:-2]
-    if word.endswith("s") and not word.endswith("ss"):
-        return word[:-1]
-    return word
+def _past_and_progressive(word: Column) -> Column:
+    def tidied(stem: Column) -> Column:
+        return (
+            F.when(stem.rlike("(at|bl|iz)$"), F.concat(stem, F.lit("e")))
+            .when(stem.rlike(_DOUBLE), _without(stem, 1))
+            .when(stem.rlike(_SHORT), F.concat(stem, F.lit("e")))
+            .otherwise(stem)
+        )
 
+    def cut(count: int) -> Column:
+        stem = _without(word, count)
+        return F.when(stem.rlike(_HAS_VOWEL), _let(stem, tidied)).otherwise(word)
 
-def _past_and_progressive(word: str) -> str:
-    if word.endswith("eed"):
-        return word[:-1] if _measure(word[:-3]) > 0 else word
-    for suffix in ("ed", "ing"):
-        stem = word[: len(word) - len(suffix)]
-        if word.endswith(suffix) and "v" in _shape(stem):
-            if stem.endswith(("at", "bl", "iz")):
-                return stem + "e"
-            if _double_consonant(stem) and stem[-1] not in "lsz":
-                return stem[:-1]
-            if _measure(stem) == 1 and _short_ending(stem):
-                return stem + "e"
-            return stem
-    return word
+    return (
+        F.when(word.endswith("eed"), F.when(_without(word, 3).rlike(_ONE), _without(word, 1)).otherwise(word))
+        .when(word.endswith("ed"), cut(2))
+        .when(word.endswith("ing"), cut(3))
+        .otherwise(word)
+    )
 
 
-def _final_y(word: str) -> str:
-    return word[:-1] + "i" if word.endswith("y") and "v" in _shape(word[:-1]) else word
+def _final_y(word: Column) -> Column:
+    stem = _without(word, 1)
+    return F.when(word.endswith("y") & stem.rlike(_HAS_VOWEL), F.concat(stem, F.lit("i"))).otherwise(word)
 
 
-def _residual(word: str) -> str:
-    suffix = _longest_suffix(word, STEP_4)
-    if suffix is None:
-        return word
-    stem = word[: len(word) - len(suffix)]
-    if suffix == "ion" and not stem.endswith(("s", "t")):
-        return word
-    return stem if _measure(stem) > 1 else word
+def _residual(word: Column) -> Column:
+    def apply(suffix: Column) -> Column:
+        stem = _without(word, F.length(suffix))
+        fits = (suffix != "ion") | stem.rlike("[st]$")
+        return F.when((suffix != "") & fits & stem.rlike(_TWO), stem).otherwise(word)
 
+    return _let(_suffix(word, STEP_4), apply)
 
-def _tidy(word: str) -> str:
-    if word.endswith("e"):
-        stem = word[:-1]
-        if _measure(stem) > 1 or (_measure(stem) == 1 and not _short_ending(stem)):
-            word = stem
-    if word.endswith("ll") and _measure(word) > 1:
-        word = word[:-1]
-    return word
 
+def _final_e(word: Column) -> Column:
+    stem = _without(word, 1)
+    gone = stem.rlike(_TWO) | (stem.rlike(_ONE) & ~stem.rlike(_SHORT))
+    return F.when(word.endswith("e") & gone, stem).otherwise(word)
 
-def porter_stem(word: str) -> str:
-    if len(word) <= 2:
-        return word
-    word = _final_y(_past_and_progressive(_plural(word)))
-    word = _replace(_replace(word, STEP_2), STEP_3)
-    return _tidy(_residual(word))
 
+def _final_ll(word: Column) -> Column:
+    return F.when(word.endswith("ll") & word.rlike(_TWO), _without(word, 1)).otherwise(word)
 
-def stem_prefix(word: Column) -> Column:
-    """Equal for a word and its stem, if the stem has two letters or more.
 
-    Every step leaves the first two letters alone, except that a y in second place may become an i.
-    """
-    return F.translate(F.substring(word, 1, 2), "y", "i")
+def stem(word: Column | str) -> Column:
+    """The stem of a lower-case word; null for null."""
+    word = F.col(word) if isinstance(word, str) else word
 
+    def steps(word: Column) -> Column:
+        out = word
+        for step in (
+            _plural, _past_and_progressive, _final_y, lambda w: _replaced(w, STEP_2), lambda w: _replaced(w, STEP_3), _residual,
+            _final_e, _final_ll,
+        ):
+            out = _let(out, step)
+        return F.when(F.length(word) <= 2, word).otherwise(out)
 
-@F.pandas_udf(T.StringType())
-def stem(words: pd.Series) -> pd.Series:
-    return words.map(porter_stem, na_action="ignore")
+    return _let(word, steps)

@@ -81,9 +81,10 @@ def _round(state: DataFrame, titled: DataFrame, window: int, options: RankOption
     ).withColumn("open", (F.size("kept") < options.k) & (F.col("decided") < F.col("total")))
 
 
-def _with_titles(rows: DataFrame, documents: DataFrame, small: bool) -> DataFrame:
-    """Ids and titles come from ``documents``, so the other side is of fixed width."""
+def with_titles(rows: DataFrame, documents: DataFrame, most_rows: int, options: RankOptions) -> DataFrame:
+    """Ids and titles come from ``documents``, so the other side is of fixed width; it has at most ``most_rows``."""
     rows = rows.select("query_id", "doc_key", "score", "position")
+    small = most_rows * TOP_ROW_BYTES <= options.broadcast_bytes
     return documents.select("doc_key", "doc_id", "title").join(F.broadcast(rows) if small else rows, "doc_key")
 
 
@@ -97,8 +98,7 @@ def _undecided(ranked: DataFrame, state: Measured, window: int, documents: DataF
     next_ones = of_query(ranked, "decided").where(
         (F.col("position") > F.col("decided")) & (F.col("position") <= F.col("decided") + window)
     )
-    small = state.observed["n_open"] * window * TOP_ROW_BYTES <= options.broadcast_bytes
-    titled = of_query(_with_titles(next_ones, documents, small), "kept")
+    titled = of_query(with_titles(next_ones, documents, state.observed["n_open"] * window, options), "kept")
     others = titled.where(~_alike_any(F.col("kept"), F.col("title"), options))
     return first_per_query(others, options.depth, [F.asc("position")], "place")
 
@@ -121,8 +121,7 @@ def extend_selection(
     start = selection.select(
         "query_id", "kept", F.lit(0).cast("long").alias("decided"), F.lit(UNCOUNTED).cast("long").alias("total")
     )
-    small = n_queries * options.depth * TOP_ROW_BYTES <= options.broadcast_bytes
-    top = _with_titles(top_per_query(candidates, options.depth), documents, small)
+    top = with_titles(top_per_query(candidates, options.depth), documents, n_queries * options.depth, options)
     state = save(_round(start, top, UNCOUNTED, options, n_queries))
     finished = [state.frame.where(~F.col("open"))]
     ranked, window = None, options.depth

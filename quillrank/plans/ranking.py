@@ -13,10 +13,10 @@ from quillrank.operators.matching import (
 )
 from quillrank.operators.scoring import document_scores, posting_scores, query_shares, query_term_scores
 from quillrank.operators.terms import (
-    candidate_tokens, plain_dictionary, query_terms, stem_vocabulary, stemmed_dictionary, vocabulary,
+    plain_dictionary, query_terms, stem_vocabulary, stemmed_dictionary, vocabulary,
 )
 from quillrank.options import RankOptions
-from quillrank.sources.articles import RANKED_FIELDS, read_articles
+from quillrank.sources.articles import RANKED_FIELDS, read_articles, read_with_rejects
 from quillrank.sources.queries import distinct_queries, read_queries
 from quillrank.workspace import Measured, Workspace
 
@@ -67,9 +67,8 @@ def match_corpus(articles: DataFrame, queries: DataFrame, options: RankOptions,
         # Read twice, for the vocabulary and for the match. The tokens of titles and leading paragraphs
         # are smaller than the articles and need no second parse.
         documents = workspace.save(documents, "tokens")
-        tokens = candidate_tokens(vocabulary(documents), terms.frame)
         stems = workspace.save_measured(
-            stemmed_dictionary(stem_vocabulary(tokens, options), terms.frame, options), "dictionary"
+            stemmed_dictionary(stem_vocabulary(vocabulary(documents), options), terms.frame, options), "dictionary"
         )
         dictionary, small = stems.frame, stems.fits(options.broadcast_bytes)
     else:
@@ -153,8 +152,15 @@ def rank_files(
     article_path: str,
     options: RankOptions | None = None,
     workspace: Workspace | None = None,
+    rejects_path: str | None = None,
 ) -> DataFrame:
-    """Rank the articles of a JSON-lines path for the queries of a text file."""
-    return rank_articles(
-        read_articles(spark, article_path, RANKED_FIELDS), read_queries(spark, query_path), options, workspace
-    )
+    """Rank the articles of a JSON-lines path for the queries of a text file.
+
+    A line that is no article fails the job; with ``rejects_path`` such lines are written there as text instead.
+    """
+    if rejects_path is None:
+        articles = read_articles(spark, article_path, RANKED_FIELDS)
+    else:
+        articles, rejects = read_with_rejects(spark, article_path, RANKED_FIELDS)
+        rejects.write.text(rejects_path)
+    return rank_articles(articles, read_queries(spark, query_path), options, workspace)

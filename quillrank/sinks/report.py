@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def file_name(query: Column) -> Column:
@@ -31,19 +31,26 @@ def report_lines(ranking: DataFrame) -> DataFrame:
 def write_report(ranking: DataFrame, path: str) -> None:
     """One folder per query with one text file, lines in rank order, and ``_SUCCESS`` when all are there.
 
-    The folder name starts with the query id, so queries that differ only in blanks and underscores do
-    not meet. A query has at most k + 1 lines.
+    Folders are named by the query id. ``manifest`` beside ``reports`` holds ``(query_id, file_name, query)``, a query of
+    any length. A query has at most k + 1 lines.
     """
-    lines = report_lines(ranking).select(
-        F.concat_ws("-", F.col("query_id"), file_name(F.col("query"))).alias("query_file"), "line_no", "line"
-    )
+    lines = report_lines(ranking).select("query_id", "line_no", F.col("line").alias("value"))
     (
-        lines.repartition("query_file")
-        .sortWithinPartitions("query_file", "line_no")
-        .select("query_file", F.col("line").alias("value"))
-        .write.partitionBy("query_file")
-        .text(path)
+        lines.repartition("query_id")
+        .sortWithinPartitions("query_id", "line_no")
+        .select("query_id", "value")
+        .write.partitionBy("query_id")
+        .text(f"{path}/reports")
     )
+    asked = ranking.where(F.col("rank") == 1).select("query_id", file_name(F.col("query")).alias("file_name"), "query")
+    asked.write.parquet(f"{path}/manifest")
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """``(query_id, line_no, line)`` of the files that ``write_report`` has written. Each is read by one task."""
+    files = spark.read.text(f"{path}/reports", wholetext=True).select("query_id", F.split("value", "\n").alias("lines"))
+    lines = files.select("query_id", F.posexplode(F.slice("lines", 1, F.size("lines") - 1)).alias("line_no", "line"))
+    return lines.select("query_id", "line_no", "line")
 
 
 def write_ranking(ranking: DataFrame, path: str) -> None:

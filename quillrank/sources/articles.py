@@ -43,15 +43,14 @@ RANKED_FIELDS = T.StructType(
 CORRUPT = "_corrupt_record"
 
 
-def read_articles(spark: SparkSession, path: str, schema: T.StructType = ARTICLE, strict: bool = True) -> DataFrame:
-    """Articles below ``path``. ``strict`` fails on a broken line; otherwise see ``read_with_rejects``."""
-    mode = "FAILFAST" if strict else "DROPMALFORMED"
-    return spark.read.schema(schema).option("mode", mode).json(path)
+def read_articles(spark: SparkSession, path: str, schema: T.StructType = ARTICLE) -> DataFrame:
+    """Articles below ``path``; a broken line fails. ``read_with_rejects`` sets such lines apart."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
-def decode_articles(line: Column, schema: T.StructType = ARTICLE, strict: bool = True) -> Column:
-    """A JSON line as an article struct. Fields the schema does not name are ignored."""
-    return F.from_json(line, schema, {"mode": "FAILFAST" if strict else "PERMISSIVE"})
+def decode_articles(line: Column, schema: T.StructType = ARTICLE) -> Column:
+    """A JSON line as an article struct. Fields the schema does not name are ignored; a broken line fails."""
+    return F.from_json(line, schema, {"mode": "FAILFAST"})
 
 
 def read_with_rejects(spark: SparkSession, path: str, schema: T.StructType = ARTICLE) -> tuple[DataFrame, DataFrame]:

@@ -16,17 +16,6 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(frame: DataFrame, small: int = 256 << 20) -> DataFrame:
-    """Spread the rows of a small table over all cores.
-
-    A file of one row group is read by one task however many cores wait. The text of a large corpus has
-    splits enough and is never moved.
-    """
-    spark = frame.sparkSession
-    size = int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return frame.repartition(spark.sparkContext.defaultParallelism) if size <= small else frame
-
-
 def articles_from_documents(documents: DataFrame, schema: T.StructType = ARTICLE) -> DataFrame:
     """Articles with the fields of ``schema``; ``id`` keeps its type."""
     lines = documents.select("doc_id", "source", F.split("text", "\n").alias("lines"))
@@ -72,7 +61,7 @@ def queries_from_benchmark(benchmark: DataFrame) -> DataFrame:
 
 def sample_articles(spark: SparkSession, folder: str, schema: T.StructType = RANKED_FIELDS) -> DataFrame:
     documents = read_table(spark, folder, "documents").select("doc_id", "source", "text")
-    return articles_from_documents(spread(documents), schema)
+    return articles_from_documents(documents, schema)
 
 
 def sample_queries(spark: SparkSession, folder: str) -> DataFrame:

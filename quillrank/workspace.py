@@ -6,26 +6,17 @@ corpus. A table that may be broadcast later is measured while it is written.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-_local_root: tempfile.TemporaryDirectory | None = None
-
-
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only for a local master without that setting."""
-    global _local_root
+    """The cluster's checkpoint folder."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    if _local_root is None:
-        _local_root = tempfile.TemporaryDirectory(prefix="quillrank-")
-    return _local_root.name
+    if not root:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach, or name a root")
+    return root.rstrip("/")
 
 
 @dataclass(frozen=True)

@@ -7,23 +7,26 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from quillrank.functions.porter import stem
 from quillrank.functions.text import TokenRules, remove_stopwords, tokenize
 from quillrank.functions.titles import title_distance
-from quillrank.operators.diversity import near_duplicate_titles
+from quillrank.operators.diversity import near_duplicate_titles, with_titles
 from quillrank.operators.documents import analyze_contents, analyze_documents, first_paragraphs, non_empty
 from quillrank.operators.matching import collection_tf, corpus_stats
 from quillrank.operators.ranking import rank_all, top_per_query
 from quillrank.operators.terms import query_terms, stem_vocabulary, vocabulary
 from quillrank.options import RankOptions
 from quillrank.plans.ranking import Match, match_corpus, rank_matches, select_distinct
-from quillrank.sinks.report import file_name, nested, report_lines
+from quillrank.sinks.report import file_name, nested, read_report, report_lines, write_report
 from quillrank.sources.articles import ARTICLE, decode_articles, read_articles, read_with_rejects
-from quillrank.sources.queries import read_queries
-from quillrank.sources.tables import read_table, sample_articles, sample_queries, spread
+from quillrank.sources.queries import distinct_queries, read_queries
+from quillrank.sources.tables import read_table, sample_articles, sample_queries
 from quillrank.workspace import Workspace
+from registry.session import session_workspace
 
-# Rounded to the digits in which two engines that add in different order agree.
-PLAIN = RankOptions(stem=False, score_digits=6)
+# Two engines that add in different order agree on so many digits; scores are shown with six.
+PLAIN = RankOptions(stem=False, score_digits=10)
+SHOWN = 6
 STEMMED = replace(PLAIN, stem=True)
 LIMITS = TokenRules(max_length=20, max_digits=4, max_repeats=3)
 
@@ -39,16 +42,20 @@ def query(name: str):
 
 
 def match(spark: SparkSession, sf: str, options: RankOptions = PLAIN) -> tuple[Match, Workspace]:
-    workspace = Workspace(spark)
+    workspace = session_workspace(spark)
     return match_corpus(sample_articles(spark, sf), sample_queries(spark, sf), options, workspace), workspace
 
 
+def shown(frame: DataFrame) -> DataFrame:
+    return frame.withColumn("score", F.round("score", SHOWN))
+
+
 def ranked(spark: SparkSession, sf: str, options: RankOptions = PLAIN) -> DataFrame:
-    return rank_matches(*match(spark, sf, options))
+    return shown(rank_matches(*match(spark, sf, options)))
 
 
 def texts(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(read_table(spark, sf, "documents").select("doc_id", "text"))
+    return read_table(spark, sf, "documents").select("doc_id", "text")
 
 
 def joined(tokens) -> F.Column:
@@ -60,9 +67,9 @@ def joined(tokens) -> F.Column:
 
 @query("queries_scan")
 def _queries_scan(spark, sf):
-    path = Workspace(spark).folder("queries")
+    path = session_workspace(spark).folder("queries")
     sample_queries(spark, sf).select("query").write.text(path)
-    return read_queries(spark, path).select("query")
+    return distinct_queries(read_queries(spark, path))
 
 
 def _flat_article(article: DataFrame) -> DataFrame:
@@ -81,7 +88,7 @@ def _flat_article(article: DataFrame) -> DataFrame:
 
 @query("articles_scan")
 def _articles_scan(spark, sf):
-    path = Workspace(spark).folder("articles")
+    path = session_workspace(spark).folder("articles")
     sample_articles(spark, sf, ARTICLE).write.json(path)
     return _flat_article(read_articles(spark, path))
 
@@ -94,9 +101,9 @@ def _json_decode(spark, sf):
 
 @query("article_rejects")
 def _article_rejects(spark, sf):
-    path = Workspace(spark).folder("mixed")
+    path = session_workspace(spark).folder("mixed")
     articles = sample_articles(spark, sf, ARTICLE).select(F.to_json(F.struct("*")).alias("value"))
-    broken = texts(spark, sf).select(F.split("text", "\n")[0].alias("value"))
+    broken = texts(spark, sf).select(F.explode(F.split("text", "\n")).alias("value"))
     articles.union(broken).write.text(path)
     return read_with_rejects(spark, path)[1]
 
@@ -135,6 +142,19 @@ def _analyzed_terms(spark, sf):
     )
 
 
+@query("query_terms_stemmed")
+def _query_terms_stemmed(spark, sf):
+    return query_terms(sample_queries(spark, sf), STEMMED)
+
+
+@query("analyzed_terms_stemmed")
+def _analyzed_terms_stemmed(spark, sf):
+    stems = lambda tokens: joined(F.transform(tokens, stem))
+    return analyze_documents(sample_articles(spark, sf), PLAIN).select(
+        "doc_id", stems("title_tokens").alias("title_terms"), stems("body_tokens").alias("body_terms")
+    )
+
+
 @query("first_paragraphs")
 def _first_five_paragraphs(spark, sf):
     chosen = first_paragraphs(F.col("contents"), PLAIN.max_paragraphs)
@@ -211,12 +231,12 @@ def _dph_term_scores(spark, sf):
 
 @query("dph_scores")
 def _dph_scores(spark, sf):
-    return match(spark, sf)[0].scores.select("query_id", "doc_id", "score")
+    return shown(match(spark, sf)[0].scores.select("query_id", "doc_id", "score"))
 
 
 @query("dph_scores_integer_ratio")
 def _dph_scores_integer_ratio(spark, sf):
-    return match(spark, sf, replace(PLAIN, ratio="integer"))[0].scores.select("query_id", "doc_id", "score")
+    return shown(match(spark, sf, replace(PLAIN, ratio="integer"))[0].scores.select("query_id", "doc_id", "score"))
 
 
 # Rankings
@@ -225,13 +245,13 @@ def _dph_scores_integer_ratio(spark, sf):
 @query("ranked_all")
 def _ranked_all(spark, sf):
     found, workspace = match(spark, sf)
-    return rank_all(found.scores, PLAIN, workspace).select("query_id", "doc_id", "score", F.col("position").cast("int"))
+    ranking = rank_all(found.scores, PLAIN, workspace)
+    return shown(ranking.select("query_id", "doc_id", "score", F.col("position").cast("int")))
 
 
 def _top10(spark, sf):
     found, _ = match(spark, sf)
-    top = top_per_query(found.scores, PLAIN.k)
-    return found.documents.select("doc_key", "title").join(F.broadcast(top), "doc_key")
+    return shown(with_titles(top_per_query(found.scores, PLAIN.k), found.documents, found.queries.rows * PLAIN.k, PLAIN))
 
 
 @query("top10_raw")
@@ -241,9 +261,10 @@ def _top10_raw(spark, sf):
 
 @query("title_distances")
 def _title_distances(spark, sf):
-    lines = texts(spark, sf).select("doc_id", F.split("text", "\n").alias("lines")).where(F.size("lines") > 1)
-    a, b = (F.regexp_replace(F.col("lines")[i], "[^ -~]", "?") for i in (0, 1))
-    return lines.select("doc_id", F.round(title_distance(a, b), 6).alias("distance"))
+    """The title of a document against each of its content items; null where there is no title."""
+    items = sample_articles(spark, sf).select(F.col("id").alias("doc_id"), "title", F.posexplode("contents").alias("pos", "item"))
+    plain = F.regexp_replace("item.content", "[^ -~]", "?")
+    return items.select("doc_id", "pos", F.round(title_distance(F.col("title"), plain), 6).alias("distance"))
 
 
 @query("title_pairs")
@@ -312,6 +333,13 @@ def _ranking_report(spark, sf):
     return report_lines(ranked(spark, sf)).select("query_id", "line_no", "line")
 
 
+@query("report_files")
+def _report_files(spark, sf):
+    path = session_workspace(spark).folder("report")
+    write_report(ranked(spark, sf), path)
+    return read_report(spark, path).withColumn("query_id", F.col("query_id").cast("bigint"))
+
+
 @query("ranking_file_name")
 def _ranking_file_name(spark, sf):
     return sample_queries(spark, sf).select("query_id", file_name(F.col("query")).alias("file_name"))

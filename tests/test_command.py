@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import SparkSession
 
 from quillrank import __main__ as command
@@ -11,11 +12,20 @@ def test_command(spark, tmp_path, monkeypatch):
         {"id": f"a{i}", "title": f"{'abc'[i % 3] * 9} {i}", "contents": [{"subtype": "paragraph", "content": "bonds " * (i + 1) + "in the markets today"}]}
         for i in range(5)
     ]
-    (tmp_path / "articles.json").write_text("\n".join(map(json.dumps, articles)), encoding="utf8")
+    (tmp_path / "articles.json").write_text("\n".join([*map(json.dumps, articles), "{broken"]), encoding="utf8")
+    (tmp_path / "stopwords").write_text("in\nthe\n", encoding="utf8")
     monkeypatch.setenv("BIGDATA_NEWS", str(tmp_path / "articles.json"))
     monkeypatch.delenv("SPARK_MASTER", raising=False)
-    command.main(["--queries", str(tmp_path / "queries.list"), "--output", str(tmp_path / "out")])
-    (file,) = (tmp_path / "out").glob("query_file=*-bond_market/*.txt")
+    places = {name: str(tmp_path / name) for name in ("out", "rejects", "rows", "work", "stopwords")}
+    command.main(
+        ["--queries", str(tmp_path / "queries.list"), "--output", places["out"], "--rejects", places["rejects"], "--rows", places["rows"],
+         "--work", places["work"], "--stopwords", places["stopwords"], "--max-token-length", "30"]
+    )
+    (file,) = (tmp_path / "out" / "reports").glob("query_id=*/*.txt")
     lines = file.read_text(encoding="utf8").splitlines()
+    assert [r["value"] for r in spark.read.text(places["rejects"]).collect()] == ["{broken"]
+    assert spark.read.parquet(places["rows"]).count() == 3
+    with pytest.raises(Exception):
+        command.main(["--queries", str(tmp_path / "queries.list"), "--output", str(tmp_path / "out2"), "--work", places["work"]])
     assert lines[0] == "bond market" and len(lines) == 4  # three of five titles are far apart
     assert SparkSession.getActiveSession() is not None

@@ -2,7 +2,7 @@ import re
 from pathlib import Path
 
 from quillrank import Workspace
-from quillrank.sinks.report import nested, report_lines, write_ranking, write_report
+from quillrank.sinks.report import nested, read_report, report_lines, write_ranking, write_report
 
 RANKING = [
     (1, "james bond", 1, "11b0-0af5", 3.7824629519609267, None),
@@ -37,15 +37,28 @@ def test_lines_read_back_as_rows(spark):
 def test_files(spark, tmp_path):
     ranking = spark.createDataFrame(RANKING, SCHEMA)
     write_report(ranking, str(tmp_path / "out"))
-    folders = sorted(p.name for p in (tmp_path / "out").iterdir() if p.is_dir())
-    assert folders == ["query_file=1-james_bond", "query_file=2-on_a%2Fb_test", "query_file=3-on_a%2Fb_test"]
-    assert (tmp_path / "out" / "_SUCCESS").exists()
-    (file,) = (tmp_path / "out" / "query_file=1-james_bond").glob("*.txt")
+    reports = tmp_path / "out" / "reports"
+    assert sorted(p.name for p in reports.iterdir() if p.is_dir()) == ["query_id=1", "query_id=2", "query_id=3"]
+    assert (reports / "_SUCCESS").exists()
+    (file,) = (reports / "query_id=1").glob("*.txt")
     assert file.read_text(encoding="utf8") == EXPECTED
+    manifest = spark.read.parquet(str(tmp_path / "out" / "manifest")).orderBy("query_id").collect()
+    assert [tuple(r) for r in manifest] == [
+        (1, "james_bond", "james bond"), (2, "on_a/b_test", "on a/b test"), (3, "on_a/b_test", "on_a/b_test")
+    ]
+    back = read_report(spark, str(tmp_path / "out")).orderBy("query_id", "line_no").collect()
+    lines = report_lines(ranking).select("query_id", "line_no", "line").orderBy("query_id", "line_no").collect()
+    assert [tuple(r) for r in back] == [tuple(r) for r in lines]
     write_ranking(ranking, str(tmp_path / "rows"))
     assert spark.read.parquet(str(tmp_path / "rows")).count() == len(RANKING)
 
 
+def test_files_of_a_long_query(spark, tmp_path):
+    query = "so long a query / " * 25
+    write_report(spark.createDataFrame([("q", query, 1, "d", 1.0, None)], SCHEMA.replace("query_id bigint", "query_id string")), str(tmp_path))
+    assert [r["line"] for r in read_report(spark, str(tmp_path)).orderBy("line_no").collect()] == [query, "  1:d 1.0 null"]
+
+
 def test_nested(spark):
     row = nested(spark.createDataFrame(RANKING, SCHEMA)).where("query_id = 1").first()
     assert [(r["rank"], r["doc_id"]) for r in row["results"]] == [(1, "11b0-0af5"), (2, "7e9c-981a"), (3, "1cd4-d7ba")]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from quillrank.options import RankOptions
 from quillrank.operators.documents import analyze_contents, analyze_documents, first_paragraphs
 from quillrank.sources.articles import ARTICLE, RANKED_FIELDS, decode_articles, published_at, read_articles, read_with_rejects
-from quillrank.sources.queries import read_queries
+from quillrank.sources.queries import distinct_queries, read_queries
 
 ARTICLES = [
     {"id": "a1", "title": "T", "published_date": 1326000000000, "unknown": 1,
@@ -49,14 +49,18 @@ def test_broken_lines(spark, tmp_path):
     assert sorted(r["value"] for r in rejects.collect()) == ["", "[1]", "plain text", "{broken"]
     with pytest.raises(Exception):
         read_articles(spark, str(path)).collect()
-    assert read_articles(spark, str(path), strict=False).where("id = 'a1'").count() == 2
 
 
 def test_read_queries(spark, tmp_path):
-    path = tmp_path / "queries.list"
-    path.write_text("finance\njames bond\nfinance\non Facebook IPO\n", encoding="utf8")
-    rows = read_queries(spark, str(path)).orderBy("query_id").collect()
-    assert [r["query"] for r in rows] == ["finance", "james bond", "on Facebook IPO"]
+    lines = ["finance", "james bond", "finance", "on Facebook IPO", ""]
+    (tmp_path / "one").mkdir(), (tmp_path / "two").mkdir()
+    (tmp_path / "one" / "a").write_text("\n".join(lines) + "\n", encoding="utf8")
+    (tmp_path / "two" / "b").write_text("\n".join(lines[:1]) + "\n", encoding="utf8")
+    (tmp_path / "two" / "a").write_text("\n".join(lines[:0:-1]) + "\n", encoding="utf8")
+    one, two = (read_queries(spark, str(tmp_path / name)).collect() for name in ("one", "two"))
+    assert sorted(r["query"] for r in one) == sorted(lines)
+    assert sorted(one) == sorted(two) and len({r["query_id"] for r in one}) == 4
+    assert sorted(r["query"] for r in distinct_queries(read_queries(spark, str(tmp_path / "two"))).collect()) == sorted(set(lines))
 
 
 CONTENTS = [
