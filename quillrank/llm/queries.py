@@ -16,7 +16,7 @@ from quillrank.llm.sharding import document_order, sharded
 from quillrank.llm.substring_dedup import repeats
 from quillrank.llm.warc import read_records, write_archives
 from quillrank.sources.tables import read_table
-from quillrank.workspace import Workspace
+from registry.session import session_workspace
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -44,7 +44,7 @@ def op8_benchmark_decontamination(spark, folder):
 def op10_hilbert_sharding(spark, folder):
     documents = read_table(spark, folder, "documents")
     light = documents.select(*document_order())
-    placed = sharded(light, [F.col(name) for name in light.columns], Workspace(spark))
+    placed = sharded(light, [F.col(name) for name in light.columns], session_workspace(spark))
     return placed.select(
         "doc_id",
         (F.col("text_bytes") + 8).alias("size"),
@@ -59,7 +59,7 @@ def op10_hilbert_sharding(spark, folder):
 
 @query
 def op9_source_mixing(spark, folder):
-    workspace = Workspace(spark)
+    workspace = session_workspace(spark)
     documents = read_table(spark, folder, "documents").select("doc_id", "source", count_words(F.col("text")).alias("size"))
     placed = place(workspace.save(documents, "sizes"), workspace)
     return taken_words(placed).select("doc_id", "size", "source_size", "target", "taken")
@@ -68,7 +68,7 @@ def op9_source_mixing(spark, folder):
 @query
 def op4_quality_classifier(spark, folder):
     documents = read_table(spark, folder, "documents")
-    model = train(documents, read_table(spark, folder, "labels"), Workspace(spark))
+    model = train(documents, read_table(spark, folder, "labels"), session_workspace(spark))
     return scored(documents, model).select(
         "doc_id",
         F.coalesce(remainder(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"),
@@ -81,7 +81,7 @@ def op4_quality_classifier(spark, folder):
 def op3_secret_scans(spark, folder):
     found = with_base_spans(read_table(spark, folder, "documents"))
     # Every document has its spans written, so the texts are searched once.
-    found = Workspace(spark).save(found, "spans")
+    found = session_workspace(spark).save(found, "spans")
     scanned = scan(found, log_ratios(found))
     base = F.col("base")
     return scanned.select(
@@ -94,10 +94,9 @@ def op3_secret_scans(spark, folder):
 
 @query
 def op5_warc(spark, folder):
-    workspace = Workspace(spark)
-    path = workspace.folder("warc")
-    index = write_archives(read_table(spark, folder, "pages"), path, workspace)
-    records = read_records(index, path, payloads=False)
+    workspace = session_workspace(spark)
+    index = write_archives(read_table(spark, folder, "pages"), workspace.folder("warc"), workspace)
+    records = read_records(index, payloads=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
@@ -108,9 +107,9 @@ def op6_nearest_neighbours(spark, folder):
 
 @query
 def op1_ngram_jaccard_join(spark, folder):
-    return near_duplicates(read_table(spark, folder, "documents"), Workspace(spark))
+    return near_duplicates(read_table(spark, folder, "documents"), session_workspace(spark))
 
 
 @query
 def op7_substring_dedup(spark, folder):
-    return repeats(read_table(spark, folder, "documents"), Workspace(spark))
+    return repeats(read_table(spark, folder, "documents"), session_workspace(spark))
