@@ -10,7 +10,7 @@ from quillrank.llm.ngram_join import near_duplicates, representatives
 from quillrank.llm.quality import accepted, train
 from quillrank.llm.sharding import document_order, sharded
 from quillrank.sources.tables import read_table
-from quillrank.workspace import Workspace
+from registry.session import session_workspace
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -18,13 +18,13 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     docs = docs.select(*COLUMNS)
-    return accepted(docs, train(docs, read_table(spark, sf_dir, "labels"), Workspace(spark)))
+    return accepted(docs, train(docs, read_table(spark, sf_dir, "labels"), session_workspace(spark)))
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id."""
     docs = docs.select(*COLUMNS)
-    return representatives(docs, near_duplicates(docs, Workspace(spark))).select(*COLUMNS)
+    return representatives(docs, near_duplicates(docs, session_workspace(spark))).select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of sources: of each document what its blocks contribute, once per time that they are taken."""
     docs = docs.select(*COLUMNS, count_words(F.col("text")).alias("size"))
-    mixed = mixed_texts(place(docs, Workspace(spark)))
+    mixed = mixed_texts(place(docs, session_workspace(spark)))
     return mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*COLUMNS)
 
 
@@ -44,7 +44,7 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their shard and their place in it."""
     docs = docs.select(*COLUMNS)
     keyed = docs.select("*", *document_order()[:-1])
-    return sharded(keyed, [F.col(name) for name in ("hilbert", "text_crc32", "text_bytes", "doc_id")], Workspace(spark))
+    return sharded(keyed, [F.col(name) for name in ("hilbert", "text_crc32", "text_bytes", "doc_id")], session_workspace(spark))
 
 
 STAGES = [
@@ -59,7 +59,7 @@ ORACLE_SQL = None  # the classifier is trained; tests compare each stage with a
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, workspace = read_table(spark, sf_dir, "documents"), Workspace(spark)
+    docs, workspace = read_table(spark, sf_dir, "documents"), session_workspace(spark)
     for name, stage in STAGES:
         docs = workspace.save(stage(spark, docs, sf_dir), name)
     return docs
