@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from quillrank.llm.bitmap import bitmap, maybe, size_for
@@ -161,7 +162,7 @@ def _covering(words: Words, text: np.ndarray, place: np.ndarray) -> np.ndarray:
 
 def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The elements of all lists, and which list each is from."""
-    sizes = pa.compute.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
     return np.repeat(np.arange(len(lists)), sizes), lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
 
 

@@ -12,6 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 21
 
@@ -151,7 +152,7 @@ def cut(column: pa.Array, lower: bool, inside: np.ndarray = BETWEEN_BLANKS) -> W
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
     """The batches, cut so that each holds about ``SLICE_BYTES`` of text, or one longer text."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(text).fill_null("")).to_numpy(zero_copy_only=False)
+        sizes = pc.binary_length(batch.column(text).fill_null("")).to_numpy(zero_copy_only=False)
         below = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
         low = 0
         while low < len(sizes):
