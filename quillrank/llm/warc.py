@@ -1,9 +1,9 @@
 """WARC archives with an index that comes first, and readers that fetch byte ranges.
 
-The place of every record is known before it is written: records are dealt to archives, put in order, and their lengths
-summed up. The index (archive, offset, length, URL, digest) is a table; the archives are written by Spark's text sink,
-whose line separator is the end of a record, so a lost task is written again and only committed files are seen.
-A reader selects index rows, merges neighbouring ranges, and reads each merged range with one request.
+Every record is a gzip member of its own, as is usual for archives. Tasks write archives of bounded size and return the
+index (archive, offset, length, URL, digest), which Spark commits; archives of attempts that were lost have other names
+and no index row names them. A reader selects index rows, merges neighbouring ranges, and reads each merged range with
+one request. Archives go through ``pyarrow.fs``, so their folder must be one that it can open.
 
 Defined cases: a null payload is an empty one; a null URL leaves out the header; control characters and blanks in URLs are
 escaped in the header, not in the index; a null page_id is written as ``none`` and is never the response of a
@@ -13,12 +13,16 @@ group with others; rows that tie on the largest page_id are all responses; furth
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from quillrank.workspace import Workspace
 
@@ -77,7 +81,7 @@ def _header(date: str) -> Column:
 def write_archives(
     pages: DataFrame, path: str, workspace: Workspace, min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES, date: str = DATE
 ) -> DataFrame:
-    """Write ``pages`` (``page_id url html``) below ``path`` and return the index.
+    """Write ``pages`` (``page_id url html``) as archives below ``path`` and return the index.
 
     Of records with equal payloads of at least ``min_bytes`` the one with the largest page_id is the response, the others
     revisit it. Index: ``(archive, offset, length, page_id, url, digest)``.
@@ -91,31 +95,55 @@ def write_archives(
         base32_sha1(payload).alias("digest"),
         F.octet_length(payload).cast("long").alias("payload_bytes"),
     )
-    light = workspace.save_measured(known.drop("payload"), "payloads", content=F.sum("payload_bytes"))
-    archives = max(1, -(-(light.observed["content"] or 0) // archive_bytes))
-    responses = workspace.save(light.frame.groupBy("key").agg(F.max("page_id").alias("response")), "responses")
-
-    def typed(frame: DataFrame) -> DataFrame:
-        is_response = (F.col("payload_bytes") < min_bytes) | F.col("page_id").eqNullSafe(F.col("response"))
-        frame = frame.join(responses, "key").withColumn("record_type", F.when(is_response, "response").otherwise("revisit"))
-        frame = frame.withColumn("refers_to", F.when(F.col("record_type") == "revisit", F.col("response")))
-        archive = F.pmod(F.xxhash64("page_id", "url"), F.lit(archives)).cast("int")
-        return frame.withColumn("header", _header(date)).withColumn("archive", archive)
-
-    order = ["page_id", "url", "key"]
-    is_full = F.col("record_type") == "response"
-    length = F.octet_length("header") + F.when(is_full, F.col("payload_bytes")).otherwise(F.lit(0)) + len(END)
-    placed = typed(light.frame).select("archive", length.alias("length"), "page_id", "url", "key", "digest")
-    upto = F.sum("length").over(Window.partitionBy("archive").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    index = placed.select("archive", (upto - F.col("length")).alias("offset"), "length", "page_id", "url", "digest")
-    index = workspace.save(index, "index")
-
-    record = F.concat("header", F.when(is_full, F.col("payload")).otherwise(F.lit("")))
-    records = typed(known).select(record.alias("value"), "archive", *order)
-    # One task writes an archive, in the order of the index.
-    ordered = records.repartition(archives, "archive").sortWithinPartitions("archive", *order).select("value", "archive")
-    ordered.write.partitionBy("archive").option("lineSep", END).text(path)
-    return index
+    responses = known.groupBy("key").agg(F.max("page_id").alias("response"))
+    is_response = (F.col("payload_bytes") < min_bytes) | F.col("page_id").eqNullSafe(F.col("response"))
+    typed = known.join(responses, "key").withColumn("record_type", F.when(is_response, "response").otherwise("revisit"))
+    typed = typed.withColumn("refers_to", F.when(F.col("record_type") == "revisit", F.col("response")))
+    block = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(""))
+    rows = typed.select("page_id", "url", "digest", _header(date).alias("header"), block.alias("payload"))
+    kept = rows.schema["page_id"], rows.schema["url"], rows.schema["digest"]
+    places = [T.StructField("archive", T.StringType()), T.StructField("offset", T.LongType()), T.StructField("length", T.LongType())]
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files = Archives(path, archive_bytes)
+        try:
+            for batch in batches:
+                headers, payloads = batch.column("header"), batch.column("payload")
+                found = [files.append(h.as_py() + p.as_py() + END) for h, p in zip(headers, payloads)]
+                columns = [pa.array(c, t) for c, t in zip(zip(*found), (pa.string(), pa.int64(), pa.int64()))]
+                names = ["page_id", "url", "digest"]
+                if found:
+                    yield pa.RecordBatch.from_arrays(columns + [batch.column(n) for n in names], names=["archive", "offset", "length", *names])
+        finally:
+            files.close()
+
+    return workspace.save(rows.mapInArrow(write, T.StructType([*places, *kept])), "index")
+
+
+class Archives:
+    """The archives that one attempt of a task writes. Names tell attempts apart, so none overwrites another's."""
+
+    def __init__(self, path: str, archive_bytes: int):
+        self.path, self.archive_bytes = path, archive_bytes
+        self.file, self.name, self.offset, self.number = None, "", 0, 0
+
+    def append(self, record: str) -> tuple[str, int, int]:
+        """Write a record as a gzip member of its own; returns ``(archive, offset, length)``."""
+        if self.file is None or self.offset >= self.archive_bytes:
+            self.close()
+            self.name = f"{self.path}/part-{TaskContext.get().taskAttemptId():08d}-{uuid.uuid4().hex[:8]}-{self.number:04d}.warc.gz"
+            store, inside = _store(self.path)
+            store.create_dir(inside, recursive=True)
+            self.file, self.offset, self.number = store.open_output_stream(_store(self.name)[1], compression=None), 0, self.number + 1
+        data = gzip.compress(record.encode("utf-8", "surrogateescape"), mtime=0)
+        self.file.write(data)
+        place = self.name, self.offset, len(data)
+        self.offset += len(data)
+        return place
+
+    def close(self) -> None:
+        if self.file is not None:
+            self.file.close()
 
 
 def merged_ranges(index: DataFrame, gap_bytes: int = GAP_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
@@ -134,12 +162,11 @@ def merged_ranges(index: DataFrame, gap_bytes: int = GAP_BYTES, range_bytes: int
     )
 
 
-def _open(path: str):
+def _store(path: str) -> tuple[fs.FileSystem, str]:
     scheme, colon, rest = path.partition(":")
     if colon and not rest.startswith("//"):
         path = f"{scheme}://{rest}"
-    store, inside = fs.FileSystem.from_uri(path)
-    return store.open_input_file(inside)
+    return fs.FileSystem.from_uri(path)
 
 
 def parse_record(record: bytes) -> dict:
@@ -170,27 +197,24 @@ def parse_record(record: bytes) -> dict:
 FIELDS = "page_id long, uri string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload string"
 
 
-def read_records(
-    index: DataFrame, path: str, payloads: bool = True, gap_bytes: int = GAP_BYTES, range_bytes: int = RANGE_BYTES
-) -> DataFrame:
-    """The records of the archives below ``path`` that ``index`` (all of it, or selected rows) names; see ``FIELDS``."""
-    spark = index.sparkSession
-    files = spark.read.format("binaryFile").load(path).select("archive", "path")  # lists; the contents are not read
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranges = merged_ranges(index, gap_bytes, range_bytes).join(files, "archive").repartition(tasks, "archive", "start")
+def read_records(index: DataFrame, payloads: bool = True, gap_bytes: int = GAP_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """The records that ``index`` (all of it, or selected rows) names, read from their archives; see ``FIELDS``."""
+    tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = merged_ranges(index, gap_bytes, range_bytes).repartition(tasks, "archive", "start")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples():
-                with _open(row.path) as file:
+                store, inside = _store(row.archive)
+                with store.open_input_file(inside) as file:
                     file.seek(row.start)
                     data = file.read(row.end - row.start)
                 found = []
                 for record in row.records:
                     at = record["offset"] - row.start
-                    found.append(parse_record(data[at : at + record["length"]]))
+                    found.append(parse_record(gzip.decompress(data[at : at + record["length"]])))
                 out = pd.DataFrame(found).astype({"page_id": "Int64", "refers_to": "Int64"})
                 yield out if payloads else out.drop(columns="payload")
 
     fields = FIELDS if payloads else FIELDS.rsplit(",", 1)[0]
-    return ranges.select("path", "start", "end", "records").mapInPandas(read, fields)
+    return ranges.select("archive", "start", "end", "records").mapInPandas(read, fields)
