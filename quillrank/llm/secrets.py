@@ -1,7 +1,7 @@
 """Secret scans: fixed patterns, and character Markov models for what the patterns miss.
 
-The patterns label the samples. Their values are random strings; all other long runs of the same characters, over the whole
-corpus, are ordinary identifiers. Of both, first-order transitions are counted and a run is reported where the random model
+Patterns label the samples, over the whole corpus. What the secret patterns find are random strings; long runs of the same
+characters that are written like words are ordinary identifiers. Of both, first-order transitions are counted and a run is reported where the random model
 explains it better by ``MIN_RATIO`` (natural log). Only built-in expressions are used. The models are one number per pair
 of characters and the only thing the driver sees.
 
@@ -27,6 +27,8 @@ LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 RUN = 16  # characters of a run that is scored
 SAMPLE_RUN = 12  # and of one that is learned from as ordinary
 MIN_RATIO = 12.0
+# What is learned from as ordinary: words in one of the usual cases, joined, with a short number at most.
+ORDINARY = r"^[+/_=-]*+(?:(?:[A-Z]?[a-z]++|[A-Z]++)[+/_=-]*+)++[0-9]{0,4}+[+/_=-]*+$"
 SMOOTHING = 0.5
 UNIFORM = 0.3  # share of the random model that takes all characters alike
 
@@ -95,7 +97,8 @@ def with_base_spans(documents: DataFrame) -> DataFrame:
 def transitions(found: DataFrame) -> DataFrame:
     """``(random, a, b, n)``: how often character b follows a, in the samples of either label."""
     sample = lambda spans, label: F.transform(spans, lambda s: F.struct(F.lit(label).alias("random"), s["value"].alias("value")))
-    samples = found.select(F.explode(F.concat(sample("base", True), sample("runs", False))).alias("s")).select("s.*")
+    ordinary = F.filter("runs", lambda run: run["value"].rlike(ORDINARY))
+    samples = found.select(F.explode(F.concat(sample("base", True), sample(ordinary, False))).alias("s")).select("s.*")
     codes = samples.select("random", _codes(F.col("value")).alias("codes"))
     # One number per pair, so that the rows that are counted are small.
     pairs = F.zip_with(
@@ -125,20 +128,25 @@ def log_ratios(found: DataFrame) -> list[float] | None:
     return [row["ratio"] for row in sorted(rows)]
 
 
+def _table(ratios: list[float]) -> Column:
+    return F.split(F.lit(" ".join(f"{x:.6f}" for x in ratios)), " ").cast("array<double>")  # folded into one literal
+
+
+def _ratio(value: Column, table: Column) -> Column:
+    codes = _codes(value)
+    pairs = F.zip_with(F.slice(codes, 1, F.length(value) - 1), F.slice(codes, 2, F.length(value)), lambda a, b: a * len(LETTERS) + b)
+    return F.aggregate(pairs, F.lit(0.0), lambda total, pair: total + F.get(table, pair))
+
+
 def scan(found: DataFrame, ratios: list[float] | None, min_ratio: float = MIN_RATIO) -> DataFrame:
     """``(doc_id, base, spans)`` from ``with_base_spans``; ``spans`` are those of ``base`` and the added ones, in order."""
     if ratios is None:
         return found.select("doc_id", "base", F.col("base").alias("spans"))
-    table = F.split(F.lit(" ".join(f"{x:.6f}" for x in ratios)), " ").cast("array<double>")  # folded into one literal
-
-    def ratio(value: Column) -> Column:
-        codes = _codes(value)
-        pairs = F.zip_with(F.slice(codes, 1, F.length(value) - 1), F.slice(codes, 2, F.length(value)), lambda a, b: a * len(LETTERS) + b)
-        return F.aggregate(pairs, F.lit(0.0), lambda total, pair: total + F.get(table, pair))
+    table = _table(ratios)
 
     def is_secret(run: Column) -> Column:
         value = run["value"]
-        return (F.length(value) >= RUN) & ~value.rlike("^[0-9]+$") & (ratio(value) >= min_ratio)
+        return (F.length(value) >= RUN) & ~value.rlike("^[0-9]+$") & (_ratio(value, table) >= min_ratio)
 
     return found.select("doc_id", "base", F.array_sort(F.concat("base", F.filter("runs", is_secret))).alias("spans"))
 
