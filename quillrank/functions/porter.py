@@ -11,10 +11,10 @@ with the five. Read from the start of a word there is one way to do that, which
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, functions as F
 
+from quillrank.functions.binding import let
+
 # Fixed values of the published algorithm: suffix and replacement by step.
 STEP_2 = (
     ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"),
@@ -43,11 +43,6 @@ _SHORT = "^[^aeiou][^aeiouy]*[aeiouy][^aeiouwxy]$"  # of measure one, and ends c
 _DOUBLE = r"([^aeiouylsz])\1$|(?:^|[aeiou])y(?:yy)+$|[^aeiouy](?:yy)+$"
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is worked out once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _without(word: Column, count: Column | int) -> Column:
     return F.substring(word, F.lit(1), F.length(word) - count)
 
@@ -64,7 +59,7 @@ def _replaced(word: Column, rules: tuple[tuple[str, str], ...]) -> Column:
         stem = _without(word, F.length(suffix))
         return F.when((suffix != "") & stem.rlike(_ONE), F.concat(stem, F.try_element_at(new, suffix))).otherwise(word)
 
-    return _let(_suffix(word, [old for old, _ in rules]), apply)
+    return let(_suffix(word, [old for old, _ in rules]), apply)
 
 
 def _plural(word: Column) -> Column:
@@ -86,7 +81,7 @@ def _past_and_progressive(word: Column) -> Column:
 
     def cut(count: int) -> Column:
         stem = _without(word, count)
-        return F.when(stem.rlike(_HAS_VOWEL), _let(stem, tidied)).otherwise(word)
+        return F.when(stem.rlike(_HAS_VOWEL), let(stem, tidied)).otherwise(word)
 
     return (
         F.when(word.endswith("eed"), F.when(_without(word, 3).rlike(_ONE), _without(word, 1)).otherwise(word))
@@ -107,7 +102,7 @@ def _residual(word: Column) -> Column:
         fits = (suffix != "ion") | stem.rlike("[st]$")
         return F.when((suffix != "") & fits & stem.rlike(_TWO), stem).otherwise(word)
 
-    return _let(_suffix(word, STEP_4), apply)
+    return let(_suffix(word, STEP_4), apply)
 
 
 def _final_e(word: Column) -> Column:
@@ -130,7 +125,7 @@ def stem(word: Column | str) -> Column:
             _plural, _past_and_progressive, _final_y, lambda w: _replaced(w, STEP_2), lambda w: _replaced(w, STEP_3), _residual,
             _final_e, _final_ll,
         ):
-            out = _let(out, step)
+            out = let(out, step)
         return F.when(F.length(word) <= 2, word).otherwise(out)
 
-    return _let(word, steps)
+    return let(word, steps)

@@ -13,10 +13,17 @@ def title_distance(a: Column, b: Column) -> Column:
     return F.try_divide(F.levenshtein(a, b), F.greatest(F.char_length(a), F.char_length(b)))
 
 
+def _at_most(a: Column, b: Column, longer: Column, min_distance: float) -> Column:
+    enough = F.ceil(F.lit(min_distance) * longer).cast("int")
+    edits = F.call_function("levenshtein", a, b, enough)  # -1 beyond that
+    return (edits >= 0) & (edits / longer < min_distance)
+
+
 def titles_alike(a: Column, b: Column, min_distance: float) -> Column:
     """True where the distance is below ``min_distance``; a missing title is never alike.
 
-    Equal titles and titles whose lengths alone keep them apart are settled without an edit distance.
+    Equal titles and titles whose lengths alone keep them apart are settled without an edit distance; for others it is
+    worked out only as far as it may matter.
     """
     longer = F.greatest(F.char_length(a), F.char_length(b))
     shorter = F.least(F.char_length(a), F.char_length(b))
@@ -24,6 +31,6 @@ def titles_alike(a: Column, b: Column, min_distance: float) -> Column:
     return F.coalesce(
         F.when(a == b, (longer > 0) & F.lit(min_distance > 0))
         .when(at_least >= min_distance, F.lit(False))
-        .otherwise(title_distance(a, b) < min_distance),
+        .otherwise(_at_most(a, b, longer, min_distance)),
         F.lit(False),
     )

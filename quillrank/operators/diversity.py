@@ -130,10 +130,8 @@ def extend_selection(
         n_open = state.observed["n_open"]
         window *= 10
         if ranked is None:
-            ranked = workspace.save(
-                rank_all(candidates.join(unfinished.select("query_id"), "query_id", "left_semi"), options, workspace),
-                "ranked",
-            )
+            left = workspace.save(candidates.join(unfinished.select("query_id"), "query_id", "left_semi"), "candidates")
+            ranked = workspace.save(rank_all(left, options, workspace), "ranked")
             counts = ranked.groupBy("query_id").agg(F.max("position").alias("total"))
             unfinished = unfinished.drop("total").join(counts, "query_id")
         others = _undecided(ranked, state, window, documents, options)

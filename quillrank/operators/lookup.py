@@ -5,15 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
-def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str], small: bool, salts: int, spread_by: str) -> DataFrame:
+def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str], small: bool) -> DataFrame:
     """Inner equi-join; ``small`` says that the measured lookup side may be broadcast.
 
-    Otherwise both sides are shuffled, every key of ``facts`` cut into ``salts`` pieces by the hash of
-    ``spread_by`` and the lookup side repeated once per piece, so that a key that holds a large share of
-    the rows does not end up in one task.
+    Otherwise both sides are shuffled by the key. A key that holds a large share of the rows of ``facts`` is then split by
+    its measured size while the job runs (``spark.sql.adaptive.skewJoin``), so no number of pieces is set here.
     """
-    if small:
-        return facts.join(F.broadcast(lookup), on)
-    pieces = lookup.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = facts.withColumn("salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
-    return salted.join(pieces, [*on, "salt"]).drop("salt")
+    return facts.join(F.broadcast(lookup) if small else lookup, on)

@@ -2,44 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from quillrank.functions.binding import let
 from quillrank.operators.lookup import lookup_join
 from quillrank.operators.terms import PRESENT
 from quillrank.options import RankOptions
 
 
+def token_counts(tokens: Column) -> Column:
+    """``array<struct<token, n>>``: each distinct token and how often it occurs, counted inside the row."""
+
+    def runs(ordered: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(ordered) - 1)
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+        return let(starts, lambda at: F.transform(at, lambda start, i: run(ordered, at, start, i)))
+
+    def run(ordered: Column, at: Column, start: Column, i: Column) -> Column:
+        end = F.coalesce(F.get(at, i + 1), F.size(ordered))
+        return F.struct(F.get(ordered, start).alias("token"), (end - start).cast("long").alias("n"))
+
+    empty = F.array().cast("array<struct<token:string,n:bigint>>")
+    return F.when(F.size(tokens) > 0, let(F.array_sort(tokens), runs)).otherwise(empty)
+
+
 def match_terms(documents: DataFrame, dictionary: DataFrame, options: RankOptions, small: bool = True) -> DataFrame:
-    """``(doc_key, doc_id, doc_len, title, term)``: a row per occurrence of a query term, and one with the
-    empty term and the title per non-empty document.
+    """``(doc_key, doc_id, doc_len, title, term, tf, is_document)``: a row per query term of a document, or several that
+    add up, and one with the title per non-empty document.
 
-    This is the one pass over the text. All later steps read only these rows. ``doc_key`` tells rows
-    apart whose ids are equal; it holds once the rows are written.
+    This is the one pass over the text. Tokens are counted before they become rows. All later steps read only these rows.
+    ``doc_key`` tells rows apart whose ids are equal; it holds once the rows are written.
     """
     # The key goes first: it keeps the filter from being pushed down, where it would repeat the analysis.
     rows = documents.withColumn("doc_key", F.monotonically_increasing_id()).where(F.col("doc_len") > 0)
-    tokens = F.concat(F.array(F.lit(PRESENT)), F.col("title_tokens"), F.col("body_tokens"))
-    keys = ["doc_key", "doc_id", "doc_len", "title"]
     on = ["token"]
+    no_title = F.lit(None).cast("string").alias("title")
+
+    def entries(tokens: Column, in_body: bool) -> Column:
+        return F.transform(
+            token_counts(tokens), lambda e: F.struct(e["token"].alias("token"), e["n"].alias("tf"), no_title, F.lit(in_body).alias("in_body"))
+        )
+
     if "in_body" in dictionary.columns:
         on.append("in_body")
-        rows = rows.select(*keys, F.size("title_tokens").alias("n_title"), F.posexplode(tokens).alias("pos", "token"))
-        rows = rows.withColumn("in_body", F.col("pos") > F.col("n_title"))
+        counted = F.concat(entries(F.col("title_tokens"), False), entries(F.col("body_tokens"), True))
     else:
-        rows = rows.select(*keys, F.explode(tokens).alias("token"))
-    matched = lookup_join(rows, dictionary, on, small, options.salts, "doc_key")
-    title = F.when(F.col("term") == PRESENT, F.col("title"))
-    return matched.select("doc_key", "doc_id", "doc_len", title.alias("title"), "term")
+        counted = entries(F.concat("title_tokens", "body_tokens"), False)
+    head = F.struct(F.lit(PRESENT).alias("token"), F.lit(0).cast("long").alias("tf"), F.col("title").alias("title"), F.lit(False).alias("in_body"))
+    rows = rows.select("doc_key", "doc_id", "doc_len", F.explode(F.concat(F.array(head), counted)).alias("entry"))
+    rows = rows.select("doc_key", "doc_id", "doc_len", "entry.*")
+    matched = lookup_join(rows, dictionary, on, small)
+    return matched.select("doc_key", "doc_id", "doc_len", "title", "term", "tf", (F.col("term") == PRESENT).alias("is_document"))
 
 
 def matched_documents(matches: DataFrame) -> DataFrame:
     """``(doc_key, doc_id, doc_len, title)``, one row per non-empty document."""
-    return matches.where(F.col("term") == PRESENT).select("doc_key", "doc_id", "doc_len", "title")
+    return matches.where("is_document").select("doc_key", "doc_id", "doc_len", "title")
 
 
 def hits(matches: DataFrame) -> DataFrame:
-    """``(doc_key, doc_id, doc_len, term)``, one row per occurrence of a query term."""
-    return matches.where(F.col("term") != PRESENT).select("doc_key", "doc_id", "doc_len", "term")
+    """``(doc_key, doc_id, doc_len, term, tf)``; rows of one document and term add up."""
+    return matches.where(~F.col("is_document")).select("doc_key", "doc_id", "doc_len", "term", "tf")
 
 
 def corpus_stats(documents: DataFrame) -> DataFrame:
@@ -59,7 +82,7 @@ def term_frequencies(hits: DataFrame) -> DataFrame:
     Hits are shuffled by document alone. Scoring groups by document too, so it needs no second shuffle.
     """
     return (
-        hits.repartition("doc_key").groupBy("doc_key", "doc_id", "doc_len", "term").agg(F.count(F.lit(1)).alias("tf"))
+        hits.repartition("doc_key").groupBy("doc_key", "doc_id", "doc_len", "term").agg(F.sum("tf").alias("tf"))
     )
 
 
@@ -72,4 +95,4 @@ def term_statistics(hits: DataFrame, stats: DataFrame) -> DataFrame:
 
 def collection_tf(hits: DataFrame) -> DataFrame:
     """``(term, cf)``: occurrences of each query term in the corpus, summed before the shuffle."""
-    return hits.groupBy("term").agg(F.count(F.lit(1)).alias("cf"))
+    return hits.groupBy("term").agg(F.sum("tf").alias("cf"))

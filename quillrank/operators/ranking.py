@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from quillrank.options import RankOptions
 from quillrank.workspace import Workspace
 
+PART_BITS = 33  # that monotonically_increasing_id() leaves for the rows of a partition
 BEST_FIRST = (F.desc, "score"), (F.asc, "doc_id"), (F.asc, "doc_key")
 
 
@@ -18,11 +19,13 @@ def best_first() -> list:
 def first_per_query(rows: DataFrame, count: int, order: list, name: str) -> DataFrame:
     """The first ``count`` rows of every query, with their place as ``name``.
 
-    The comparison with a constant lets Spark cut every partition down to ``count`` rows per query before
-    the shuffle, so a query that matches most of the corpus sends no more than the others.
+    In two steps, first within pieces of a query: many partitions may each send ``count`` rows of one query. The comparison
+    with a constant lets Spark cut every partition down to that before the shuffle.
     """
-    window = Window.partitionBy("query_id").orderBy(*order)
-    return rows.withColumn(name, F.row_number().over(window)).where(F.col(name) <= count)
+    pieces = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    for key in (["query_id", F.pmod(F.xxhash64("doc_key"), F.lit(pieces))], ["query_id"]):
+        rows = rows.withColumn(name, F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where(F.col(name) <= count)
+    return rows
 
 
 def top_per_query(scores: DataFrame, count: int) -> DataFrame:
@@ -30,28 +33,23 @@ def top_per_query(scores: DataFrame, count: int) -> DataFrame:
     return first_per_query(scores, count, best_first(), "position")
 
 
-def rank_all(scores: DataFrame, options: RankOptions, workspace: Workspace) -> DataFrame:
-    """Every row with its ``position`` in its query, without one task per query.
+def numbered(rows: DataFrame, order: list, name: str, workspace: Workspace) -> DataFrame:
+    """``rows`` with their place in ``order``, from 1 on, as ``name``; one shuffle, and no single task.
 
-    Rows are range-partitioned by query and order, so a large query spreads over many slices. A row's
-    position is its place in its slice plus the rows of earlier slices. There are no more (query, slice)
-    pairs than queries and slices together; they are counted before they are broadcast.
+    Rows are range-partitioned and sorted, and written with their number within the partition. A place is that number
+    and the rows of the partitions before, of which there is one count each. ``rows`` is read twice, once for the bounds.
     """
-    # Range partitioning reads its input twice, once for the bounds.
-    scores = workspace.save(scores, "scores")
-    ordered = scores.repartitionByRange(F.col("query_id"), *best_first()).withColumn("slice", F.spark_partition_id())
-    slices = workspace.save(ordered, "slices")
-    earlier = Window.partitionBy("query_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        slices.groupBy("query_id", "slice")
-        .count()
-        .select("query_id", "slice", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before"))
-    )
-    offsets = workspace.save_measured(offsets, "offsets")
-    small = offsets.fits(options.broadcast_bytes)
-    within = Window.partitionBy("query_id", "slice").orderBy(*best_first())
-    return (
-        slices.join(F.broadcast(offsets.frame) if small else offsets.frame, ["query_id", "slice"])
-        .withColumn("position", F.col("before") + F.row_number().over(within))
-        .drop("slice", "before")
-    )
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("row", F.monotonically_increasing_id())
+    saved = workspace.save(ordered, "ordered").withColumn("part", F.shiftright("row", PART_BITS))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = saved.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
+    place = F.col("before") + F.col("row").bitwiseAND(F.lit((1 << PART_BITS) - 1)) + 1
+    return saved.join(F.broadcast(parts), "part").withColumn(name, place).drop("part", "row", "before")
+
+
+def rank_all(scores: DataFrame, options: RankOptions, workspace: Workspace) -> DataFrame:
+    """Every row of ``scores``, a written table, with its ``position`` in its query, without one task per query."""
+    places = workspace.save(numbered(scores, [F.col("query_id"), *best_first()], "place", workspace), "places")
+    first = workspace.save_measured(places.groupBy("query_id").agg(F.min("place").alias("first")), "first")
+    starts = F.broadcast(first.frame) if first.fits(options.broadcast_bytes) else first.frame
+    return places.join(starts, "query_id").withColumn("position", F.col("place") - F.col("first") + 1).drop("place", "first")

@@ -15,7 +15,7 @@ def posting_scores(postings: DataFrame, statistics: DataFrame, options: RankOpti
     A term's score in a document is the same for all queries, so it is computed before queries are joined.
     """
     score = dph(*[F.col(name) for name in ("tf", "cf", "doc_len", "avg_len", "n_docs")], options.ratio)
-    return lookup_join(postings, statistics, ["term"], small, options.salts, "doc_key").select(
+    return lookup_join(postings, statistics, ["term"], small).select(
         "doc_key", "doc_id", "doc_len", "term", "tf", "cf", score.alias("term_score")
     )
 
@@ -25,11 +25,9 @@ def query_shares(terms: DataFrame) -> DataFrame:
     return terms.groupBy("query_id", "term").agg((F.count(F.lit(1)) / F.max("n_terms")).alias("share"))
 
 
-def query_term_scores(
-    scored: DataFrame, shares: DataFrame, options: RankOptions, small: bool = True
-) -> DataFrame:
+def query_term_scores(scored: DataFrame, shares: DataFrame, small: bool = True) -> DataFrame:
     """``scored`` once for every query that holds the term, with ``query_id`` and ``share``."""
-    return lookup_join(scored, shares, ["term"], small, options.salts, "doc_key")
+    return lookup_join(scored, shares, ["term"], small)
 
 
 def document_scores(term_scores: DataFrame, options: RankOptions) -> DataFrame:

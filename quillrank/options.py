@@ -29,15 +29,14 @@ class RankOptions:
 
     # Physical choices; none of them changes the result
     broadcast_bytes: int = 64 << 20  # a lookup side larger than this is joined by shuffle
-    salts: int = 64  # pieces a key is cut into by that shuffle
 
     def __post_init__(self):
         if self.ratio not in ("real", "integer"):
             raise ValueError(f"ratio must be 'real' or 'integer', not {self.ratio!r}")
         if self.body_passes not in (1, 2):
             raise ValueError("body_passes must be 1 or 2")
-        if self.k < 1 or self.max_paragraphs < 0 or self.salts < 1:
-            raise ValueError("k and salts must be positive, max_paragraphs not negative")
+        if self.k < 1 or self.max_paragraphs < 0:
+            raise ValueError("k must be positive, max_paragraphs not negative")
         if not 1 <= self.depth <= 1000:
             # Above that Spark no longer cuts partitions down before the shuffle.
             raise ValueError("depth must be between 1 and 1000")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -11,6 +12,7 @@ from quillrank.operators.documents import analyze_documents
 from quillrank.operators.matching import (
     corpus_stats, hits, match_terms, matched_documents, term_frequencies, term_statistics,
 )
+from quillrank.operators.ranking import numbered
 from quillrank.operators.scoring import document_scores, posting_scores, query_shares, query_term_scores
 from quillrank.operators.terms import (
     plain_dictionary, query_terms, stem_vocabulary, stemmed_dictionary, vocabulary,
@@ -51,7 +53,7 @@ class Match:
         # Neither lookup side has more rows, or wider ones, than the measured query terms.
         small = self.terms.fits(self.options.broadcast_bytes)
         scored = posting_scores(self.postings, term_statistics(self.hits, self.stats), self.options, small)
-        return query_term_scores(scored, query_shares(self.terms.frame), self.options, small)
+        return query_term_scores(scored, query_shares(self.terms.frame), small)
 
     @property
     def scores(self) -> DataFrame:
@@ -73,27 +75,28 @@ def match_corpus(articles: DataFrame, queries: DataFrame, options: RankOptions,
         dictionary, small = stems.frame, stems.fits(options.broadcast_bytes)
     else:
         dictionary, small = plain_dictionary(terms.frame), terms.fits(options.broadcast_bytes)
-    matches = workspace.save(match_terms(documents, dictionary, options, small), "matches")
+    matches = workspace.save(match_terms(documents, dictionary, options, small), "matches", by="is_document")
     return Match(asked, terms, matches, options)
 
 
-def _zero_scores(match: Match, scores: DataFrame, short: DataFrame) -> DataFrame:
-    """A row with score 0.0 for every document that the queries in ``short`` do not score otherwise.
-
-    Only queries that cannot fill their ranking with positive scores get here. The rows are made document
-    by document and cut to the best per query before they are shuffled.
-    """
-    scored = scores.where(F.col("score") != 0).groupBy("doc_key").agg(F.collect_set("query_id").alias("scored"))
-    ids = short.agg(F.collect_list("query_id")).scalar()
-    others = F.array_except(ids, F.coalesce(F.col("scored"), F.array().cast("array<bigint>")))
-    return match.documents.join(scored, "doc_key", "left").select(
-        F.explode(others).alias("query_id"), "doc_key", "doc_id", F.lit(0.0).alias("score")
-    )
+def _unmatched(match: Match, numbers: DataFrame, scores: DataFrame, short: DataFrame, low: int, high: int) -> DataFrame:
+    """Score 0.0 for the queries in ``short`` and the documents numbered ``low`` + 1 to ``high`` that they do not score
+    otherwise."""
+    wanted = short.select("query_id", F.explode(F.sequence(F.lit(low + 1).cast("long"), F.lit(high).cast("long"))).alias("number"))
+    rows = wanted.join(numbers.where(F.col("number").between(low + 1, high)), "number")
+    scored = scores.where(F.col("score") != 0).select("query_id", "doc_key")
+    return rows.join(scored, ["query_id", "doc_key"], "left_anti").select("query_id", "doc_key", "doc_id", F.lit(0.0).alias("score"))
 
 
 def select_distinct(match: Match, workspace: Workspace) -> DataFrame:
-    """``(query_id, kept)`` for every query."""
-    options, scores, documents = match.options, match.scores, match.documents
+    """``(query_id, kept)`` for every query.
+
+    With ``include_unmatched``, queries that positive scores leave short go on with documents of score 0.0. Those tie, so
+    they come by id: documents are numbered by it once, and queries that are still short take windows of the next
+    numbers, ten times wider each. Negative scores come last.
+    """
+    options, documents = match.options, match.documents
+    scores = workspace.save(match.scores, "scores")  # later rounds read them again
     selection = no_selection(match.queries.frame, scores, documents)
 
     def extend(selection, candidates):
@@ -102,22 +105,29 @@ def select_distinct(match: Match, workspace: Workspace) -> DataFrame:
     if not options.include_unmatched:
         return extend(selection, scores)
 
-    done = extend(selection, scores.where(F.col("score") > 0))
-    for below in ("zero", "negative"):
-        parts = workspace.save_measured(
-            done.withColumn("short", F.size("kept") < options.k), "ranked", n_short=F.count_if("short")
+    finished = []
+
+    def unfinished(selection) -> tuple[DataFrame, int]:
+        found = workspace.save_measured(
+            selection.withColumn("short", F.size("kept") < options.k), "ranked", n_short=F.count_if("short")
         )
-        if not parts.observed["n_short"]:
-            return parts.frame.drop("short")
-        short = parts.frame.where("short").drop("short")
-        if below == "zero":
-            # Both rounds read the scores of these queries.
-            scores = workspace.save(scores.join(short.select("query_id"), "query_id", "left_semi"), "scores")
-            candidates = _zero_scores(match, scores, short)
-        else:
-            candidates = scores.where(F.col("score") < 0).join(short.select("query_id"), "query_id", "left_semi")
-        done = parts.frame.where(~F.col("short")).drop("short").union(extend(short, candidates))
-    return done
+        finished.append(found.frame.where(~F.col("short")).drop("short"))
+        return found.frame.where("short").drop("short"), found.observed["n_short"]
+
+    short, n_short = unfinished(extend(selection, scores.where(F.col("score") > 0)))
+    if n_short:
+        scores = workspace.save(scores.join(short.select("query_id"), "query_id", "left_semi"), "scores")
+        order = [F.asc("doc_id"), F.asc("doc_key")]
+        numbers = workspace.save_measured(numbered(documents.select("doc_id", "doc_key"), order, "number", workspace), "numbers")
+        low, width = 0, options.depth
+        while n_short and low < numbers.rows:
+            high = min(numbers.rows, low + width)
+            short, n_short = unfinished(extend(short, _unmatched(match, numbers.frame, scores, short, low, high)))
+            low, width = high, width * 10
+        if n_short:
+            below = scores.where(F.col("score") < 0).join(short.select("query_id"), "query_id", "left_semi")
+            finished.append(extend(short, below))
+    return reduce(DataFrame.union, finished)
 
 
 def rank_matches(match: Match, workspace: Workspace) -> DataFrame:

@@ -42,10 +42,10 @@ class Workspace:
     def folder(self, name: str) -> str:
         return f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
 
-    def save(self, frame: DataFrame, name: str) -> DataFrame:
-        """Write ``frame`` as Parquet and return it read back."""
+    def save(self, frame: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """Write ``frame`` as Parquet, in a folder per value of ``by``, and return it read back."""
         path = self.folder(name)
-        frame.write.parquet(path)
+        (frame.write.partitionBy(by) if by else frame.write).parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
     def save_measured(self, frame: DataFrame, name: str, **measures: Column) -> Measured:

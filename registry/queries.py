@@ -245,7 +245,7 @@ def _dph_scores_integer_ratio(spark, sf):
 @query("ranked_all")
 def _ranked_all(spark, sf):
     found, workspace = match(spark, sf)
-    ranking = rank_all(found.scores, PLAIN, workspace)
+    ranking = rank_all(workspace.save(found.scores, "scores"), PLAIN, workspace)
     return shown(ranking.select("query_id", "doc_id", "score", F.col("position").cast("int")))
 
 

@@ -3,7 +3,64 @@
 import math
 import re
 
-from quillrank.functions.porter import porter_stem
+
+def is_consonant(word, i):
+    return word[i] not in "aeiou" and (word[i] != "y" or i == 0 or not is_consonant(word, i - 1))
+
+
+def measure(word):
+    return sum(is_consonant(word, i) and not is_consonant(word, i - 1) for i in range(1, len(word)))
+
+
+def has_vowel(word):
+    return any(not is_consonant(word, i) for i in range(len(word)))
+
+
+def ends_cvc(word):
+    n = len(word)
+    return n > 2 and [is_consonant(word, i) for i in (n - 3, n - 2, n - 1)] == [True, False, True] and word[-1] not in "wxy"
+
+
+STEP2 = "ational ate tional tion enci ence anci ance izer ize bli ble alli al entli ent eli e ousli ous ization ize ation ate ator ate alism al iveness ive fulness ful ousness ous aliti al iviti ive biliti ble logi log".split()
+STEP3 = ["icate", "ic", "ative", "", "alize", "al", "iciti", "ic", "ical", "ic", "ful", "", "ness", ""]
+STEP4 = "al ance ence er ic able ible ant ement ment ent ion ou ism ate iti ous ive ize".split()
+
+
+def porter_stem(word):
+    """Porter's algorithm by his paper, with ``bli`` and ``logi``."""
+    if len(word) <= 2:
+        return word
+    if word.endswith("sses") or word.endswith("ies"):
+        word = word[:-2]
+    elif word.endswith("s") and not word.endswith("ss"):
+        word = word[:-1]
+    if word.endswith("eed"):
+        word = word[:-1] if measure(word[:-3]) else word
+    else:
+        for ending in ("ed", "ing"):
+            rest = word.removesuffix(ending)
+            if rest != word and has_vowel(rest):
+                if rest[-2:] in ("at", "bl", "iz"):
+                    rest += "e"
+                elif len(rest) > 1 and rest[-1] == rest[-2] and rest[-1] not in "lsz" and is_consonant(rest, len(rest) - 1):
+                    rest = rest[:-1]
+                elif measure(rest) == 1 and ends_cvc(rest):
+                    rest += "e"
+                word = rest
+                break
+    if word.endswith("y") and has_vowel(word[:-1]):
+        word = word[:-1] + "i"
+    for table in (STEP2, STEP3):
+        rules = dict(zip(table[::2], table[1::2]))
+        ending = max((e for e in rules if word.endswith(e)), key=len, default=None)
+        if ending and measure(word[: -len(ending)]):
+            word = word[: -len(ending)] + rules[ending]
+    ending = max((e for e in STEP4 if word.endswith(e)), key=len, default=None)
+    if ending and measure(word[: -len(ending)]) > 1 and (ending != "ion" or word[-4:-3] in ("s", "t")):
+        word = word[: -len(ending)]
+    if word.endswith("e") and (measure(word[:-1]) > 1 or measure(word[:-1]) == 1 and not ends_cvc(word[:-1])):
+        word = word[:-1]
+    return word[:-1] if word.endswith("ll") and measure(word) > 1 else word
 
 
 def tokens(text, options):

@@ -3,15 +3,16 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from quillrank import Workspace
 from quillrank.operators.documents import analyze_documents
 from quillrank.operators.matching import match_terms
-from quillrank.operators.ranking import top_per_query
+from quillrank.operators.ranking import numbered, top_per_query
 from quillrank.operators.terms import plain_dictionary, query_terms
-from quillrank.plans.ranking import match_corpus
-from quillrank.sources.tables import articles_from_documents, read_table, sample_articles, sample_queries
-from registry.queries import PLAIN
+from quillrank.plans.ranking import _unmatched, match_corpus
+from quillrank.sources.tables import sample_articles, sample_queries
+from registry.queries import PLAIN, QUERIES
 from tests.conftest import SF
 
 
@@ -26,13 +27,14 @@ def found(spark):
 
 
 def test_match_is_one_narrow_pass(spark):
-    documents = analyze_documents(articles_from_documents(read_table(spark, SF, "documents")), PLAIN)
+    documents = analyze_documents(sample_articles(spark, SF), PLAIN)
     text = plan(match_terms(documents, plain_dictionary(query_terms(sample_queries(spark, SF), PLAIN)), PLAIN))
     assert text.count("documents.parquet") == 1
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
     corpus_side = text.split("BroadcastExchange")[0]
     assert "BroadcastHashJoin" in corpus_side and "Exchange" not in corpus_side
     assert len(re.findall(r"split\(", corpus_side)) <= 4  # lines, title, body: nothing is tokenized twice
+    assert "Generate explode(concat(array(" in corpus_side  # of counts: tokens are counted before there are rows
     assert "Python" not in text
 
 
@@ -42,9 +44,24 @@ def test_scoring_shuffles_hits_once(found):
     assert not re.search(r"Exchange hashpartitioning\(query_id#\d+L?, doc_key", text)
     for name in ("CartesianProduct", "BroadcastNestedLoopJoin", "SortMergeJoin", "Python"):
         assert name not in text
-    assert "PushedFilters: [IsNotNull(term), Not(EqualTo(term,))]" in text
+    assert "PartitionFilters: [isnotnull(is_document" in text
+    assert text.index("sum(tf") < text.index("Exchange hashpartitioning(doc_key")
 
 
 def test_top_is_cut_before_the_shuffle(found):
     text = plan(top_per_query(found.scores, PLAIN.depth))
-    assert text.count("WindowGroupLimit") == 2
+    assert text.count("WindowGroupLimit") == 4
+
+
+def test_unmatched_rows_come_by_window(spark):
+    with Workspace(spark) as workspace:
+        found = match_corpus(sample_articles(spark, SF), sample_queries(spark, SF), PLAIN, workspace)
+        scores = workspace.save(found.scores, "scores")
+        numbers = numbered(found.documents.select("doc_id", "doc_key"), [F.asc("doc_id")], "number", workspace)
+        text = plan(_unmatched(found, numbers, scores, found.queries.frame, 0, 100))
+    assert "collect_" not in text and "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_no_python(spark):
+    for key in ("stem_vocabulary", "query_terms_stemmed", "ranked_top10_stemmed"):
+        assert "Python" not in plan(QUERIES[key](spark, SF))

@@ -62,8 +62,8 @@ VARIANTS = {
     "unmatched shallow": replace(BASE, include_unmatched=True, depth=2, k=4, stem=False),
     "unmatched integer, all words": replace(BASE, include_unmatched=True, ratio="integer", stopwords=(), stem=False, k=20),
     "two passes": replace(BASE, body_passes=2),
-    "two passes, shuffled": replace(BASE, body_passes=2, broadcast_bytes=0, salts=3),
-    "shuffled": replace(BASE, broadcast_bytes=0, salts=3, depth=4, k=6, stem=False),
+    "two passes, shuffled": replace(BASE, body_passes=2, broadcast_bytes=0),
+    "shuffled": replace(BASE, broadcast_bytes=0, depth=4, k=6, stem=False),
     "strict distance": replace(BASE, min_title_distance=0.9, k=5),
     "k 1": replace(BASE, k=1, depth=1),
 }
@@ -109,7 +109,7 @@ def test_full_ranking(spark):
     frame = spark.createDataFrame(corpus(5, size=300), SCHEMA)
     asked = spark.createDataFrame(QUERIES, "query_id bigint, query string")
     with Workspace(spark) as workspace:
-        scores = match_corpus(frame, asked, options, workspace).scores
+        scores = workspace.save(match_corpus(frame, asked, options, workspace).scores, "scores")
         for limit in (0, 64 << 20):
             rows = rank_all(scores, replace(options, broadcast_bytes=limit), workspace).collect()
             for query_id in {r["query_id"] for r in rows}:
@@ -120,7 +120,27 @@ def test_full_ranking(spark):
         assert len(rows) == scores.count()
 
 
+@pytest.mark.parametrize("limit", [0, 64 << 20])
+def test_string_query_ids(spark, limit):
+    """Any type of id, with queries that only unmatched documents can fill."""
+    options = replace(BASE, include_unmatched=True, stem=False, k=15, depth=4, broadcast_bytes=limit)
+    articles = corpus(6)
+    frame = spark.createDataFrame(spark.sparkContext.parallelize(articles, 2), SCHEMA)
+    asked = spark.createDataFrame([(f"q{i}", q) for i, q in QUERIES], "query_id string, query string")
+    with Workspace(spark) as workspace:
+        rows = rank_articles(frame, asked, options, workspace).orderBy("query_id", "rank").collect()
+    expected = plain.rank(articles, [(f"q{i}", q) for i, q in QUERIES], options)
+    assert {q: [(r["doc_id"], r["score"], r["title"]) for r in rows if r["query_id"] == q] for q in expected} == expected
+
+
+@pytest.mark.parametrize("limit", [0, 64 << 20])
+def test_a_term_in_every_document(spark, limit):
+    articles = [(f"d{i:03d}", f"{'xyz'[i % 3] * 9} {i}", [("paragraph", "common " * (1 + i % 5) + f"w{i % 11} " * (i % 7))]) for i in range(400)]
+    options = replace(BASE, stem=False, stopwords=(), broadcast_bytes=limit, depth=20)
+    assert ranked(spark, articles, [(1, "common"), (2, "w3")], options) == plain.rank(articles, [(1, "common"), (2, "w3")], options)
+
+
 def test_options_are_checked():
-    for wrong in ({"ratio": "x"}, {"body_passes": 3}, {"k": 0}, {"depth": 0}, {"depth": 1001}, {"salts": 0}):
+    for wrong in ({"ratio": "x"}, {"body_passes": 3}, {"k": 0}, {"depth": 0}, {"depth": 1001}):
         with pytest.raises(ValueError):
             RankOptions(**wrong)
