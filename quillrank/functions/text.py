@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, functions as F
 
 TOKEN_BREAK = "[^a-z0-9]+"
-TOKEN_LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789"
 # Letters outside ASCII whose lower case is an ASCII letter. They separate tokens like all others outside
 # ASCII, so they must go before lower().
 LOWERS_INTO_ASCII = ("\u0130", "\u212a")  # dotted capital I, Kelvin sign
