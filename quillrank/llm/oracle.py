@@ -56,3 +56,18 @@ links as (
 reach as (select doc_id as a, doc_id as b from documents union select r.a, l.b from reach r join links l on r.b = l.a)
 select s.doc_id, len(s.s) as n_shingles, min(r.b) as component_id from shingles s join reach r on r.a = s.doc_id group by all
 """
+
+LLM_ORACLE["op2_line_dedup"] = """
+with split as (select doc_id, string_split(text, chr(10)) as ls from documents),
+lines as (select doc_id, unnest(ls) as txt, generate_subscripts(ls, 1) as pos from split),
+pairs as (
+    select doc_id, pos, row_number() over (partition by txt, nxt order by doc_id, pos) > 1 as is_copy
+    from (select *, lead(txt) over (partition by doc_id order by pos) as nxt, lead(pos) over (partition by doc_id order by pos) as b from lines)
+    where b is not null
+),
+gone as (select distinct doc_id, unnest([pos, pos + 1]) as pos from pairs where is_copy)
+select s.doc_id, coalesce(len(ls), 0) as n_lines, count(g.pos) as n_removed,
+    sha256(coalesce(string_agg(l.txt, chr(10) order by l.pos) filter (g.pos is null), '')) as kept_sha256
+from split s left join lines l on l.doc_id = s.doc_id left join gone g on g.doc_id = l.doc_id and g.pos = l.pos
+group by s.doc_id, ls
+"""
