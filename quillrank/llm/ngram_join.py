@@ -249,11 +249,13 @@ def overlaps(documents: DataFrame, pairs: DataFrame, n_pairs: int, order: Order)
     return both.groupBy(*pairs.columns).agg(F.sum(part).alias("overlap"))
 
 
-def _links(documents: DataFrame, pairs: DataFrame, order: Order, workspace: Workspace, name: str) -> DataFrame:
+def _compared(documents: DataFrame, pairs: DataFrame, order: Order, workspace: Workspace, name: str) -> DataFrame:
     candidates = workspace.save_measured(pairs, f"{name}-pairs")
-    counted = overlaps(documents, candidates.frame, candidates.rows, order)
-    linked = F.col("overlap") >= _least_overlap(F.col("n_a"), F.col("n_b"))
-    return workspace.save(counted.where(linked).select("a", "b"), f"{name}-links")
+    return workspace.save(overlaps(documents, candidates.frame, candidates.rows, order), name)
+
+
+def _linked(compared: DataFrame) -> DataFrame:
+    return compared.where(F.col("overlap") >= _least_overlap(F.col("n_a"), F.col("n_b"))).select("a", "b")
 
 
 def near_duplicates(documents: DataFrame, workspace: Workspace, frequent: float = FREQUENT) -> DataFrame:
@@ -269,11 +271,11 @@ def near_duplicates(documents: DataFrame, workspace: Workspace, frequent: float
     total = described.agg(F.sum("n")).first()[0] or 0
     order = frequent_rows(described, frequent * total)
 
-    lists = _shared_prefixes(documents, order, workspace)
-    first_links = _links(documents, _star_pairs(lists), order, workspace, "star")
-    known = components(first_links, workspace)
-    more_links = _links(documents, _open_pairs(lists, known, workspace), order, workspace, "open")
-    joined = first_links.union(more_links)
+    lists = _weighted(_shared_prefixes(documents, order, workspace), workspace)
+    stars = _compared(documents, _star_pairs(lists), order, workspace, "stars")
+    known = components(_linked(stars), workspace)
+    rest = _compared(documents, _open_pairs(lists, known, _hubs(stars), workspace), order, workspace, "open")
+    joined = _linked(stars).union(_linked(rest))
     return _labelled(sets, workspace.save(components(joined, workspace), "components"))
 
 
@@ -301,27 +303,54 @@ def _shared_prefixes(documents: DataFrame, order: Order, workspace: Workspace) -
     return workspace.save(kept, "lists")
 
 
+def _weighted(lists: DataFrame, workspace: Workspace) -> DataFrame:
+    """``lists`` with a ``weight`` per set: how many others its rare n-grams lead to, on average.
+
+    In a group of near-copies the one that the others come from has the largest: what they changed is rare in them.
+    """
+    sizes = lists.groupBy("gram").agg(F.count(F.lit(1)).alias("size"))
+    weights = lists.join(sizes, "gram").groupBy("name", "n").agg((F.sum("size") / prefix_length_of(F.col("n"))).alias("weight"))
+    return workspace.save(lists.join(weights.drop("n"), "name"), "weighted")
+
+
 def _star_pairs(lists: DataFrame) -> DataFrame:
-    """``(a, b, n_a, n_b)``: every set with the first set of a list it is in."""
-    centres = lists.groupBy("gram").agg(F.min(F.struct("name", "n")).alias("centre"))
+    """``(a, b, n_a, n_b)``: every set with the heaviest set of a list it is in."""
+    centres = lists.groupBy("gram").agg(F.max(F.struct("weight", "name", "n")).alias("centre"))
     met = lists.join(centres, "gram").where(F.col("name") != F.col("centre.name"))
     pairs = met.groupBy(F.col("centre.name").alias("a"), F.col("name").alias("b"), F.col("centre.n").alias("n_a"), F.col("n").alias("n_b"))
     shared = pairs.agg(F.count(F.lit(1)).alias("shared"))
     return shared.where(_may_link(F.col("n_a"), F.col("n_b"), F.col("shared"))).drop("shared")
 
 
-def _open_pairs(lists: DataFrame, known: DataFrame, workspace: Workspace) -> DataFrame:
-    """``(a, b, n_a, n_b)``: the pairs that share enough rare n-grams and are not in one component yet."""
-    placed = lists.join(known, lists["name"] == known["node"], "left").select(
-        "gram", "name", "n", F.coalesce("component", "name").alias("component")
+def _hubs(stars: DataFrame) -> DataFrame:
+    """``(set, hub, far)``: of the sets that one was compared with the nearest, and the Jaccard distance to it."""
+    far = 1 - F.col("overlap") / (F.col("n_a") + F.col("n_b") - F.col("overlap"))
+    near = stars.groupBy(F.col("b").alias("set")).agg(F.min(F.struct(far.alias("far"), F.col("a").alias("hub"))).alias("near"))
+    centres = stars.select(F.col("a").alias("set")).distinct().select("set", F.col("set").alias("hub"), F.lit(0.0).alias("far"))
+    own = near.select("set", "near.hub", "near.far").join(centres.select("set"), "set", "left_anti")
+    return own.union(centres)
+
+
+def _open_pairs(lists: DataFrame, known: DataFrame, hubs: DataFrame, workspace: Workspace) -> DataFrame:
+    """``(a, b, n_a, n_b)``: the pairs that share enough rare n-grams and are not in one component yet.
+
+    The Jaccard distance obeys the triangle inequality: two sets whose distances to one hub differ by more than the
+    largest distance of a link are no link.
+    """
+    placed = (
+        lists.join(known, lists["name"] == known["node"], "left")
+        .join(hubs, F.col("name") == F.col("set"), "left")
+        .select("gram", "name", "n", F.coalesce("component", "name").alias("component"), "hub", "far")
     )
     placed = workspace.save(placed, "placed")
     mixed = placed.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("gram")
     left = placed.join(mixed, "gram")
-    a = left.select("gram", F.col("name").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    b = left.select("gram", F.col("name").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
+    a, b = (left.select("gram", *[F.col(c).alias(f"{c}_{side}") for c in ("name", "n", "component", "hub", "far")]) for side in "ab")
     fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT
-    shared = a.join(b, "gram").where((F.col("c_a") < F.col("c_b")) & fits).groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("shared"))
+    apart = F.abs(F.col("far_a") - F.col("far_b")) > (1 - PERCENT / 100 + 1e-9)
+    is_far = F.coalesce((F.col("hub_a") == F.col("hub_b")) & apart, F.lit(False))
+    met = a.join(b, "gram").where((F.col("component_a") < F.col("component_b")) & fits & ~is_far)
+    shared = met.groupBy(F.col("name_a").alias("a"), F.col("name_b").alias("b"), "n_a", "n_b").agg(F.count(F.lit(1)).alias("shared"))
     return shared.where(_may_link(F.col("n_a"), F.col("n_b"), F.col("shared"))).drop("shared")
 
 
