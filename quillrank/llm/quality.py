@@ -31,6 +31,7 @@ ROUNDS = 8  # models are averaged so often
 UPDATES = 4096  # documents that a round goes through at least, a small sample several times
 RATE = 0.5
 THRESHOLD = 0.3
+SLICE_BYTES = 1 << 19  # of text at once; features take some 150 times that
 _REPEATED = 0  # the bucket of a word that follows itself
 
 
@@ -103,7 +104,7 @@ def training_ids(labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> DataFr
 
 
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
+    for batch in slices(batches, size=SLICE_BYTES):
         buckets, first = features(batch.column("text"))
         found = [np.unique(buckets[a:b], return_counts=True) for a, b in zip(first[:-1], first[1:])]
         shares = [(count / max(1, count.sum())).astype(np.float32) for _, count in found]
@@ -186,7 +187,7 @@ def scored(documents: DataFrame, model: Model) -> DataFrame:
     weights, bias = model.per_bucket(), float(model.bias[1] - model.bias[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, size=SLICE_BYTES):
             found = pa.array(scores(batch.column("text"), weights, bias))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), found], names=["doc_id", "score"])
 
@@ -198,7 +199,7 @@ def accepted(documents: DataFrame, model: Model, threshold: float = THRESHOLD) -
     weights, bias = model.per_bucket(), float(model.bias[1] - model.bias[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, size=SLICE_BYTES):
             yield batch.filter(pa.array(scores(batch.column("text"), weights, bias) >= threshold))
 
     return documents.mapInArrow(run, documents.schema)

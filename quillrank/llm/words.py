@@ -149,13 +149,13 @@ def cut(column: pa.Array, lower: bool, inside: np.ndarray = BETWEEN_BLANKS) -> W
     return Words(data, start, np.flatnonzero(ends) + 1, np.searchsorted(start, bounds), bounds)
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches, cut so that each holds about ``SLICE_BYTES`` of text, or one longer text."""
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches, cut so that each holds about ``size`` bytes of text, or one longer text."""
     for batch in batches:
         sizes = pc.binary_length(batch.column(text).fill_null("")).to_numpy(zero_copy_only=False)
         below = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
         low = 0
         while low < len(sizes):
-            high = max(low + 1, int(np.searchsorted(below, below[low] + SLICE_BYTES, "right")) - 1)
+            high = max(low + 1, int(np.searchsorted(below, below[low] + size, "right")) - 1)
             yield batch.slice(low, high - low)
             low = high
