@@ -79,7 +79,8 @@ def test_shards(steps):
 def test_odd_rows(spark):
     rows = [(None, None, None, None, None), (1, "", "en", "a", 0), (2, "some words here", None, None, 15), (2, "some words here", None, None, 15)]
     docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, lang string, source string, n_chars long, shard int, size string")
-    for frame in (docs, docs.limit(0)):
-        for _, stage in corpus_pipeline.STAGES:
-            frame = stage(spark, frame, FOLDER)
-        assert {"doc_id", "shard", "slot"} <= set(frame.columns) and frame.count() <= 4
+    with Workspace(spark) as workspace:
+        for frame in (docs, docs.limit(0)):
+            for name, stage in corpus_pipeline.STAGES:
+                frame = workspace.save(stage(spark, frame, FOLDER), name)
+            assert {"doc_id", "shard", "slot"} <= set(frame.columns) and frame.count() <= 4
