@@ -133,11 +133,17 @@ def search_shard(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """``(vec_id, vector, dim)`` of the rows that take part, in double precision."""
+    """``(vec_id, vector, dim)`` of the rows that take part, in double precision, each once.
+
+    Equal rows go before shards are cut: however often a row is repeated, it is one of a shard's rows and one of the
+    places among equal vectors.
+    """
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     frame = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
     frame = frame.where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull()).where(finite)
-    return frame.where(F.exists("vector", lambda x: x != 0)).withColumn("dim", F.size("vector"))
+    # Vectors that differ in the sign of a zero only are equal.
+    frame = frame.where(F.exists("vector", lambda x: x != 0)).withColumn("vector", F.transform("vector", lambda x: x + F.lit(0.0)))
+    return frame.distinct().withColumn("dim", F.size("vector"))
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = K, factor: float = FACTOR, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:

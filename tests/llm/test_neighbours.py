@@ -55,6 +55,14 @@ def test_exact(spark, how):
     assert run(spark, rows, **how) == plain(rows)
 
 
+@pytest.mark.parametrize("how", [{}, {"shard_rows": 20}])
+def test_repeated_row_beside_equal_vectors(spark, how):
+    same, zero = [1.0, 0.5, 0.0], [1.0, 0.5, -0.0]
+    rows = [(0, same)] * 10 + [(i, same) for i in range(1, 9)] + [(10, zero)] * 10 + [(20 + i, [1.0, float(i), 2.0]) for i in range(30)]
+    got = run(spark, rows, **how)
+    assert got == plain(rows) and {i for q, _, i, _ in got if q == 0} == {1, 2, 3, 4, 5}
+
+
 def test_relaxed(spark):
     rng = random.Random(2)
     rows = [(i, [rng.gauss(0, 1) for _ in range(6)]) for i in range(3000)]
