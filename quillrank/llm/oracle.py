@@ -71,3 +71,25 @@ select s.doc_id, coalesce(len(ls), 0) as n_lines, count(g.pos) as n_removed,
 from split s left join lines l on l.doc_id = s.doc_id left join gone g on g.doc_id = l.doc_id and g.pos = l.pos
 group by s.doc_id, ls
 """
+
+# As op2_line_dedup, and a line of 50 words or more is a run by itself.
+LLM_ORACLE["op2_line_dedup_long_lines"] = r"""
+with split as (select doc_id, string_split(text, chr(10)) as ls from documents),
+lines as (select doc_id, unnest(ls) as txt, generate_subscripts(ls, 1) as pos from split),
+pairs as (
+    select doc_id, pos, row_number() over (partition by txt, nxt order by doc_id, pos) > 1 as is_copy
+    from (select *, lead(txt) over (partition by doc_id order by pos) as nxt, lead(pos) over (partition by doc_id order by pos) as b from lines)
+    where b is not null
+),
+long as (
+    select doc_id, pos, row_number() over (partition by txt order by doc_id, pos) > 1 as is_copy from lines
+    where len(list_filter(string_split_regex(txt, '[\x20\x09-\x0D]+'), lambda w: w <> '')) >= 50
+),
+gone as (
+    select doc_id, unnest([pos, pos + 1]) as pos from pairs where is_copy union select doc_id, pos from long where is_copy
+)
+select s.doc_id, coalesce(len(ls), 0) as n_lines, count(g.pos) as n_removed,
+    sha256(coalesce(string_agg(l.txt, chr(10) order by l.pos) filter (g.pos is null), '')) as kept_sha256
+from split s left join lines l on l.doc_id = s.doc_id left join gone g on g.doc_id = l.doc_id and g.pos = l.pos
+group by s.doc_id, ls
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillrank.llm.decontamination import find_items, n_hit
-from quillrank.llm.line_dedup import n_removed, without_repeats
+from quillrank.llm.line_dedup import LONG_WORDS, n_removed, without_repeats
 from quillrank.llm.mixing import count_words, place, taken_words
 from quillrank.llm.neighbours import nearest
 from quillrank.llm.ngram_join import near_duplicates
@@ -116,12 +116,21 @@ def op7_substring_dedup(spark, folder):
     return repeats(read_table(spark, folder, "documents"), session_workspace(spark))
 
 
-@query
-def op2_line_dedup(spark, folder):
-    kept = without_repeats(read_table(spark, folder, "documents"), session_workspace(spark))
+def _deduplicated_lines(spark, folder, long_words):
+    kept = without_repeats(read_table(spark, folder, "documents"), session_workspace(spark), long_words=long_words)
     return kept.select(
         "doc_id",
         "n_lines",
         n_removed().alias("n_removed"),
         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )
+
+
+@query
+def op2_line_dedup(spark, folder):
+    return _deduplicated_lines(spark, folder, None)  # its SQL counts lines alone
+
+
+@query
+def op2_line_dedup_long_lines(spark, folder):
+    return _deduplicated_lines(spark, folder, LONG_WORDS)
