@@ -12,7 +12,7 @@ from quillrank.llm.mixing import count_words, place, taken_words
 from quillrank.llm.neighbours import nearest
 from quillrank.llm.ngram_join import near_duplicates
 from quillrank.llm.quality import THRESHOLD, remainder, scored, train
-from quillrank.llm.secrets import count_kind, listed, log_ratios, scan, with_base_spans
+from quillrank.llm.secrets import count_kind, excess, listed, log_ratios, scan, with_base_spans
 from quillrank.llm.sharding import document_order, sharded
 from quillrank.llm.substring_dedup import repeats
 from quillrank.llm.warc import read_records, write_archives
@@ -83,7 +83,8 @@ def op3_secret_scans(spark, folder):
     found = with_base_spans(read_table(spark, folder, "documents"))
     # Every document has its spans written, so the texts are searched once.
     found = session_workspace(spark).save(found, "spans")
-    scanned = scan(found, log_ratios(found))
+    ratios = log_ratios(found)
+    scanned = scan(found, ratios, over=excess(found, ratios))
     base = F.col("base")
     return scanned.select(
         "doc_id",

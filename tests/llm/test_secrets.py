@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from quillrank.llm.queries import LLM_QUERIES
-from quillrank.llm.secrets import KINDS, log_ratios, redacted, scan, with_base_spans
+from quillrank.llm.secrets import KINDS, excess, log_ratios, redacted, scan, with_base_spans
 from quillrank.sources.tables import read_table
 from tests.llm import plain
 
@@ -52,6 +52,26 @@ def test_added_spans(spark):
     assert all(spans(r, "spans")[: len(r["base"])] == spans(r, "base") for i, r in rows.items() if i < 1000)
 
 
+def test_keys_among_words(spark):
+    rng = random.Random(4)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    key = lambda n, of=letters: "".join(rng.choice(of) for _ in range(n))
+    syllables = ["tion", "ing", "the", "er", "re", "con", "al", "ness"]
+    name = lambda n=6: "".join(rng.choice(syllables) for _ in range(n))
+    case = lambda word: rng.choice([word, word.upper()])
+    docs = [(i, f"text token={key(32)} " + " ".join(case(f"{name(3)}/{name(3)}") for _ in range(40))) for i in range(200)]
+    keys = {1000 + i: key(24) for i in range(40)}
+    paths = {i: "/".join([*(name(2) for _ in range(60)), k, *(name(2) for _ in range(30)), k[::-1], name(2)]) for i, k in keys.items()}
+    bare = [(2000 + i, f"the {key(20, letters[:26] + letters[52:])} key") for i in range(40)]
+    frame = found(spark, docs + list(paths.items()) + bare)
+    ratios = log_ratios(frame)
+    rows = {r["doc_id"]: r for r in scan(frame, ratios, over=excess(frame, ratios)).collect()}
+    added = {i: [s for s in spans(r, "spans") if s[1] == KINDS.index("random")] for i, r in rows.items()}
+    assert not any(added[i] for i, _ in docs)
+    assert sum({paths[i][a:b] for a, _, b in added[i]} == {k, k[::-1]} for i, k in keys.items()) >= 38
+    assert sum(added[i] == [(4, KINDS.index("random"), 24)] for i, _ in bare) >= 38
+
+
 def test_without_samples(spark):
     frame = found(spark, [(1, "nothing of that kind, internationalization"), (2, None)])
     assert log_ratios(frame) is None and [r["spans"] for r in scan(frame, None).collect()] == [[], []]
