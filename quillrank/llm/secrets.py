@@ -80,8 +80,25 @@ def base_spans(text: Column) -> Column:
 
 
 def _apart(runs: Column, base: Column) -> Column:
-    """Runs that touch no span of ``base``."""
-    return F.filter(runs, lambda run: ~F.exists(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"])))
+    """What of ``runs`` lies outside the spans of ``base``, in pieces of at least ``SAMPLE_RUN`` characters."""
+
+    def pieces(run: Column) -> Column:
+        def piece(low: Column, high: Column) -> Column:
+            value = F.substr(run["value"], (low - run["start"] + 1).cast("int"), (high - low).cast("int"))
+            return F.struct(low.alias("start"), run["kind"].alias("kind"), high.alias("end"), value.alias("value"))
+
+        def add(s: Column, high: Column) -> Column:
+            return F.when(high - s["at"] >= SAMPLE_RUN, F.array_append(s["found"], piece(s["at"], high))).otherwise(s["found"])
+
+        def step(s: Column, b: Column) -> Column:
+            return F.struct(F.greatest(s["at"], b["end"]).alias("at"), add(s, b["start"]).alias("found"))
+
+        touching = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+        none = F.array().cast("array<struct<start:long,kind:int,end:long,value:string>>")
+        cut = F.aggregate(touching, F.struct(run["start"].alias("at"), none.alias("found")), step, lambda s: add(s, run["end"]))
+        return F.when(F.size(touching) == 0, F.array(run)).otherwise(cut)
+
+    return F.flatten(F.transform(runs, pieces))
 
 
 def _run_pattern(least: int) -> str:

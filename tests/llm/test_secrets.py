@@ -52,6 +52,13 @@ def test_added_spans(spark):
     assert all(spans(r, "spans")[: len(r["base"])] == spans(r, "base") for i, r in rows.items() if i < 1000)
 
 
+def test_runs_beside_base_spans(spark):
+    key = "Zq8Xw2Lk9Vb4Nm7Tp1Rs"
+    docs = [(1, f"é {key}/token=abcdef"), (2, "0" * 24 + key), (3, f"{key}/token={'a' * 30}"), (4, f"{key} token=abcdef")]
+    runs = {r["doc_id"]: [(s["start"], s["end"], s["value"]) for s in r["runs"]] for r in found(spark, docs).collect()}
+    assert runs == {1: [(2, 23, key + "/")], 2: [(24, 44, key)], 3: [(0, 21, key + "/")], 4: [(0, 20, key)]}
+
+
 def test_keys_among_words(spark):
     rng = random.Random(4)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
