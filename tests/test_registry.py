@@ -1,3 +1,9 @@
+import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -21,6 +27,30 @@ def test_every_oracle_has_a_query():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_entry_without_the_optional_part(tmp_path):
+    """The tree without the operators on training data, with and without the pipeline's file."""
+    root = Path(registered.__file__).parent
+    tree = tmp_path / "tree"
+    optional = ("quillrank/llm", "tests/llm")
+    shutil.copytree(
+        root,
+        tree,
+        ignore=lambda folder, names: [n for n in names if n in (".git", "__pycache__") or os.path.relpath(f"{folder}/{n}", root) in optional],
+    )
+    code = """
+import __spark_entry__ as e
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+assert set(e.oracle_sql()) == set(e.queries()) and "pipeline" not in e.queries()
+assert e.queries()["tokenize"](spark, "%s").count()
+""" % SF
+    for drop in (None, tree / "corpus_pipeline.py"):
+        if drop:
+            drop.unlink(missing_ok=True)
+        run = subprocess.run([sys.executable, "-c", code], cwd=tree, env={**os.environ, "PYTHONPATH": str(tree)}, capture_output=True, text=True, timeout=300)
+        assert run.returncode == 0, run.stderr[-2000:]
+
+
 @pytest.mark.parametrize("key", QUERIES)
 def test_query(spark, database, key):
     frame = registered.queries()[key](spark, SF)
