@@ -31,7 +31,6 @@ from quillrank.workspace import Workspace
 WINDOW = 50
 BLOCK = WINDOW // 2  # any WINDOW words hold a whole block of that size
 FREQUENT = 1e-5  # share of all blocks from which one counts as frequent
-_TAG = 24  # bits of a text's name beside its id, for ids with several texts
 
 
 def text_names(words: Words, prints: np.ndarray) -> np.ndarray:
@@ -167,7 +166,7 @@ def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _windows(order: Order):
-    """``(gram, first, place, is_frequent)`` of the windows around hits; ``place`` also has some bits of the name."""
+    """``(gram, name, first, place, is_frequent)`` of the windows around hits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -178,11 +177,12 @@ def _windows(order: Order):
             often = order.ranks(run_fingerprints(prints, words.first[text] + place, BLOCK)) > 0
             is_frequent = _covering(words, text[often], place[often])[starts]
             owners = np.searchsorted(words.first, starts, "right") - 1
-            tags = batch.column("name").to_numpy() & ((1 << _TAG) - 1)
+            whose = pa.array(owners)
             yield batch_of(
                 gram=pa.array(run_fingerprints(prints, starts, WINDOW).view(np.int64)),
-                first=batch.column("first").take(pa.array(owners)),
-                place=pa.array((tags[owners] << (63 - _TAG)) | (starts - words.first[owners])),
+                name=batch.column("name").take(whose),
+                first=batch.column("first").take(whose),
+                place=pa.array(starts - words.first[owners], pa.int32()),
                 is_frequent=pa.array(is_frequent),
             )
 
@@ -230,7 +230,8 @@ def repeats(documents: DataFrame, workspace: Workspace) -> DataFrame:
     schema = "doc_id long, n long, name long, whole string, grams array<long>, counts array<long>"
     described = workspace.save(documents.mapInArrow(_describe, schema), "described")
     texts = described.where(F.col("n").isNotNull()).select("doc_id", "n", "name", "whole")
-    classes = texts.groupBy("name").agg(F.min("doc_id").alias("first"))
+    # Written, as joins may split a name that many rows have only where no aggregate lies below them.
+    classes = workspace.save(texts.groupBy("name").agg(F.min("doc_id").alias("first")), "classes")
 
     blocks = described.where(F.col("n") > 0).select(F.explode("grams").alias("gram"))
     n_blocks = described.agg(F.sum(F.when(F.col("n") > 0, F.size("grams")))).first()[0] or 0
@@ -246,13 +247,8 @@ def repeats(documents: DataFrame, workspace: Workspace) -> DataFrame:
     suspects = anchors.join(named, "name").groupBy("name", "first", "places").agg(F.first("text").alias("text"))
     suspects = workspace.save(suspects, "suspects")
 
-    place = (F.lit(1).cast("long") * (1 << (63 - _TAG))) - 1
-    found = _repeated(suspects, order).select(
-        "first", F.shiftrightunsigned("place", 63 - _TAG).alias("tag"), F.col("place").bitwiseAND(place).cast("int").alias("place")
-    )
-    by_text = found.groupBy("first", "tag").agg(F.collect_list("place").alias("repeats"))
-    tag = F.col("name").bitwiseAND(F.lit((1 << _TAG) - 1)).alias("tag")
-    joined = suspects.select("name", "first", "text", tag).join(by_text, ["first", "tag"]).select("name", "text", "repeats")
+    by_text = _repeated(suspects, order).groupBy("name").agg(F.collect_list("place").alias("repeats"))
+    joined = suspects.select("name", "text").join(by_text, "name").select("name", "text", "repeats")
     cut_out = joined.mapInArrow(_cut_out, f"name long, n_removed long, kept string, spans {SPANS}")
     return _result(texts, classes, workspace.save(cut_out, "cut"))
 
@@ -270,22 +266,22 @@ def _anchors(documents: DataFrame, bits: np.ndarray, order: Order, classes: Data
 
 
 def _repeated(suspects: DataFrame, order: Order) -> DataFrame:
-    """``(first, place)`` of the windows that a document with a smaller id has.
+    """``(name, place)`` of the windows that a document with a smaller id has.
 
     Windows around frequent blocks are dealt to many tasks. There all rows but the first are repeats already; the firsts
     of all tasks are compared once more.
     """
-    rows = suspects.mapInArrow(_windows(order), "gram long, first long, place long, is_frequent boolean")
+    rows = suspects.mapInArrow(_windows(order), "gram long, name long, first long, place int, is_frequent boolean")
     salts = int(suspects.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.when(F.col("is_frequent"), F.pmod(F.xxhash64("first"), F.lit(salts))).otherwise(F.lit(0))
+    salt = F.when(F.col("is_frequent"), F.pmod(F.xxhash64("name"), F.lit(salts))).otherwise(F.lit(0))
     keyed = rows.withColumn("salt", salt).withColumn("least", F.expr("min(first) over (partition by gram, salt)"))
     # A text's row in a task holds for the task: which rows are undecided depends on whole groups only.
     marked = keyed.withColumn("is_repeat", F.col("least") < F.col("first"))
     again = marked.where(F.col("is_repeat") | F.col("is_frequent")).withColumn(
-        "key", F.when(F.col("is_repeat"), F.xxhash64("gram", "first", "place")).otherwise(F.col("gram"))
+        "key", F.when(F.col("is_repeat"), F.xxhash64("gram", "name", "place")).otherwise(F.col("gram"))
     )
     last = again.withColumn("least", F.expr("min(first) over (partition by key, is_repeat)"))
-    return last.where(F.col("is_repeat") | (F.col("least") < F.col("first"))).select("first", "place")
+    return last.where(F.col("is_repeat") | (F.col("least") < F.col("first"))).select("name", "place")
 
 
 def _result(texts: DataFrame, classes: DataFrame, cut_out: DataFrame) -> DataFrame:

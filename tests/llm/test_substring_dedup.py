@@ -55,3 +55,15 @@ def test_query(spark):
     docs = [tuple(r) for r in read_table(spark, folder, "documents").select("doc_id", "text").collect()]
     rows = LLM_QUERIES["op7_substring_dedup"](spark, folder).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
     assert sorted([tuple(r) for r in rows], key=repr) == plain.repeats(docs)
+
+
+def test_many_texts_under_one_id(spark):
+    """Each of 30,000 texts of one id holds the same 50 words of another document, somewhere, and nothing else of it."""
+    passage = [f"p{i}" for i in range(50)]
+    docs = [(1, " ".join(passage))]
+    for i in range(30_000):
+        before = [f"u{i}x{j}" for j in range(i % 7)]
+        docs.append((2, " ".join([*before, *passage, f"v{i}"])))
+    got = run(spark, docs)
+    assert len(got) == 30_001 and {row[2] for row in got if row[0] == 2} == {50}
+    assert got == plain.repeats(docs)
