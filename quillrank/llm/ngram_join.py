@@ -1,7 +1,11 @@
 """N-gram Jaccard join by vertical partitioning.
 
 A document is the set of its word n-grams. All n-grams have one global order, rare before frequent, which is cut into
-fragments. Two sets that are alike share one of their rarest n-grams (prefix filter), so candidates come from there; the
+fragments. How many sets have an n-gram is counted in a table of ``SLOTS`` cells, added up over tasks: n-grams of one cell
+count together, so the order is by frequency up to that noise, and total at every size. What a group of near-copies shares
+is then no prefix of those that differ in enough unique n-grams, and groups cost in proportion to their size. With n distinct
+n-grams a cell holds n / SLOTS others, give or take the square root: groups smaller than that stray are ordered by chance, and
+have pairs with the square of that small size at most. Two sets that are alike share one of their rarest n-grams (prefix filter), so candidates come from there; the
 overlap of a candidate pair is counted fragment by fragment and summed.
 
 Links are needed up to connection only. First every set is compared with one other set per shared rare n-gram, the centre of
@@ -30,6 +34,9 @@ from quillrank.workspace import Workspace
 N = 5
 PERCENT = 80
 FREQUENT = 1e-5  # share of all n-grams from which one counts as frequent; so there are at most 1 / FREQUENT of them
+SLOTS = 1 << 22  # cells of the table of counts
+CHUNK = 1 << 16  # cells in a row of it
+STEPS = 8  # levels per doubling of a count
 FRAGMENTS = 4  # of the n-grams that are not frequent; these are a last one
 _BUFFER = 1 << 21
 _SEEN = 1 << 20
@@ -60,6 +67,45 @@ def set_names(grams: np.ndarray, first: np.ndarray) -> np.ndarray:
     return mix(sums[first[1:]] - sums[first[:-1]], 12) ^ np.diff(first).astype(np.uint64)
 
 
+def slots_of(grams: np.ndarray) -> np.ndarray:
+    return (grams >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
+
+
+def add_to(table: np.ndarray, grams: np.ndarray) -> None:
+    """Count ``grams`` in their cells, up to the largest number of the table's type."""
+    cells, n = np.unique(slots_of(grams), return_counts=True)
+    table[cells] = np.minimum(table[cells] + n, np.iinfo(table.dtype).max)
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(chunk, levels)``: the cells of all tasks added up, as levels, from rows in order of ``chunk``."""
+    chunk, total = None, None
+
+    def row(chunk, total):
+        levels = np.minimum(np.rint(np.log2(total + 1) * STEPS), 255).astype(np.uint8)
+        return batch_of(chunk=pa.array([chunk], pa.int32()), levels=pa.array([levels.tobytes()], pa.binary()))
+
+    for batch in batches:
+        for at, cells in zip(batch.column("chunk").to_pylist(), batch.column("cells")):
+            if at != chunk:
+                if chunk is not None:
+                    yield row(chunk, total)
+                chunk, total = at, np.zeros(CHUNK, np.int64)
+            total += np.frombuffer(cells.as_buffer(), np.uint16)
+    if chunk is not None:
+        yield row(chunk, total)
+
+
+def levels_of(described: DataFrame) -> np.ndarray:
+    """The level of every cell: ``SLOTS`` bytes, however large the corpus."""
+    rows = described.where(F.col("chunk").isNotNull()).select("chunk", "cells")
+    rows = rows.repartition("chunk").sortWithinPartitions("chunk")
+    out = np.zeros(SLOTS, np.uint8)
+    for at, levels in zip(*rows.mapInArrow(_summed, "chunk int, levels binary").toArrow().to_pydict().values()):
+        out[at * CHUNK : (at + 1) * CHUNK] = np.frombuffer(levels, np.uint8)
+    return out
+
+
 class Counter:
     """Counts of n-grams in bounded memory: when it is full, the rarest are forgotten."""
 
@@ -88,42 +134,52 @@ class Counter:
 
 
 def _describe(share: float):
-    """One row per document, and at a task's end one that lists the n-grams that are frequent in the task."""
+    """One row per document; at a task's end one that lists the n-grams that are frequent in the task, and its cells."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(int(2 / share))
+        counter, unseen, table = Counter(int(2 / share)), Unseen(), np.zeros(SLOTS, np.uint16)
         for batch in slices(batches):
             grams, first = shingle_sets(batch.column("text"))
+            names = set_names(grams, first)
             counter.add(grams)
-            rows = len(first) - 1
-            yield batch_of(
-                doc_id=batch.column("doc_id"),
-                n=pa.array(np.diff(first), pa.int64()),
-                name=pa.array(set_names(grams, first).view(np.int64)),
-                grams=pa.nulls(rows, pa.list_(pa.int64())),
-                counts=pa.nulls(rows, pa.list_(pa.int64())),
-            )
+            add_to(table, grams[np.repeat(unseen(names), np.diff(first))])
+            yield described_rows(len(names), doc_id=batch.column("doc_id"), n=np.diff(first), name=names.view(np.int64))
         counter.settle()
         often = counter.counts >= max(2, share * counter.total)
-        yield batch_of(
-            doc_id=pa.nulls(1, pa.int64()),
-            n=pa.nulls(1, pa.int64()),
-            name=pa.nulls(1, pa.int64()),
-            grams=pa.array([counter.keys[often].view(np.int64)], pa.list_(pa.int64())),
-            counts=pa.array([counter.counts[often]], pa.list_(pa.int64())),
-        )
+        yield described_rows(1, grams=[counter.keys[often].view(np.int64)], counts=[counter.counts[often]])
+        for chunk, cells in enumerate(table.reshape(-1, CHUNK)):
+            if cells.any():
+                yield described_rows(1, chunk=[chunk], cells=[cells.tobytes()])
 
     return run
 
 
+_DESCRIBED = {
+    "doc_id": pa.int64(),
+    "n": pa.int64(),
+    "name": pa.int64(),
+    "grams": pa.list_(pa.int64()),
+    "counts": pa.list_(pa.int64()),
+    "chunk": pa.int32(),
+    "cells": pa.binary(),
+}
+
+
+def described_rows(rows: int, **columns) -> pa.RecordBatch:
+    """A batch of the columns of ``_DESCRIBED``; those not given are null."""
+    given = {name: value if isinstance(value, pa.Array) else pa.array(value, _DESCRIBED[name]) for name, value in columns.items()}
+    return batch_of(**{name: given.get(name, pa.nulls(rows, kind)) for name, kind in _DESCRIBED.items()})
+
+
 def batch_of(**columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
 class Order:
-    """The global order: n-grams that are not frequent by fingerprint, then the frequent ones by frequency."""
+    """The global order: by the level of an n-gram's cell, then by fingerprint; and which n-grams are frequent."""
 
-    def __init__(self, frequent: np.ndarray, counts: np.ndarray):
+    def __init__(self, frequent: np.ndarray, counts: np.ndarray, levels: np.ndarray | None = None):
+        self.levels = levels
         by_key = np.argsort(frequent)
         self.frequent = frequent[by_key]
         rank = np.empty(len(frequent), np.int64)
@@ -137,6 +193,9 @@ class Order:
         at = np.minimum(np.searchsorted(self.frequent, grams), len(self.frequent) - 1)
         return np.where(self.frequent[at] == grams, self.rank[at], 0)
 
+    def level(self, grams: np.ndarray) -> np.ndarray:
+        return np.zeros(len(grams), np.uint8) if self.levels is None else self.levels[slots_of(grams)]
+
     def fragments(self, grams: np.ndarray) -> np.ndarray:
         cell = (grams // np.uint64(-(-(1 << 64) // FRAGMENTS))).astype(np.int64)
         return np.where(self.ranks(grams) > 0, FRAGMENTS, cell)
@@ -166,19 +225,17 @@ def _prefixes(order: Order):
         for batch in slices(batches):
             grams, first = shingle_sets(batch.column("text"))
             sizes, names = np.diff(first), set_names(grams, first)
-            ranks = order.ranks(grams)
             owners = np.repeat(np.arange(len(sizes)), sizes)
-            if ranks.any():
-                by_order = np.lexsort((grams, ranks, owners))
-                grams, ranks = grams[by_order], ranks[by_order]
+            # Grams are sorted within their set, and the sort is stable.
+            by_order = np.argsort((owners << 8) | order.level(grams), kind="stable")
             keep = np.arange(len(grams)) - first[owners] < prefix_length(sizes)[owners]
             keep &= unseen(names)[owners]
-            own = owners[keep]
+            own, grams = owners[keep], grams[by_order[keep]]
             yield batch_of(
-                gram=pa.array(grams[keep].view(np.int64)),
+                gram=pa.array(grams.view(np.int64)),
                 name=pa.array(names[own].view(np.int64)),
                 n=pa.array(sizes[own], pa.int32()),
-                is_frequent=pa.array(ranks[keep] > 0),
+                is_frequent=pa.array(order.ranks(grams) > 0),
             )
 
     return run
@@ -235,12 +292,15 @@ def _segments(order: Order, wanted: np.ndarray):
     return run
 
 
-def overlaps(documents: DataFrame, pairs: DataFrame, n_pairs: int, order: Order) -> DataFrame:
-    """``pairs`` (``a``, ``b`` and more) with ``overlap``: partial overlaps per fragment, summed."""
+def overlaps(documents: DataFrame, pairs: DataFrame, n_pairs: int, order: Order, workspace: Workspace) -> DataFrame:
+    """``pairs`` (``a``, ``b`` and more) with ``overlap``: partial overlaps per fragment, summed.
+
+    Segments are written, so that the join on them may be split where one set is in many pairs.
+    """
     names = pairs.select(F.explode(F.array("a", "b")).alias("name"))
     wanted = bitmap(names, F.col("name"), size_for(2 * n_pairs))
     found = documents.select("text").mapInArrow(_segments(order, wanted), "name long, fragment int, grams array<long>")
-    segments = found.groupBy("name", "fragment").agg(F.first("grams").alias("grams"))  # copies of a set are equal
+    segments = workspace.save(found.groupBy("name", "fragment").agg(F.first("grams").alias("grams")), "segments")  # copies are equal
     spread = pairs.withColumn("fragment", F.explode(F.array(*[F.lit(f) for f in range(FRAGMENTS + 1)])))
     left = segments.select(F.col("name").alias("a"), "fragment", F.col("grams").alias("in_a"))
     right = segments.select(F.col("name").alias("b"), "fragment", F.col("grams").alias("in_b"))
@@ -251,7 +311,9 @@ def overlaps(documents: DataFrame, pairs: DataFrame, n_pairs: int, order: Order)
 
 def _compared(documents: DataFrame, pairs: DataFrame, order: Order, workspace: Workspace, name: str) -> DataFrame:
     candidates = workspace.save_measured(pairs, f"{name}-pairs")
-    return workspace.save(overlaps(documents, candidates.frame, candidates.rows, order), name)
+    if not candidates.rows:
+        return candidates.frame.withColumn("overlap", F.lit(0).cast("long"))
+    return workspace.save(overlaps(documents, candidates.frame, candidates.rows, order, workspace), name)
 
 
 def _linked(compared: DataFrame) -> DataFrame:
@@ -265,18 +327,19 @@ def near_duplicates(documents: DataFrame, workspace: Workspace, frequent: float
     smallest id that links reach.
     """
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "doc_id long, n long, name long, grams array<long>, counts array<long>"
+    schema = "doc_id long, n long, name long, grams array<long>, counts array<long>, chunk int, cells binary"
     described = workspace.save(documents.mapInArrow(_describe(frequent), schema), "sets")
     sets = described.where(F.col("n").isNotNull()).select("doc_id", "n", "name")
     total = described.agg(F.sum("n")).first()[0] or 0
     order = frequent_rows(described, frequent * total)
+    order.levels = levels_of(described)
 
     lists = _weighted(_shared_prefixes(documents, order, workspace), workspace)
-    stars = _compared(documents, _star_pairs(lists), order, workspace, "stars")
-    known = components(_linked(stars), workspace)
-    rest = _compared(documents, _open_pairs(lists, known, _hubs(stars), workspace), order, workspace, "open")
-    joined = _linked(stars).union(_linked(rest))
-    return _labelled(sets, workspace.save(components(joined, workspace), "components"))
+    stars = _compared(documents, _star_pairs(lists, workspace), order, workspace, "stars")
+    known = workspace.save(components(_linked(stars), workspace), "known")
+    rest = _compared(documents, _open_pairs(lists, known, workspace), order, workspace, "open")
+    joined = known.select(F.col("node").alias("a"), F.col("component").alias("b")).union(_linked(rest))
+    return _labelled(sets, workspace.save(components(joined, workspace), "components"), workspace)
 
 
 def frequent_rows(described: DataFrame, least: float) -> Order:
@@ -308,57 +371,49 @@ def _weighted(lists: DataFrame, workspace: Workspace) -> DataFrame:
 
     In a group of near-copies the one that the others come from has the largest: what they changed is rare in them.
     """
-    sizes = lists.groupBy("gram").agg(F.count(F.lit(1)).alias("size"))
+    sizes = workspace.save(lists.groupBy("gram").agg(F.count(F.lit(1)).alias("size")), "sizes")
     weights = lists.join(sizes, "gram").groupBy("name", "n").agg((F.sum("size") / prefix_length_of(F.col("n"))).alias("weight"))
-    return workspace.save(lists.join(weights.drop("n"), "name"), "weighted")
+    return workspace.save(lists.join(workspace.save(weights.drop("n"), "weights"), "name"), "weighted")
 
 
-def _star_pairs(lists: DataFrame) -> DataFrame:
+def _star_pairs(lists: DataFrame, workspace: Workspace) -> DataFrame:
     """``(a, b, n_a, n_b)``: every set with the heaviest set of a list it is in."""
-    centres = lists.groupBy("gram").agg(F.max(F.struct("weight", "name", "n")).alias("centre"))
+    centres = workspace.save(lists.groupBy("gram").agg(F.max(F.struct("weight", "name", "n")).alias("centre")), "centres")
     met = lists.join(centres, "gram").where(F.col("name") != F.col("centre.name"))
     pairs = met.groupBy(F.col("centre.name").alias("a"), F.col("name").alias("b"), F.col("centre.n").alias("n_a"), F.col("n").alias("n_b"))
     shared = pairs.agg(F.count(F.lit(1)).alias("shared"))
     return shared.where(_may_link(F.col("n_a"), F.col("n_b"), F.col("shared"))).drop("shared")
 
 
-def _hubs(stars: DataFrame) -> DataFrame:
-    """``(set, hub, far)``: of the sets that one was compared with the nearest, and the Jaccard distance to it."""
-    far = 1 - F.col("overlap") / (F.col("n_a") + F.col("n_b") - F.col("overlap"))
-    near = stars.groupBy(F.col("b").alias("set")).agg(F.min(F.struct(far.alias("far"), F.col("a").alias("hub"))).alias("near"))
-    centres = stars.select(F.col("a").alias("set")).distinct().select("set", F.col("set").alias("hub"), F.lit(0.0).alias("far"))
-    own = near.select("set", "near.hub", "near.far").join(centres.select("set"), "set", "left_anti")
-    return own.union(centres)
-
-
-def _open_pairs(lists: DataFrame, known: DataFrame, hubs: DataFrame, workspace: Workspace) -> DataFrame:
+def _open_pairs(lists: DataFrame, known: DataFrame, workspace: Workspace) -> DataFrame:
     """``(a, b, n_a, n_b)``: the pairs that share enough rare n-grams and are not in one component yet.
 
-    The Jaccard distance obeys the triangle inequality: two sets whose distances to one hub differ by more than the
-    largest distance of a link are no link.
+    In each list the sets outside its largest component are paired with the others of the list, so a list that is nearly all
+    connected costs in proportion to its length.
     """
-    placed = (
-        lists.join(known, lists["name"] == known["node"], "left")
-        .join(hubs, F.col("name") == F.col("set"), "left")
-        .select("gram", "name", "n", F.coalesce("component", "name").alias("component"), "hub", "far")
-    )
+    placed = lists.join(known, lists["name"] == known["node"], "left").select("gram", "name", "n", F.coalesce("component", "name").alias("component"))
     placed = workspace.save(placed, "placed")
-    mixed = placed.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("gram")
+    parts = placed.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("size")).groupBy("gram")
+    mixed = parts.agg(F.max(F.struct("size", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    mixed = workspace.save(mixed.select("gram", F.col("main.component").alias("main")), "mixed")
     left = placed.join(mixed, "gram")
-    a, b = (left.select("gram", *[F.col(c).alias(f"{c}_{side}") for c in ("name", "n", "component", "hub", "far")]) for side in "ab")
+    a, b = (left.select("gram", "main", *[F.col(c).alias(f"{c}_{side}") for c in ("name", "n", "component")]) for side in "ab")
     fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT
-    apart = F.abs(F.col("far_a") - F.col("far_b")) > (1 - PERCENT / 100 + 1e-9)
-    is_far = F.coalesce((F.col("hub_a") == F.col("hub_b")) & apart, F.lit(False))
-    met = a.join(b, "gram").where((F.col("component_a") < F.col("component_b")) & fits & ~is_far)
-    shared = met.groupBy(F.col("name_a").alias("a"), F.col("name_b").alias("b"), "n_a", "n_b").agg(F.count(F.lit(1)).alias("shared"))
+    once = (F.col("component_b") == F.col("main")) | (F.col("component_a") < F.col("component_b"))
+    met = a.where(F.col("component_a") != F.col("main")).drop("main").join(b, "gram").where(once & fits)
+    names = F.least("name_a", "name_b").alias("a"), F.greatest("name_a", "name_b").alias("b")
+    sizes = F.when(F.col("name_a") < F.col("name_b"), F.struct("n_a", "n_b")).otherwise(F.struct(F.col("n_b").alias("n_a"), F.col("n_a").alias("n_b")))
+    met = met.select(*names, sizes.alias("sizes")).select("a", "b", "sizes.*")
+    shared = met.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("shared"))
     return shared.where(_may_link(F.col("n_a"), F.col("n_b"), F.col("shared"))).drop("shared")
 
 
-def _labelled(sets: DataFrame, known: DataFrame) -> DataFrame:
+def _labelled(sets: DataFrame, known: DataFrame, workspace: Workspace) -> DataFrame:
     grouped = sets.join(known, (sets["name"] == known["node"]) & (sets["n"] > 0), "left").select(
         "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("component", "name")).alias("component")
     )
     smallest = grouped.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("doc_id").alias("smallest"))
+    smallest = workspace.save(smallest, "smallest")
     # An empty set is alone; it gets a key that no component has and each document its own.
     return grouped.join(smallest, "component", "left").select(
         "doc_id",

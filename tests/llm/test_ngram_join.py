@@ -4,6 +4,7 @@ import pytest
 
 from quillrank import Workspace
 from quillrank.llm.components import components
+from quillrank.llm import ngram_join
 from quillrank.llm.ngram_join import near_duplicates, representatives
 from tests.llm import plain
 
@@ -68,3 +69,26 @@ def test_components(spark):
         got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long"), workspace).collect()}
         none = components(spark.createDataFrame([], "a long, b long"), workspace).collect()
     assert got == {x: root[x] for link in links if link[0] != link[1] for x in link} and none == []
+
+
+@pytest.mark.parametrize("size", [100, 400])
+def test_candidates_of_a_group_are_linear(spark, monkeypatch, size):
+    """Loose variants of one text: each is alike to few or none of the others, and is not compared with all."""
+    rng = random.Random(size)
+    base = [f"w{i}" for i in range(120)]
+    docs = []
+    for i in range(size):
+        found = list(base)
+        for j in rng.sample(range(120), 12):
+            found[j] = f"u{i}x{j}"
+        docs.append((i, " ".join(found)))
+    rows, compared = [], ngram_join._compared
+    monkeypatch.setattr(ngram_join, "_compared", lambda *a: rows.append(compared(*a)) or rows[-1])
+    got = []
+    with Workspace(spark) as workspace:
+        frame = spark.createDataFrame([(*d, "x", 1, None) for d in docs], SCHEMA)
+        got = sorted([tuple(r) for r in near_duplicates(frame, workspace).collect()], key=repr)
+        n = sum(r.count() for r in rows)
+    assert n <= 4 * size
+    if size == 100:
+        assert got == plain.near_duplicates(docs)
