@@ -36,6 +36,7 @@ PERCENT = 80
 FREQUENT = 1e-5  # share of all n-grams from which one counts as frequent; so there are at most 1 / FREQUENT of them
 SLOTS = 1 << 22  # cells of the table of counts
 CHUNK = 1 << 16  # cells in a row of it
+STEP = 1.03  # ratio of sizes that are joined together
 STEPS = 8  # levels per doubling of a count
 FRAGMENTS = 4  # of the n-grams that are not frequent; these are a last one
 _BUFFER = 1 << 21
@@ -218,7 +219,7 @@ class Unseen:
 
 
 def _prefixes(order: Order):
-    """``(gram, name, n, is_frequent)`` for the first n-grams of each set, in the global order."""
+    """``(gram, name, n, place, is_frequent)`` for the first n-grams of each set and their places in the global order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unseen = Unseen()
@@ -228,13 +229,14 @@ def _prefixes(order: Order):
             owners = np.repeat(np.arange(len(sizes)), sizes)
             # Grams are sorted within their set, and the sort is stable.
             by_order = np.argsort((owners << 8) | order.level(grams), kind="stable")
-            keep = np.arange(len(grams)) - first[owners] < prefix_length(sizes)[owners]
-            keep &= unseen(names)[owners]
+            place = np.arange(len(grams)) - first[owners]
+            keep = (place < prefix_length(sizes)[owners]) & unseen(names)[owners]
             own, grams = owners[keep], grams[by_order[keep]]
             yield batch_of(
                 gram=pa.array(grams.view(np.int64)),
                 name=pa.array(names[own].view(np.int64)),
                 n=pa.array(sizes[own], pa.int32()),
+                place=pa.array(place[keep], pa.int32()),
                 is_frequent=pa.array(order.ranks(grams) > 0),
             )
 
@@ -354,15 +356,15 @@ def frequent_rows(described: DataFrame, least: float) -> Order:
 
 
 def _shared_prefixes(documents: DataFrame, order: Order, workspace: Workspace) -> DataFrame:
-    """``(gram, name, n)``: for each rare n-gram the sets that have it, where there are several.
+    """``(gram, name, n, place)``: for each rare n-gram the sets that have it, where there are several.
 
     Frequent n-grams have several sets and need no look; their rows are dealt out evenly.
     """
-    rows = documents.select("text").mapInArrow(_prefixes(order), "gram long, name long, n int, is_frequent boolean")
+    rows = documents.select("text").mapInArrow(_prefixes(order), "gram long, name long, n int, place int, is_frequent boolean")
     key = F.when(F.col("is_frequent"), F.xxhash64("gram", "name")).otherwise(F.col("gram"))
     several = F.expr("min(name) over (partition by key) <> max(name) over (partition by key)")
     marked = rows.withColumn("key", key).withColumn("several", several)
-    kept = marked.where(F.col("is_frequent") | F.col("several")).select("gram", "name", "n").distinct()
+    kept = marked.where(F.col("is_frequent") | F.col("several")).select("gram", "name", "n", "place").distinct()
     return workspace.save(kept, "lists")
 
 
@@ -389,23 +391,41 @@ def _open_pairs(lists: DataFrame, known: DataFrame, workspace: Workspace) -> Dat
     """``(a, b, n_a, n_b)``: the pairs that share enough rare n-grams and are not in one component yet.
 
     In each list the sets outside its largest component are paired with the others of the list, so a list that is nearly all
-    connected costs in proportion to its length.
+    connected costs in proportion to its length. How far down a set's order the n-gram stands bounds the overlap, and so the
+    size of what the set may link with (``_reach``): a set of many n-grams of its own meets few sets in the lists of
+    others. The join is on the n-gram and the smaller set's size in steps of ``STEP``, to meet only these.
     """
-    placed = lists.join(known, lists["name"] == known["node"], "left").select("gram", "name", "n", F.coalesce("component", "name").alias("component"))
-    placed = workspace.save(placed, "placed")
+    placed = lists.join(known, lists["name"] == known["node"], "left")
+    placed = workspace.save(placed.select("gram", "name", "n", "place", F.coalesce("component", "name").alias("component")), "placed")
     parts = placed.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("size")).groupBy("gram")
     mixed = parts.agg(F.max(F.struct("size", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
     mixed = workspace.save(mixed.select("gram", F.col("main.component").alias("main")), "mixed")
-    left = placed.join(mixed, "gram")
-    a, b = (left.select("gram", "main", *[F.col(c).alias(f"{c}_{side}") for c in ("name", "n", "component")]) for side in "ab")
-    fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT
-    once = (F.col("component_b") == F.col("main")) | (F.col("component_a") < F.col("component_b"))
-    met = a.where(F.col("component_a") != F.col("main")).drop("main").join(b, "gram").where(once & fits)
-    names = F.least("name_a", "name_b").alias("a"), F.greatest("name_a", "name_b").alias("b")
-    sizes = F.when(F.col("name_a") < F.col("name_b"), F.struct("n_a", "n_b")).otherwise(F.struct(F.col("n_b").alias("n_a"), F.col("n_a").alias("n_b")))
-    met = met.select(*names, sizes.alias("sizes")).select("a", "b", "sizes.*")
-    shared = met.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("shared"))
-    return shared.where(_may_link(F.col("n_a"), F.col("n_b"), F.col("shared"))).drop("shared")
+    left = placed.join(mixed, "gram").select("gram", "name", "n", "component", (F.col("component") == F.col("main")).alias("is_main"), _reach().alias("reach"))
+    left = workspace.save(left, "left")
+
+    def side(rows: DataFrame, letter: str) -> DataFrame:
+        return rows.select("gram", "step", *[F.col(c).alias(f"{c}_{letter}") for c in ("name", "n", "component", "is_main", "reach")])
+
+    least, most = F.ceil(F.lit(PERCENT) * F.col("n") / F.lit(100)), F.least("n", "reach")
+    smaller = side(left.where(F.col("reach") >= F.col("n")).withColumn("step", _step(F.col("n"))), "a")
+    larger = side(left.where(least <= most).withColumn("step", F.explode(F.sequence(_step(least), _step(most)))), "b")
+    fits = (F.col("n_b") <= F.col("reach_a")) & (F.col("n_a") <= F.col("reach_b")) & (F.col("n_a") * 100 >= F.col("n_b") * PERCENT)
+    once = F.struct("n_a", "name_a") < F.struct("n_b", "name_b")
+    open_ = fits & once & (F.col("component_a") != F.col("component_b"))
+    keys = ["gram", "step"]
+    met = smaller.where(~F.col("is_main_a")).join(larger, keys).where(open_)
+    met = met.unionByName(smaller.where("is_main_a").join(larger.where(~F.col("is_main_b")), keys).where(open_))
+    # What they share after the first n-gram may be out of reach, so nothing is counted here.
+    return met.select(F.col("name_a").alias("a"), F.col("name_b").alias("b"), "n_a", "n_b").distinct()
+
+
+def _reach() -> Column:
+    """The size of the largest set that a set of ``n`` may link with if the first n-gram that they share is at ``place``."""
+    return F.floor((F.col("n") - F.col("place")) * (100 + PERCENT) / F.lit(PERCENT)) - F.col("n")
+
+
+def _step(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / F.lit(np.log(STEP).item())).cast("int")
 
 
 def _labelled(sets: DataFrame, known: DataFrame, workspace: Workspace) -> DataFrame:
