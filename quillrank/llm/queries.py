@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from quillrank.llm.alignment import aligned
 from quillrank.llm.decontamination import find_items, n_hit
 from quillrank.llm.line_dedup import LONG_WORDS, n_removed, without_repeats
 from quillrank.llm.mixing import count_words, place, taken_words
@@ -135,3 +136,8 @@ def op2_line_dedup(spark, folder):
 @query
 def op2_line_dedup_long_lines(spark, folder):
     return _deduplicated_lines(spark, folder, LONG_WORDS)
+
+
+@query
+def op13_tokenizer_alignment(spark, folder):
+    return aligned(read_table(spark, folder, "documents"), session_workspace(spark))

@@ -95,3 +95,56 @@ def targets(sizes):
         for s in over:
             full[s] = 2.0 * sizes[s]
             left -= full[s]
+
+
+def alignment(docs, tokenizers):
+    """docs: (id, text) -> sorted rows as the operator's, token by token"""
+    a_side, b_side, *_ = tokenizers
+    symbol = {}
+    shift = 0
+    for byte in range(256):
+        if 0x21 <= byte <= 0x7E or 0xA1 <= byte <= 0xAC or byte >= 0xAE:
+            symbol[chr(byte)] = byte
+        else:
+            symbol[chr(0x100 + shift)] = byte
+            shift += 1
+
+    def b_bytes(i):
+        piece = b_side.id_to_piece(i)
+        return bytes([int(piece[3:5], 16)]) if b_side.is_byte(i) else piece.replace("▁", " ").encode()
+
+    found, counts = [], {}
+    for doc_id, text in docs:
+        groups, pairs = [], []
+        if text:
+            raw = (" " + text).encode()
+            a = [(i, bytes(symbol.get(c, 0x20) for c in a_side.id_to_token(i))) for i in a_side.encode(" " + text, add_special_tokens=False).ids]
+            b = [(i, b_bytes(i)) for i in b_side.encode(text)]
+            if b"".join(x for _, x in a) == raw == b"".join(x for _, x in b):
+                while a or b:
+                    left, right = [a.pop(0)], [b.pop(0)]
+                    size = len(left[0][1]) - len(right[0][1])
+                    while size:
+                        if size < 0:
+                            left.append(a.pop(0))
+                            size += len(left[-1][1])
+                        else:
+                            right.append(b.pop(0))
+                            size -= len(right[-1][1])
+                    groups.append(([i for i, _ in left], [i for i, _ in right]))
+                pairs = [(x, y) for left, right in groups for x in left for y in right]
+        for pair in set(pairs):
+            counts[pair] = counts.get(pair, 0) + 1
+        found.append((doc_id, groups, pairs))
+    best = {}
+    for (x, _), n in counts.items():
+        best[x] = max(best.get(x, 0), n)
+    out = []
+    for doc_id, groups, pairs in found:
+        joined = ";".join(f"{','.join(map(str, left))}|{','.join(map(str, right))}" for left, right in groups)
+        out.append((
+            doc_id, sum(len(x) for x, _ in groups), sum(len(y) for _, y in groups), len(groups), len(pairs),
+            sum(counts[p] == best[p[0]] for p in pairs), sum(counts[p] for p in pairs),
+            hashlib.sha256(joined.encode()).hexdigest() if groups else "",
+        ))
+    return sorted(out, key=repr)
