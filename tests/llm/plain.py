@@ -148,3 +148,41 @@ def alignment(docs, tokenizers):
             hashlib.sha256(joined.encode()).hexdigest() if groups else "",
         ))
     return sorted(out, key=repr)
+
+
+def prefix_trie(turns):
+    """turns: (conv_id, turn, role, text) without ties -> sorted rows as the operator's"""
+    import zlib
+
+    own = {}
+    for conv, turn, role, text in sorted((t for t in turns if t[0] is not None), key=lambda t: (t[0], t[1] is not None, t[1] or 0)):
+        own.setdefault(conv, []).append((role or "", text or ""))
+    built = {}
+    for conv in own:
+        h = zlib.crc32(str(conv).encode()) % 6
+        base = conv - (conv % 100 if conv >= 0 else -(-conv % 100))
+        built[conv] = own.get(base, [])[:h] + own[conv][h:]
+    members, ends = {}, {}
+    for conv in sorted(built):
+        for d in range(len(built[conv]) + 1):
+            members.setdefault(tuple(built[conv][:d]), []).append(conv)
+        ends.setdefault(tuple(built[conv]), []).append(conv)
+    children = {}
+    for node in members:
+        if node:
+            children.setdefault(node[:-1], []).append(node)
+    leaves, saved = {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        below = children.get(node, [])
+        leaves[node] = sum(leaves[c] for c in below) or 1
+        saved[node] = sum(saved[c] for c in below) + (len(members[node]) - 1) * (len(node[-1][1]) if node else 0)
+    return sorted(
+        (
+            (
+                found[0], len(node), members[node[:-1]][0] if node else None, len(found), len(children.get(node, [])), leaves[node], saved[node],
+                hashlib.sha256(",".join(map(str, ends.get(node, []))).encode()).hexdigest(),
+            )
+            for node, found in members.items()
+        ),
+        key=repr,
+    )
