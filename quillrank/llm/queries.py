@@ -12,6 +12,7 @@ from quillrank.llm.line_dedup import LONG_WORDS, n_removed, without_repeats
 from quillrank.llm.mixing import count_words, place, taken_words
 from quillrank.llm.neighbours import nearest
 from quillrank.llm.ngram_join import near_duplicates
+from quillrank.llm.ppm import scored as model_scores
 from quillrank.llm.prefix_trie import prefix_trie
 from quillrank.llm.quality import THRESHOLD, remainder, scored, train
 from quillrank.llm.secrets import count_kind, excess, listed, log_ratios, scan, with_base_spans
@@ -147,3 +148,8 @@ def op13_tokenizer_alignment(spark, folder):
 @query
 def op12_conversation_prefix_trie(spark, folder):
     return prefix_trie(read_table(spark, folder, "conversations"), session_workspace(spark))
+
+
+@query
+def op11_ppm_scoring(spark, folder):
+    return model_scores(read_table(spark, folder, "documents"), session_workspace(spark))

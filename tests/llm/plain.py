@@ -186,3 +186,54 @@ def prefix_trie(turns):
         ),
         key=repr,
     )
+
+
+def ppm(docs, order=4):
+    """docs: (id, text) -> sorted [(id, held out, tokens, known, training tokens, base score, score)], scores unrounded"""
+    import math
+    import zlib
+
+    def held_out(doc_id):
+        return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 == 2
+
+    def tokens(text):
+        return [*words(lowered(text)), None]
+
+    def symbols(text):
+        return [*lowered(text).encode(), 255]
+
+    unigram, tries = {}, {}
+    for doc_id, text in docs:
+        if held_out(doc_id):
+            continue
+        for token in tokens(text):
+            unigram[token] = unigram.get(token, 0) + 1
+        found = [255] * order + symbols(text)
+        for i in range(order, len(found)):
+            for k in range(order + 1):
+                follow = tries.setdefault(tuple(found[i - k : i]), {})
+                follow[found[i]] = follow.get(found[i], 0) + 1
+    total = sum(unigram.values())
+
+    def probability(context, symbol):
+        gone, p = set(), 1.0
+        for k in range(order, -1, -1):
+            follow = tries.get(tuple(context[order - k :]))
+            if follow is None:
+                continue
+            left = {s: n for s, n in follow.items() if s not in gone}
+            if left:
+                below = 2 * sum(left.values())
+                if symbol in left:
+                    return p * (2 * left[symbol] - 1) / below
+                p *= len(left) / below
+            gone = set(follow)
+        return p / max(1, 256 - len(gone))
+
+    out = []
+    for doc_id, text in docs:
+        found = [255] * order + symbols(text)
+        score = sum(math.log10(probability(found[i - order : i], found[i])) for i in range(order, len(found)))
+        base = sum(math.log10((unigram.get(t, 0) + 1) / (total + len(unigram) + 1)) for t in tokens(text))
+        out.append((doc_id, held_out(doc_id), len(tokens(text)), sum(t in unigram for t in tokens(text)), total, base, score))
+    return sorted(out, key=repr), probability
