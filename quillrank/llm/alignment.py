@@ -17,7 +17,9 @@ own. Further columns are ignored. Strings of special tokens are plain text.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,8 +34,9 @@ from quillrank.workspace import Workspace
 
 TOKENIZERS = "/opt/tokenizers"  # a folder that every executor has
 PAIRS = 1 << 21  # made at once
-SLICE_BYTES = 1 << 20  # of text handled at once
+SLICE_BYTES = 1 << 18  # of text handled at once
 _LOW = (1 << 32) - 1
+_END_BITS = 40  # for a byte's place in a text
 
 _ROW = {
     "block": pa.int64(),
@@ -79,24 +82,54 @@ def byte_symbols() -> dict[str, int]:
     return {**{chr(b): b for b in plain}, **{chr(0x100 + i): b for i, b in enumerate(others)}}
 
 
+# Fixed value: how byte-level vocabularies cut texts before merging.
+_PIECES = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_LONG_BLANK = re.compile(r"\s{1000}")
+
+
+class ByteLevel:
+    """A byte-level tokenizer file, run by the faster of two libraries that agree wherever that one can.
+
+    It can where ids are in the order of merges, and on texts without very long runs of white space, on which its
+    pattern overflows; the file's own library does the rest.
+    """
+
+    def __init__(self, path: str):
+        import tiktoken
+        from tokenizers import Tokenizer
+
+        self.whole = Tokenizer.from_file(path)
+        self.whole.encode_special_tokens = True
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        joined = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
+        symbol, vocabulary = byte_symbols(), model["vocab"]
+        self.fast = None
+        if all(vocabulary[name] == 256 + i for i, name in enumerate(joined)) and len(vocabulary) == 256 + len(joined):
+            ranks = {bytes(symbol[c] for c in name): i for name, i in vocabulary.items()}
+            self.fast = tiktoken.Encoding("byte-level", pat_str=_PIECES, mergeable_ranks=ranks, special_tokens={})
+        names = {i: name for name, i in self.whole.get_vocab(with_added_tokens=True).items()}
+        self.bytes = [bytes(symbol.get(c, 0x20) for c in names.get(i, "")) for i in range(max(names) + 1)]
+
+    def encode(self, text: str) -> list[int]:
+        if self.fast and not _LONG_BLANK.search(text):
+            return self.fast.encode_ordinary(text)
+        return self.whole.encode(text, add_special_tokens=False).ids
+
+
 @lru_cache(maxsize=2)
 def load(folder: str):
     """Both tokenizers and their tokens, once per process."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     import sentencepiece
-    from tokenizers import Tokenizer
 
-    a = Tokenizer.from_file(os.path.join(folder, "byte_bpe_50k.json"))
-    a.encode_special_tokens = True
-    symbol = byte_symbols()
-    names = {i: name for name, i in a.get_vocab(with_added_tokens=True).items()}
-    a_bytes = [bytes(symbol.get(c, 0x20) for c in names.get(i, "")) for i in range(max(names) + 1)]
+    a = ByteLevel(os.path.join(folder, "byte_bpe_50k.json"))
     b = sentencepiece.SentencePieceProcessor(model_file=os.path.join(folder, "piece_bpe_32k.model"))
     b_bytes = []
     for i in range(b.get_piece_size()):
         piece = b.id_to_piece(i)
         b_bytes.append(bytes([int(piece[3:5], 16)]) if b.is_byte(i) else piece.replace("▁", " ").encode())
-    return a, b, Tokens(a_bytes), Tokens(b_bytes)
+    return a, b, Tokens(a.bytes), Tokens(b_bytes)
 
 
 class Encoded:
@@ -124,12 +157,13 @@ class Encoded:
         return out
 
     def ends(self) -> pa.Table:
-        """``(text, end, token)``: where each token ends within its text."""
+        """``(at, token)``: where each token ends, the text and the end within it as one number."""
         sizes = pa.array(self.tokens.sizes[self.ids])
         sums = pc.cumulative_sum(sizes).to_numpy(zero_copy_only=False) if len(sizes) else np.zeros(0, np.int64)
         first = np.cumsum(self.counts) - self.counts
         before = np.concatenate([[0], sums])[first]
-        return pa.table({"text": self.text, "end": sums - before[self.text], "token": np.arange(len(self.ids))})
+        at = (self.text.astype(np.int64) << _END_BITS) | (sums - before[self.text])
+        return pa.table({"at": at, "token": np.arange(len(self.ids), dtype=np.int32)})
 
 
 def same_bytes(encoded: Encoded, raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -144,7 +178,7 @@ def same_bytes(encoded: Encoded, raw: np.ndarray, bounds: np.ndarray) -> np.ndar
 
 def groups_of(a: Encoded, b: Encoded) -> tuple[np.ndarray, np.ndarray]:
     """The number of the group of each token of A and of B. Every text's last ends agree, so no group spans two texts."""
-    common = a.ends().join(b.ends(), keys=["text", "end"], join_type="inner", right_suffix="_b", use_threads=False)
+    common = a.ends().join(b.ends(), keys="at", join_type="inner", right_suffix="_b", use_threads=False)
     out = []
     for side, name in ((a, "token"), (b, "token_b")):
         is_end = np.zeros(len(side.ids), np.int64)
@@ -175,11 +209,19 @@ def links(a: Encoded, b: Encoded, group_a: np.ndarray, group_b: np.ndarray) -> I
     """``(text, key, n)``: the distinct id pairs of each text and how often they are linked, ``PAIRS`` or so at a time."""
     sides = []
     for side, group in ((a, group_a), (b, group_b)):
-        table = pa.table({"group": group, "id": side.ids, "text": side.text})
-        sides.append(table.group_by(["group", "id", "text"], use_threads=False).aggregate([([], "count_all")]))
+        key = (group << 32) | side.ids
+        if len(key) and (np.bincount(group).max() > 1):
+            counted = pa.table({"key": key}).group_by("key", use_threads=False).aggregate([([], "count_all")])
+            key, n = counted["key"].to_numpy(), counted["count_all"]
+        else:
+            n = pa.array(np.ones(len(key), np.int64))
+        sides.append(pa.table({"group": (key >> 32).astype(np.int32), "id": key & _LOW, "count_all": n}))
     left, right = sides
     if not len(left):
         return
+    text_of = np.zeros(int(group_a[-1]) + 1, np.int32)
+    text_of[group_a] = a.text
+    left = left.append_column("text", pa.array(text_of[left["group"].to_numpy()]))
     partners = np.bincount(right["group"].to_numpy())[left["group"].to_numpy()]
     cuts = [0, len(left)]
     if partners.sum() > PAIRS:  # in order of text and id, cut between ids
@@ -190,8 +232,8 @@ def links(a: Encoded, b: Encoded, group_a: np.ndarray, group_b: np.ndarray) -> I
         before = (np.cumsum(partners) - partners)[begins]
         cuts = [*begins[np.unique(before // PAIRS, return_index=True)[1]].tolist(), len(left)]
     for low, high in zip(cuts[:-1], cuts[1:]):
-        met = left.slice(low, high - low).join(right.drop("text"), keys="group", join_type="inner", right_suffix="_b", use_threads=False)
-        key = pc.bit_wise_or(pc.shift_left(met["id"].cast(pa.int64()), 32), met["id_b"].cast(pa.int64()))
+        met = left.slice(low, high - low).join(right, keys="group", join_type="inner", right_suffix="_b", use_threads=False)
+        key = pc.bit_wise_or(pc.shift_left(met["id"], 32), met["id_b"])
         pairs = pa.table({"text": met["text"], "key": key, "n": pc.multiply(met["count_all"], met["count_all_b"])})
         summed = pairs.group_by(["text", "key"], use_threads=False).aggregate([("n", "sum")])
         yield summed.rename_columns({"n_sum": "n"}).sort_by([("text", "ascending"), ("key", "ascending")])
@@ -222,7 +264,7 @@ def _aligned(batch: pa.RecordBatch, folder: str, block: Block, row: int) -> Iter
     texts = [text or "" for text in batch.column("text").to_pylist()]
     raw = [f" {text}".encode() if text else b"" for text in texts]
     bounds = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
-    a = Encoded([e.ids for e in tokenizer_a.encode_batch_fast([f" {t}" if t else "" for t in texts], add_special_tokens=False)], tokens_a)
+    a = Encoded([tokenizer_a.encode(f" {t}") if t else [] for t in texts], tokens_a)
     b = Encoded([ids if t else [] for t, ids in zip(texts, tokenizer_b.encode(texts, num_threads=1))], tokens_b)
     flat = np.frombuffer(b"".join(raw), np.uint8)
     valid = same_bytes(a, flat, bounds) & same_bytes(b, flat, bounds)

@@ -118,7 +118,7 @@ def alignment(docs, tokenizers):
         groups, pairs = [], []
         if text:
             raw = (" " + text).encode()
-            a = [(i, bytes(symbol.get(c, 0x20) for c in a_side.id_to_token(i))) for i in a_side.encode(" " + text, add_special_tokens=False).ids]
+            a = [(i, bytes(symbol.get(c, 0x20) for c in a_side.whole.id_to_token(i))) for i in a_side.whole.encode(" " + text, add_special_tokens=False).ids]
             b = [(i, b_bytes(i)) for i in b_side.encode(text)]
             if b"".join(x for _, x in a) == raw == b"".join(x for _, x in b):
                 while a or b:

@@ -18,7 +18,7 @@ def corpus():
     rng = random.Random(3)
     words = "the of stone Wasser été naïve 東京 😀 tokenization <|endoftext|> </s> <0x41> ▁ a\tb  \n {}[]=> 12345 aaaaaaaa ﬁn Å".split(" ")
     docs = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(1, 60)))) for i in range(40)]
-    docs += [(50, None), (51, ""), (52, " "), (53, "▁"), (54, "x" * 3000), (55, "​﻿ab\x00c"), (56, "é" * 500)]
+    docs += [(50, None), (51, ""), (52, " "), (53, "▁"), (54, "x" * 3000), (55, "​﻿ab\x00c"), (56, "é" * 500), (57, "a" + " " * 5000 + "b")]
     return [*docs, docs[0], docs[0], (None, docs[1][1]), (60, "the stone " * 4000), (61, "".join(rng.choice("abcxyz019") for _ in range(2500)))]
 
 
@@ -34,7 +34,7 @@ def test_pieces_are_whole():
     texts = [t or "" for _, t in corpus()]
     a_side, b_side, a_tokens, b_tokens = alignment.load(alignment.TOKENIZERS)
     texts = [t for t in texts if len(t) > 20 and t.isascii()]
-    a = alignment.Encoded([e.ids for e in a_side.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)], a_tokens)
+    a = alignment.Encoded([a_side.encode(f" {t}") for t in texts], a_tokens)
     b = alignment.Encoded(b_side.encode(texts), b_tokens)
     groups = alignment.groups_of(a, b)
 
@@ -56,9 +56,15 @@ def test_id_pairs(spark):
     with Workspace(spark) as workspace:
         rows = {(r["id_a"], r["id_b"]): (r["documents"], r["is_best"]) for r in id_pairs(frame, workspace).collect()}
     a, b, *_ = alignment.load(alignment.TOKENIZERS)
-    the = a.encode(" the", add_special_tokens=False).ids[0], b.encode("the")[0]
+    the = a.encode(" the")[0], b.encode("the")[0]
     assert rows[the] == (3, True)
 
 
+def test_both_libraries_agree():
+    a, *_ = alignment.load(alignment.TOKENIZERS)
+    texts = [t for _, t in corpus() if t] + [" " * 1200 + "x", "\n\t" * 700, "it's they'll \u00a0\u3000 \u0301x", "<|endoftext|>"]
+    assert a.fast and [a.encode(t) for t in texts] == [a.whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_empty(spark):
     assert run(spark, []) == []
