@@ -16,12 +16,21 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 96 << 20
 LISTED = 1 << 16  # keys in a row of a list
 _BITS = 24  # of a block's number within its task
 _MERGE = 1 << 21
 
 
+def in_blocks(documents: DataFrame, text: str = "text") -> DataFrame:
+    """``documents`` in partitions of about a block, where there are more: the fewer blocks, the fewer keys are listed twice.
+
+    Every core has work first.
+    """
+    nbytes = documents.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return documents.coalesce(max(-(-nbytes // BLOCK_BYTES), documents.sparkSession.sparkContext.defaultParallelism))
+
+
 class Block:
     """The block that a task is at: its number, and what it has counted so far."""
 
@@ -86,19 +95,40 @@ def answered(entries: DataFrame, values: DataFrame, rows: DataFrame) -> DataFram
 
 
 class Values:
-    """The values of a block's keys of one kind."""
-
-    def __init__(self, keys: pa.Array, values: pa.Array):
-        self.keys, self.values = keys, values.to_numpy(zero_copy_only=False)
+    """The values of a block's keys of one kind, in a hash table with linear probing."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.keys, self.values = keys.view(np.uint64), values
+        self.bits = max(4, (4 * len(keys)).bit_length())
+        self.slots = np.full(1 << self.bits, -1, np.int32)
+        waiting, at = np.arange(len(keys), dtype=np.int32), self._start(self.keys)
+        while len(waiting):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = waiting[free]  # of several, one stays
+            lost = self.slots[at] != waiting
+            waiting, at = waiting[lost], (at[lost] + 1) & (len(self.slots) - 1)
+
+    def _start(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def of(self, keys: np.ndarray) -> np.ndarray:
         """The value of each key, all of which the block has listed."""
-        if not len(keys):
-            return self.values[:0]
-        place = pc.index_in(pa.array(keys.view(np.int64)), value_set=self.keys)
-        if place.null_count:
+        keys = keys.view(np.uint64)
+        at = self._start(keys)
+        found = self.slots[at]
+        if len(found) and (not len(self.keys) or found.min() < 0):
             raise RuntimeError("rows differ from those that were listed")
-        return self.values[place.to_numpy()]
+        open_ = np.flatnonzero(self.keys[found] != keys) if len(found) else found
+        at = at[open_]
+        while len(open_):
+            at = (at + 1) & (len(self.slots) - 1)
+            place = self.slots[at]
+            if place.min() < 0:
+                raise RuntimeError("rows differ from those that were listed")
+            found[open_] = place
+            wrong = self.keys[place] != keys[open_]
+            open_, at = open_[wrong], at[wrong]
+        return self.values[found]
 
 
 def by_block(batches: Iterator[pa.RecordBatch], kinds: int) -> Iterator[tuple[list[Values], pa.RecordBatch]]:
@@ -118,11 +148,8 @@ def by_block(batches: Iterator[pa.RecordBatch], kinds: int) -> Iterator[tuple[li
                 parts.append(piece.select(["kind", "key", "value"]))
                 continue
             if known is None:
-                table = pa.Table.from_batches(parts, piece.select(["kind", "key", "value"]).schema).combine_chunks()
-                chosen = [table.filter(pc.equal(table["kind"], kind)).combine_chunks() for kind in range(kinds)]
-                known, parts = [Values(_one(t["key"]), _one(t["value"])) for t in chosen], []
+                table = pa.Table.from_batches(parts, piece.select(["kind", "key", "value"]).schema)
+                chosen = [table.filter(pc.equal(table["kind"], kind)) for kind in range(kinds)]
+                known, parts = [Values(t["key"].to_numpy(), t["value"].to_numpy()) for t in chosen], []
             yield known, piece
 
-
-def _one(column: pa.ChunkedArray) -> pa.Array:
-    return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)

@@ -22,10 +22,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quillrank.llm.blocks import Block, answered, by_block, entries, totals
+from quillrank.llm.blocks import Block, answered, by_block, entries, in_blocks, totals
 from quillrank.llm.ngram_join import batch_of
 from quillrank.llm.words import Words, cut, slices
 from quillrank.workspace import Workspace
@@ -35,7 +34,7 @@ END = 0xFF  # a byte that UTF-8 does not use: the end of a text, and what stands
 SYMBOLS = 256
 SMALL = 1  # orders whose counts go to every task: at most 2^16 of them
 GROUP_ROWS = 1 << 19  # windows that are handled together, more for a larger group
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 _WINDOW, _WORD = 0, 1
 _END_WORD = np.uint64(0x656E64)
 
@@ -207,7 +206,7 @@ def _scored(order: int, n_tokens: int, n_distinct: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (window_costs, word_counts), rows in by_block(batches, 2):
-            for batch in slices(iter([rows]), size=4 * SLICE_BYTES):
+            for batch in slices(iter([rows]), size=SLICE_BYTES):
                 words = cut(batch.column("text"), lower=True)
                 keys, first = windows(words, order)
                 below = np.concatenate([[0.0], np.cumsum(window_costs.of(keys))])
@@ -253,7 +252,7 @@ def scored(documents: DataFrame, workspace: Workspace, order: int = ORDER) -> Da
     if not 2 <= order <= 7:
         raise ValueError("order must be between 2 and 7")
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), is_held_out(F.col("doc_id")).alias("held_out"), "text")
-    saved = workspace.save(documents.mapInArrow(_listed(order), _SCHEMA), "listed", by="is_row")
+    saved = workspace.save(in_blocks(documents).mapInArrow(_listed(order), _SCHEMA), "listed", by="is_row")
     listed = entries(saved.where(~F.col("is_row")))
     counted = workspace.save(totals(listed), "counted")
     words = counted.where(F.col("kind") == _WORD)
