@@ -8,6 +8,7 @@ from quillrank.functions.binding import let
 from quillrank.operators.lookup import lookup_join
 from quillrank.operators.terms import PRESENT
 from quillrank.options import RankOptions
+from quillrank.workspace import Workspace
 
 
 def token_counts(tokens: Column) -> Column:
@@ -26,15 +27,23 @@ def token_counts(tokens: Column) -> Column:
     return F.when(F.size(tokens) > 0, let(F.array_sort(tokens), runs)).otherwise(empty)
 
 
-def match_terms(documents: DataFrame, dictionary: DataFrame, options: RankOptions, small: bool = True) -> DataFrame:
+def with_keys(documents: DataFrame) -> DataFrame:
+    return documents.withColumn("doc_key", F.monotonically_increasing_id())
+
+
+def match_terms(
+    documents: DataFrame, dictionary: DataFrame, options: RankOptions, small: bool = True, workspace: Workspace | None = None
+) -> DataFrame:
     """``(doc_key, doc_id, doc_len, title, term, tf, is_document)``: a row per query term of a document, or several that
     add up, and one with the title per non-empty document.
 
     This is the one pass over the text. Tokens are counted before they become rows. All later steps read only these rows.
+    A dictionary that is not ``small`` needs ``documents`` to be a written table and a ``workspace``.
     ``doc_key`` tells rows apart whose ids are equal; it holds once the rows are written.
     """
     # The key goes first: it keeps the filter from being pushed down, where it would repeat the analysis.
-    rows = documents.withColumn("doc_key", F.monotonically_increasing_id()).where(F.col("doc_len") > 0)
+    keyed = documents if "doc_key" in documents.columns else with_keys(documents)
+    rows = keyed.where(F.col("doc_len") > 0)
     on = ["token"]
     no_title = F.lit(None).cast("string").alias("title")
 
@@ -51,7 +60,7 @@ def match_terms(documents: DataFrame, dictionary: DataFrame, options: RankOption
     head = F.struct(F.lit(PRESENT).alias("token"), F.lit(0).cast("long").alias("tf"), F.col("title").alias("title"), F.lit(False).alias("in_body"))
     rows = rows.select("doc_key", "doc_id", "doc_len", F.explode(F.concat(F.array(head), counted)).alias("entry"))
     rows = rows.select("doc_key", "doc_id", "doc_len", "entry.*")
-    matched = lookup_join(rows, dictionary, on, small)
+    matched = lookup_join(rows, dictionary, on, small, workspace, options.broadcast_bytes)
     return matched.select("doc_key", "doc_id", "doc_len", "title", "term", "tf", (F.col("term") == PRESENT).alias("is_document"))
 
 

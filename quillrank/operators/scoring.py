@@ -7,15 +7,18 @@ from pyspark.sql import DataFrame, functions as F
 from quillrank.functions.weighting import dph
 from quillrank.operators.lookup import lookup_join
 from quillrank.options import RankOptions
+from quillrank.workspace import Workspace
 
 
-def posting_scores(postings: DataFrame, statistics: DataFrame, options: RankOptions, small: bool = True) -> DataFrame:
+def posting_scores(
+    postings: DataFrame, statistics: DataFrame, options: RankOptions, small: bool = True, workspace: Workspace | None = None
+) -> DataFrame:
     """``(doc_key, doc_id, doc_len, term, tf, cf, term_score)``.
 
     A term's score in a document is the same for all queries, so it is computed before queries are joined.
     """
     score = dph(*[F.col(name) for name in ("tf", "cf", "doc_len", "avg_len", "n_docs")], options.ratio)
-    return lookup_join(postings, statistics, ["term"], small).select(
+    return lookup_join(postings, statistics, ["term"], small, workspace, options.broadcast_bytes).select(
         "doc_key", "doc_id", "doc_len", "term", "tf", "cf", score.alias("term_score")
     )
 
@@ -25,9 +28,11 @@ def query_shares(terms: DataFrame) -> DataFrame:
     return terms.groupBy("query_id", "term").agg((F.count(F.lit(1)) / F.max("n_terms")).alias("share"))
 
 
-def query_term_scores(scored: DataFrame, shares: DataFrame, small: bool = True) -> DataFrame:
+def query_term_scores(
+    scored: DataFrame, shares: DataFrame, options: RankOptions, small: bool = True, workspace: Workspace | None = None
+) -> DataFrame:
     """``scored`` once for every query that holds the term, with ``query_id`` and ``share``."""
-    return lookup_join(scored, shares, ["term"], small)
+    return lookup_join(scored, shares, ["term"], small, workspace, options.broadcast_bytes)
 
 
 def document_scores(term_scores: DataFrame, options: RankOptions) -> DataFrame:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from quillrank.operators.diversity import extend_selection, no_selection
 from quillrank.operators.documents import analyze_documents
 from quillrank.operators.matching import (
-    corpus_stats, hits, match_terms, matched_documents, term_frequencies, term_statistics,
+    corpus_stats, hits, match_terms, matched_documents, term_frequencies, term_statistics, with_keys,
 )
 from quillrank.operators.ranking import numbered
 from quillrank.operators.scoring import document_scores, posting_scores, query_shares, query_term_scores
@@ -23,6 +23,9 @@ from quillrank.sources.queries import distinct_queries, read_queries
 from quillrank.workspace import Measured, Workspace
 
 
+SPAN = 1024  # numbers of documents that are counted together
+
+
 @dataclass(frozen=True)
 class Match:
     """The corpus cut down to what the queries need, on disk."""
@@ -31,6 +34,7 @@ class Match:
     terms: Measured  # query_id, pos, term, n_terms
     matches: DataFrame  # see match_terms
     options: RankOptions
+    workspace: Workspace
 
     @property
     def documents(self) -> DataFrame:
@@ -52,8 +56,12 @@ class Match:
     def term_scores(self) -> DataFrame:
         # Neither lookup side has more rows, or wider ones, than the measured query terms.
         small = self.terms.fits(self.options.broadcast_bytes)
-        scored = posting_scores(self.postings, term_statistics(self.hits, self.stats), self.options, small)
-        return query_term_scores(scored, query_shares(self.terms.frame), small)
+        postings = self.postings if small else self.workspace.save(self.postings, "postings")
+        statistics = term_statistics(self.hits, self.stats)
+        scored = posting_scores(postings, statistics, self.options, small, self.workspace)
+        if not small:
+            scored = self.workspace.save(scored, "term-scores")
+        return query_term_scores(scored, query_shares(self.terms.frame), self.options, small, self.workspace)
 
     @property
     def scores(self) -> DataFrame:
@@ -65,35 +73,57 @@ def match_corpus(articles: DataFrame, queries: DataFrame, options: RankOptions,
     asked = workspace.save_measured(distinct_queries(queries), "queries")
     terms = workspace.save_measured(query_terms(asked.frame, options), "terms")
     documents = analyze_documents(articles, options)
+    plain_fits = terms.fits(options.broadcast_bytes)
+    if options.stem or not plain_fits:
+        # Read more than once, for the vocabulary or for hot terms, and for the match. The tokens of titles and leading
+        # paragraphs are smaller than the articles and need no second parse.
+        documents = workspace.save(with_keys(documents), "tokens")
     if options.stem:
-        # Read twice, for the vocabulary and for the match. The tokens of titles and leading paragraphs
-        # are smaller than the articles and need no second parse.
-        documents = workspace.save(documents, "tokens")
         stems = workspace.save_measured(
             stemmed_dictionary(stem_vocabulary(vocabulary(documents), options), terms.frame, options), "dictionary"
         )
         dictionary, small = stems.frame, stems.fits(options.broadcast_bytes)
     else:
-        dictionary, small = plain_dictionary(terms.frame), terms.fits(options.broadcast_bytes)
-    matches = workspace.save(match_terms(documents, dictionary, options, small), "matches", by="is_document")
-    return Match(asked, terms, matches, options)
+        dictionary, small = plain_dictionary(terms.frame), plain_fits
+    matches = workspace.save(match_terms(documents, dictionary, options, small, workspace), "matches", by="is_document")
+    return Match(asked, terms, matches, options, workspace)
+
 
+def unmatched(taken: DataFrame, short: DataFrame, n_documents: int, low: int, high: int) -> DataFrame:
+    """``(query_id, number)``: the ``low`` + 1-th to ``high``-th of the documents, numbered from 1 to ``n_documents``, that
+    a query in ``short`` has no row for in ``taken`` ``(query_id, number)``.
 
-def _unmatched(match: Match, numbers: DataFrame, scores: DataFrame, short: DataFrame, low: int, high: int) -> DataFrame:
-    """Score 0.0 for the queries in ``short`` and the documents numbered ``low`` + 1 to ``high`` that they do not score
-    otherwise."""
-    wanted = short.select("query_id", F.explode(F.sequence(F.lit(low + 1).cast("long"), F.lit(high).cast("long"))).alias("number"))
-    rows = wanted.join(numbers.where(F.col("number").between(low + 1, high)), "number")
-    scored = scores.where(F.col("score") != 0).select("query_id", "doc_key")
-    return rows.join(scored, ["query_id", "doc_key"], "left_anti").select("query_id", "doc_key", "doc_id", F.lit(0.0).alias("score"))
+    Between two numbers that a query has lie the ones it lacks, and the number less its row number counts them. Counts
+    per ``SPAN`` numbers say first how far a query must look, so only its rows up to there are put in order.
+    """
+    span = F.floor((F.col("number") - 1) / SPAN)
+    counts = taken.join(short.select("query_id"), "query_id", "left_semi").groupBy("query_id", span.alias("span")).agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("query_id").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    begun = counts.withColumn("before", before).where(F.col("span") * SPAN - F.col("before") < high)
+    last = begun.groupBy("query_id").agg(F.max(F.struct("span", "before", "n")).alias("last"))
+    end = (F.col("last.span") + 1) * SPAN
+    free = end - F.col("last.before") - F.col("last.n")  # up to the end of the last span that was begun
+    far = F.coalesce(end + F.greatest(high - free, F.lit(0)), F.lit(high))
+    reach = short.select("query_id").join(last, "query_id", "left").select("query_id", F.least(far, F.lit(n_documents)).alias("reach"))
+
+    within = taken.join(reach, "query_id").where(F.col("number") <= F.col("reach")).select("query_id", "number")
+    closed = within.union(reach.select("query_id", F.col("reach") + 1))
+    order = Window.partitionBy("query_id").orderBy("number")
+    gaps = closed.select(
+        "query_id", "number", F.row_number().over(order).alias("row"), F.coalesce(F.lag("number").over(order), F.lit(0)).alias("previous")
+    )
+    first, until = F.greatest(F.col("previous") - F.col("row") + 2, F.lit(low + 1)), F.least(F.col("number") - F.col("row"), F.lit(high))
+    gaps = gaps.select("query_id", "row", first.alias("first"), until.alias("until")).where("first <= until")
+    places = gaps.select("query_id", "row", F.explode(F.sequence("first", "until")).alias("place"))
+    return places.select("query_id", (F.col("place") + F.col("row") - 1).alias("number"))
 
 
 def select_distinct(match: Match, workspace: Workspace) -> DataFrame:
     """``(query_id, kept)`` for every query.
 
     With ``include_unmatched``, queries that positive scores leave short go on with documents of score 0.0. Those tie, so
-    they come by id: documents are numbered by it once, and queries that are still short take windows of the next
-    numbers, ten times wider each. Negative scores come last.
+    they come by id: documents are numbered by it once, and queries that are still short take the first ``depth`` of those
+    that they do not match, then ten times as many each round. Negative scores come last.
     """
     options, documents = match.options, match.documents
     scores = workspace.save(match.scores, "scores")  # later rounds read them again
@@ -119,10 +149,13 @@ def select_distinct(match: Match, workspace: Workspace) -> DataFrame:
         scores = workspace.save(scores.join(short.select("query_id"), "query_id", "left_semi"), "scores")
         order = [F.asc("doc_id"), F.asc("doc_key")]
         numbers = workspace.save_measured(numbered(documents.select("doc_id", "doc_key"), order, "number", workspace), "numbers")
+        scored = scores.where(F.col("score") != 0).select("query_id", "doc_key")
+        taken = workspace.save(scored.join(numbers.frame, "doc_key").select("query_id", "number"), "taken")
         low, width = 0, options.depth
         while n_short and low < numbers.rows:
             high = min(numbers.rows, low + width)
-            short, n_short = unfinished(extend(short, _unmatched(match, numbers.frame, scores, short, low, high)))
+            rows = unmatched(taken, short, numbers.rows, low, high).join(numbers.frame, "number")
+            short, n_short = unfinished(extend(short, rows.select("query_id", "doc_key", "doc_id", F.lit(0.0).alias("score"))))
             low, width = high, width * 10
         if n_short:
             below = scores.where(F.col("score") < 0).join(short.select("query_id"), "query_id", "left_semi")
@@ -166,11 +199,11 @@ def rank_files(
 ) -> DataFrame:
     """Rank the articles of a JSON-lines path for the queries of a text file.
 
-    A line that is no article fails the job; with ``rejects_path`` such lines are written there as text instead.
+    A line that is no article fails the job; with ``rejects_path`` such lines are written there instead, as JSON with the reason.
     """
     if rejects_path is None:
         articles = read_articles(spark, article_path, RANKED_FIELDS)
     else:
         articles, rejects = read_with_rejects(spark, article_path, RANKED_FIELDS)
-        rejects.write.text(rejects_path)
+        rejects.write.json(rejects_path)
     return rank_articles(articles, read_queries(spark, query_path), options, workspace)

@@ -53,17 +53,61 @@ def decode_articles(line: Column, schema: T.StructType = ARTICLE) -> Column:
     return F.from_json(line, schema, {"mode": "FAILFAST"})
 
 
+def _accepts(kind: T.DataType) -> str:
+    """What ``schema_of_variant`` may say of a value of a field of this type. Any scalar has a text; numbers are whole ones."""
+    scalar = "STRING|BOOLEAN|BIGINT|DOUBLE|DECIMAL\\(.*\\)|FLOAT|DATE|TIMESTAMP|TIMESTAMP_NTZ|BINARY|UUID"
+    return {"string": scalar, "bigint": "BIGINT"}[kind.simpleString()] + "|VOID"
+
+
+def wrong_field(line: Column, schema: T.StructType = ARTICLE) -> Column:
+    """The first field of an article whose JSON value is of the wrong kind, as a path; null where there is none.
+
+    An object or a list in the place of a text, a text in that of a number, anything but a list of objects for the content
+    items. Fields that the schema does not name may hold anything; null and missing are right everywhere.
+    """
+    value = F.try_parse_json(line)
+
+    def kind(v: Column, path: str) -> Column:
+        return F.schema_of_variant(F.try_variant_get(v, path, "variant"))
+
+    def check(v: Column, prefix: str, field: T.StructField) -> Column:
+        return F.when(~kind(v, f"$.{field.name}").rlike(f"^({_accepts(field.dataType)})$"), F.lit(prefix + field.name))
+
+    found = []
+    for field in schema.fields:
+        if not isinstance(field.dataType, T.ArrayType):
+            found.append(check(value, "", field))
+            continue
+        whole = kind(value, f"$.{field.name}")
+        items = F.try_variant_get(value, f"$.{field.name}", "array<variant>")
+        item = F.transform(items, lambda x: _item_fault(x, field, check))
+        found.append(F.when(~whole.rlike("^(ARRAY<.*>|VOID)$"), F.lit(field.name)).otherwise(F.get(F.filter(item, lambda f: f.isNotNull()), F.lit(0))))
+    return F.when(~F.schema_of_variant(value).rlike("^OBJECT<.*>$"), F.lit("$")).otherwise(F.coalesce(*found))
+
+
+def _item_fault(item: Column, field: T.StructField, check) -> Column:
+    parts = [check(item, f"{field.name}.", part) for part in field.dataType.elementType.fields]
+    return F.when(~F.schema_of_variant(item).rlike("^(OBJECT<.*>|VOID)$"), F.lit(field.name)).otherwise(F.coalesce(*parts))
+
+
 def read_with_rejects(spark: SparkSession, path: str, schema: T.StructType = ARTICLE) -> tuple[DataFrame, DataFrame]:
-    """Articles, and the raw lines that are no article, as ``(articles, rejects)``."""
+    """Articles, and ``(value, reason)``: the raw lines that are no article and what is wrong with them.
+
+    The reason is ``not an article`` where a line is no JSON object, else the field with a value of the wrong kind.
+    """
     marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     decoded = spark.read.text(path).select(
         "value",
         F.from_json("value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("article"),
+        wrong_field(F.col("value"), schema).alias("wrong"),
     )
-    broken = F.col("article").isNull() | F.col(f"article.{CORRUPT}").isNotNull()
+    broken = F.col("article").isNull() | F.try_parse_json("value").isNull() | (F.col("wrong") == "$")
+    late = F.col(f"article.{CORRUPT}").isNotNull()  # a kind that fits and a value that does not, as a number out of range
+    reason = F.when(broken, F.lit("not an article")).when(F.col("wrong").isNotNull(), F.col("wrong")).when(late, F.lit("value out of range"))
+    judged = decoded.withColumn("reason", reason)
     return (
-        decoded.where(~broken).select(*[f"article.{name}" for name in schema.names]),
-        decoded.where(broken).select("value"),
+        judged.where(F.col("reason").isNull()).select(*[f"article.{name}" for name in schema.names]),
+        judged.where(F.col("reason").isNotNull()).select("value", "reason"),
     )
 
 

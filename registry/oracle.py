@@ -248,7 +248,10 @@ ORACLE: dict[str, str] = {
 SELECT DISTINCT CAST('0x' || substr(md5(query), 1, 15) AS BIGINT) AS query_id, query FROM asked""",
     "articles_scan": _FLAT_ARTICLE,
     "json_decode": _FLAT_ARTICLE,
-    "article_rejects": "SELECT unnest(string_split(text, chr(10))) AS value FROM documents",
+    "article_rejects": """SELECT unnest(string_split(text, chr(10))) AS value, 'not an article' AS reason FROM documents
+UNION ALL SELECT '{"id":"' || doc_id || '","title":{"a":1}}', 'title' FROM documents
+UNION ALL SELECT '{"id":"' || doc_id || '","published_date":"soon"}', 'published_date' FROM documents
+UNION ALL SELECT '{"id":"' || doc_id || '","contents":[{"content":[]}]}', 'contents.content' FROM documents""",
     "tokenize": _text_tokens(_keep(False)),
     # RE2 has no back references: four equal characters in a row are spelled out.
     "tokenize_limits": _text_tokens(

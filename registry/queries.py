@@ -104,7 +104,9 @@ def _article_rejects(spark, sf):
     path = session_workspace(spark).folder("mixed")
     articles = sample_articles(spark, sf, ARTICLE).select(F.to_json(F.struct("*")).alias("value"))
     broken = texts(spark, sf).select(F.explode(F.split("text", "\n")).alias("value"))
-    articles.union(broken).write.text(path)
+    wrong = [f'"{field}":{value}' for field, value in (("title", '{"a":1}'), ("published_date", '"soon"'), ("contents", '[{"content":[]}]'))]
+    kinds = F.array(*[F.concat(F.lit('{"id":"'), F.col("doc_id"), F.lit(f'",{w}}}')) for w in wrong])
+    articles.union(broken).union(texts(spark, sf).select(F.explode(kinds))).write.text(path)
     return read_with_rejects(spark, path)[1]
 
 

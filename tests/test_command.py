@@ -23,7 +23,7 @@ def test_command(spark, tmp_path, monkeypatch):
     )
     (file,) = (tmp_path / "out" / "reports").glob("query_id=*/*.txt")
     lines = file.read_text(encoding="utf8").splitlines()
-    assert [r["value"] for r in spark.read.text(places["rejects"]).collect()] == ["{broken"]
+    assert [tuple(r) for r in spark.read.json(places["rejects"]).select("value", "reason").collect()] == [("{broken", "not an article")]
     assert spark.read.parquet(places["rows"]).count() == 3
     with pytest.raises(Exception):
         command.main(["--queries", str(tmp_path / "queries.list"), "--output", str(tmp_path / "out2"), "--work", places["work"]])

@@ -1,5 +1,6 @@
 """What the physical plans must and must not contain."""
 
+import random
 import re
 
 import pytest
@@ -8,9 +9,10 @@ from pyspark.sql import functions as F
 from quillrank import Workspace
 from quillrank.operators.documents import analyze_documents
 from quillrank.operators.matching import match_terms
-from quillrank.operators.ranking import numbered, top_per_query
+from quillrank.operators.lookup import hot_keys, lookup_join
+from quillrank.operators.ranking import top_per_query
 from quillrank.operators.terms import plain_dictionary, query_terms
-from quillrank.plans.ranking import _unmatched, match_corpus
+from quillrank.plans.ranking import match_corpus, unmatched
 from quillrank.sources.tables import sample_articles, sample_queries
 from registry.queries import PLAIN, QUERIES
 from tests.conftest import SF
@@ -53,13 +55,48 @@ def test_top_is_cut_before_the_shuffle(found):
     assert text.count("WindowGroupLimit") == 4
 
 
-def test_unmatched_rows_come_by_window(spark):
-    with Workspace(spark) as workspace:
-        found = match_corpus(sample_articles(spark, SF), sample_queries(spark, SF), PLAIN, workspace)
-        scores = workspace.save(found.scores, "scores")
-        numbers = numbered(found.documents.select("doc_id", "doc_key"), [F.asc("doc_id")], "number", workspace)
-        text = plan(_unmatched(found, numbers, scores, found.queries.frame, 0, 100))
-    assert "collect_" not in text and "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+def test_unmatched_numbers_come_from_gaps(spark):
+    """Against plain sets, for queries with none, few, nearly all and all documents, from any place on."""
+    rng = random.Random(2)
+    n = 5000
+    has = {1: [], 2: [7, 1, 2500], 3: rng.sample(range(1, n + 1), 4800), 4: list(range(1, n + 1)), 5: list(range(1, 3000)), 6: [n], 9: [1, 2]}
+    taken = spark.createDataFrame([(q, x) for q, numbers in has.items() for x in numbers], "query_id long, number long")
+    short = spark.createDataFrame([(q,) for q in range(1, 7)], "query_id long")
+    for low, high in ((0, 100), (100, 1100), (1100, n), (0, 1), (4, 5)):
+        frame = unmatched(taken, short, n, low, high)
+        text = plan(frame)
+        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text and "LeftAnti" not in text
+        got = {q: [] for q in range(1, 7)}
+        for r in frame.collect():
+            got[r["query_id"]].append(r["number"])
+        free = {q: sorted(set(range(1, n + 1)) - set(has[q]))[low:high] for q in got}
+        assert {q: sorted(v) for q, v in got.items()} == free
+
+
+@pytest.mark.parametrize("on", [["term"], ["term", "in_body"]])
+def test_hot_keys_are_not_shuffled(spark, on):
+    """One key in a third of the rows: no task of the join has more than twice the median rows."""
+    key = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("t"), F.col("id") % 500))
+    facts = spark.range(60_000).select(key.alias("term"), (F.col("id") % 2 == 0).alias("in_body"), "id")
+    lookup = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))  # an aggregate, as in the joins of the library
+    settings = {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        with Workspace(spark) as workspace:
+            saved = workspace.save(facts.repartition(8), "facts")
+            assert [r["term"] for r in hot_keys(saved, "term").collect()] == ["hot"]
+            joined = lookup_join(saved, lookup, on, False, workspace, 4096)
+            sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+            everything = lookup_join(saved, lookup, on, False, workspace, 0)
+            expected = sorted(map(tuple, saved.join(lookup, on).select("id", "n").collect()))
+            assert sorted(map(tuple, joined.select("id", "n").collect())) == expected
+            assert sorted(map(tuple, everything.select("id", "n").collect())) == expected
+    finally:
+        for name, value in old.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert len(sizes) >= 8 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
 
 
 def test_no_python(spark):

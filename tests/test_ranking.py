@@ -64,6 +64,8 @@ VARIANTS = {
     "two passes": replace(BASE, body_passes=2),
     "two passes, shuffled": replace(BASE, body_passes=2, broadcast_bytes=0),
     "shuffled": replace(BASE, broadcast_bytes=0, depth=4, k=6, stem=False),
+    "shuffled, hot terms broadcast": replace(BASE, broadcast_bytes=400, stem=False),
+    "shuffled, hot stems broadcast": replace(BASE, broadcast_bytes=400),
     "strict distance": replace(BASE, min_title_distance=0.9, k=5),
     "k 1": replace(BASE, k=1, depth=1),
 }

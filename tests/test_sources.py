@@ -90,3 +90,30 @@ def test_analyze(spark):
     for empty in (None, [], [None], [(None, None)]):
         row = analyze_documents(article(spark, empty, None), options).first()
         assert (row["title_tokens"], row["body_tokens"], row["doc_len"]) == ([], [], 0)
+
+
+def test_rejects_have_a_reason(spark, tmp_path):
+    lines = {
+        '{"id":"a","title":"t","published_date":5,"contents":[{"content":"x","subtype":"paragraph"},null]}': None,
+        '{"id":7,"title":null,"contents":null,"other":{"z":[1]}}': None,
+        '{"id":"h","title":true,"published_date":null}': None,
+        "{}": None,
+        '{"id":"b","title":{"x":1}}': "title",
+        '{"id":["b"]}': "id",
+        '{"id":"c","published_date":"soon"}': "published_date",
+        '{"id":"c","published_date":1.5}': "published_date",
+        '{"id":"d","contents":{"a":1}}': "contents",
+        '{"id":"e","contents":[3]}': "contents",
+        '{"id":"f","contents":[{"content":"x"},{"content":{"q":1}}]}': "contents.content",
+        '{"id":"f","contents":[{"kicker":[]}]}': "contents.kicker",
+        "[1]": "not an article",
+        "null": "not an article",
+        "{broken": "not an article",
+        "": "not an article",
+    }
+    path = tmp_path / "lines"
+    path.write_text("\n".join(lines) + "\n")
+    articles, rejects = read_with_rejects(spark, str(path))
+    assert {r["value"]: r["reason"] for r in rejects.collect()} == {k: v for k, v in lines.items() if v}
+    assert sorted(r["id"] or "" for r in articles.collect()) == ["", "7", "a", "h"]
+    assert read_with_rejects(spark, str(path), RANKED_FIELDS)[1].where("reason = 'contents.kicker'").count() == 0
