@@ -16,10 +16,10 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-BLOCK_BYTES = 96 << 20
+BLOCK_BYTES = 64 << 20
 LISTED = 1 << 16  # keys in a row of a list
 _BITS = 24  # of a block's number within its task
-_MERGE = 1 << 21
+_MERGE = 1 << 19  # keys that wait to be merged
 
 
 def in_blocks(documents: DataFrame, text: str = "text") -> DataFrame:
@@ -36,20 +36,26 @@ class Block:
 
     def __init__(self):
         self.number = TaskContext.get().partitionId() << _BITS
-        self.nbytes = self.waiting = 0
-        self.tables: list[pa.Table] = []
+        self.nbytes = 0
+        self.counted: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
 
     def count(self, kind: int, keys: np.ndarray, n: np.ndarray) -> None:
         """``keys``, 64 bits and of any order, were met ``n`` times each."""
-        kinds = pa.array(np.full(len(keys), kind, np.int8))
-        self.tables.append(pa.table({"kind": kinds, "key": pa.array(keys.view(np.int64)), "n": pa.array(n, pa.int64())}))
-        self.waiting += len(keys)
-        if self.waiting > _MERGE:
-            self.merge()
-
-    def merge(self) -> None:
-        merged = pa.concat_tables(self.tables).group_by(["kind", "key"], use_threads=False).aggregate([("n", "sum")])
-        self.tables, self.waiting = [merged.rename_columns({"n_sum": "n"}).select(["kind", "key", "n"])], 0
+        parts = self.counted.setdefault(kind, [])
+        parts.append((keys.view(np.int64), n))
+        if sum(len(k) for k, _ in parts[1:]) > _MERGE:
+            self.merge(kind)
+
+    def merge(self, kind: int) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct keys of a kind, sorted, and their counts; the first part from now on."""
+        keys, n = (np.concatenate(part) for part in zip(*self.counted.pop(kind)))
+        order = np.argsort(keys, kind="stable")
+        keys, n = keys[order], n[order]
+        if len(keys):
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            keys, n = keys[first], np.add.reduceat(n, first)
+        self.counted[kind] = [(keys, n)]
+        return keys, n
 
     def is_full(self, nbytes: int) -> bool:
         """Whether the block ends with these further bytes of text."""
@@ -58,19 +64,16 @@ class Block:
 
     def lists(self) -> Iterator[dict]:
         """``block``, ``kind``, ``keys`` and ``counts``, a row each; then the next block begins."""
-        if self.tables:
-            self.merge()
-            for kind in pc.unique(self.tables[0]["kind"]).to_pylist():
-                table = self.tables[0].filter(pc.equal(self.tables[0]["kind"], kind)).sort_by("key")
-                for low in range(0, len(table), LISTED):
-                    piece = table.slice(low, LISTED)
-                    yield {
-                        "block": pa.array([self.number], pa.int64()),
-                        "kind": pa.array([kind], pa.int8()),
-                        "keys": pa.array([piece["key"].to_numpy()], pa.list_(pa.int64())),
-                        "counts": pa.array([piece["n"].to_numpy()], pa.list_(pa.int64())),
-                    }
-        self.number, self.nbytes, self.tables = self.number + 1, 0, []
+        for kind in list(self.counted):
+            keys, n = self.merge(kind)
+            for low in range(0, len(keys), LISTED):
+                yield {
+                    "block": pa.array([self.number], pa.int64()),
+                    "kind": pa.array([kind], pa.int8()),
+                    "keys": pa.array([keys[low : low + LISTED]], pa.list_(pa.int64())),
+                    "counts": pa.array([n[low : low + LISTED]], pa.list_(pa.int64())),
+                }
+        self.number, self.nbytes, self.counted = self.number + 1, 0, {}
 
 
 def entries(lists: DataFrame) -> DataFrame:
