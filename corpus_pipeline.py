@@ -21,7 +21,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts. A null text is scored as an empty one; every repeated row is scored alike, and a row
-    without an id like any other. Without labels of both kinds nothing is learned and the scores are the prior's."""
+    without an id like any other."""
     docs = docs.select(*COLUMNS)
     return accepted(docs, train(docs, read_table(spark, sf_dir, "labels"), session_workspace(spark)))
 
