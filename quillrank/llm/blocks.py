@@ -1,7 +1,7 @@
 """Corpus-wide values for the keys of rows, where rows have far more keys than there are different ones.
 
-The tasks that read rows cut them into blocks of ``BLOCK_BYTES`` of text and list the distinct keys of each block once, with
-how often they occur. These lists are summed over the corpus, and the values made from the sums come back to each block that
+The tasks that read rows cut them into blocks of ``BLOCK_BYTES`` of text, or of fewer where that has ``BLOCK_KEYS`` distinct
+keys, and list the distinct keys of each block once, with how often they occur. These lists are summed over the corpus, and the values made from the sums come back to each block that
 has the key. There its rows meet them in a stream: first the keys of a block, then its rows, so that a task holds the
 distinct keys of one block and one batch of rows. No table of all keys is ever in one place.
 """
@@ -12,31 +12,33 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 BLOCK_BYTES = 64 << 20
+BLOCK_KEYS = 1 << 22  # distinct keys of all kinds that end a block, whatever its bytes
 LISTED = 1 << 16  # keys in a row of a list
 _BITS = 24  # of a block's number within its task
 _MERGE = 1 << 19  # keys that wait to be merged
+PACKED = 1 << 10  # answers in a row of the shuffle
+_PACK = 1 << 18  # answers that a task packs together
 
 
-def in_blocks(documents: DataFrame, text: str = "text") -> DataFrame:
+def in_blocks(documents: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``documents`` in partitions of about a block, where there are more: the fewer blocks, the fewer keys are listed twice.
 
     Every core has work first.
     """
     nbytes = documents.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    return documents.coalesce(max(-(-nbytes // BLOCK_BYTES), documents.sparkSession.sparkContext.defaultParallelism))
+    return documents.coalesce(max(-(-nbytes // block_bytes), documents.sparkSession.sparkContext.defaultParallelism))
 
 
 class Block:
     """The block that a task is at: its number, and what it has counted so far."""
 
-    def __init__(self):
+    def __init__(self, block_bytes: int = BLOCK_BYTES):
         self.number = TaskContext.get().partitionId() << _BITS
-        self.nbytes = 0
+        self.block_bytes, self.nbytes = block_bytes, 0
         self.counted: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
 
     def count(self, kind: int, keys: np.ndarray, n: np.ndarray) -> None:
@@ -60,7 +62,8 @@ class Block:
     def is_full(self, nbytes: int) -> bool:
         """Whether the block ends with these further bytes of text."""
         self.nbytes += nbytes
-        return self.nbytes >= BLOCK_BYTES
+        merged = sum(len(parts[0][0]) for parts in self.counted.values())
+        return self.nbytes >= self.block_bytes or merged >= BLOCK_KEYS
 
     def lists(self) -> Iterator[dict]:
         """``block``, ``kind``, ``keys`` and ``counts``, a row each; then the next block begins."""
@@ -97,12 +100,54 @@ def answered(entries: DataFrame, values: DataFrame, rows: DataFrame) -> DataFram
     return both.repartition("block").sortWithinPartitions("block", "is_row")
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Answers of one block and kind as lists of up to ``PACKED``, as far as a task has them together."""
+
+    def rows(waiting: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(waiting)
+        block, kind = table["block"].to_numpy(), table["kind"].to_numpy()
+        order = np.lexsort((kind, block))
+        block, kind = block[order], kind[order]
+        begins = np.flatnonzero(np.concatenate([[True], (block[1:] != block[:-1]) | (kind[1:] != kind[:-1])]))
+        sizes = np.diff(np.append(begins, len(block)))
+        pieces = -(-sizes // PACKED)
+        nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        first = np.repeat(begins, pieces) + nth * PACKED
+        offsets = pa.array(np.append(first, len(block)), pa.int32())
+        keys, values = (pa.ListArray.from_arrays(offsets, pa.array(table[name].to_numpy()[order])) for name in ("key", "value"))
+        columns = {"block": pa.array(block[first]), "kind": pa.array(kind[first]), "keys": keys, "values": values}
+        return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    waiting, n = [], 0
+    for batch in batches:
+        if len(batch):
+            waiting.append(batch)
+            n += len(batch)
+        if n >= _PACK:
+            yield rows(waiting)
+            waiting, n = [], 0
+    if waiting:
+        yield rows(waiting)
+
+
+def answered_packed(entries: DataFrame, values: DataFrame, rows: DataFrame) -> DataFrame:
+    """``answered``, with the answers shuffled and sorted as lists: 16 bytes each instead of a row as wide as ``rows``. They
+    are rows of their own again before they leave Spark, so a batch stays as small as its number of rows says."""
+    answers = entries.select("block", "kind", "key").join(values, ["kind", "key"]).select("block", "kind", "key", "value")
+    kind_of = values.schema["value"].dataType.simpleString()
+    lists = answers.mapInArrow(_packed, f"block long, kind byte, keys array<long>, values array<{kind_of}>")
+    both = lists.withColumn("is_row", F.lit(False)).unionByName(rows.withColumn("is_row", F.lit(True)), allowMissingColumns=True)
+    dealt = both.repartition("block").sortWithinPartitions("block", "is_row")
+    single = dealt.select("block", "kind", "is_row", *[c for c in rows.columns if c != "block"], F.explode_outer(F.arrays_zip("keys", "values")).alias("e"))
+    return single.select("block", "kind", F.col("e.keys").alias("key"), F.col("e.values").alias("value"), "is_row", *[c for c in rows.columns if c != "block"])
+
+
 class Values:
     """The values of a block's keys of one kind, in a hash table with linear probing."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.keys, self.values = keys.view(np.uint64), values
-        self.bits = max(4, (4 * len(keys)).bit_length())
+        self.bits = max(4, (2 * len(keys)).bit_length())
         self.slots = np.full(1 << self.bits, -1, np.int32)
         waiting, at = np.arange(len(keys), dtype=np.int32), self._start(self.keys)
         while len(waiting):
@@ -136,7 +181,7 @@ class Values:
 
 def by_block(batches: Iterator[pa.RecordBatch], kinds: int) -> Iterator[tuple[list[Values], pa.RecordBatch]]:
     """Batches of rows of one block, each with the values of that block, a ``Values`` per kind."""
-    block, parts, known = None, [], None
+    block, parts, known = None, [[] for _ in range(kinds)], None
     for batch in batches:
         blocks = batch.column("block").to_numpy()
         is_row = batch.column("is_row").to_numpy(zero_copy_only=False)
@@ -145,14 +190,17 @@ def by_block(batches: Iterator[pa.RecordBatch], kinds: int) -> Iterator[tuple[li
             if low == high:
                 continue
             if blocks[low] != block:
-                block, parts, known = blocks[low], [], None
+                block, parts, known = blocks[low], [[] for _ in range(kinds)], None
             piece = batch.slice(low, high - low)
             if not is_row[low]:
-                parts.append(piece.select(["kind", "key", "value"]))
+                kind, key, value = (piece.column(name).to_numpy() for name in ("kind", "key", "value"))
+                for k in range(kinds):
+                    parts[k].append((key[kind == k], value[kind == k]))  # copies, so that the batch can go
                 continue
             if known is None:
-                table = pa.Table.from_batches(parts, piece.select(["kind", "key", "value"]).schema)
-                chosen = [table.filter(pc.equal(table["kind"], kind)) for kind in range(kinds)]
-                known, parts = [Values(t["key"].to_numpy(), t["value"].to_numpy()) for t in chosen], []
+                known = []
+                for k in range(kinds):
+                    none = (np.zeros(0, np.int64), np.zeros(0, batch.schema.field("value").type.to_pandas_dtype()))
+                    pairs, parts[k] = parts[k] or [none], []
+                    known.append(Values(*(np.concatenate(column) for column in zip(*pairs))))
             yield known, piece
-

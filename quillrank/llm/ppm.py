@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quillrank.llm.blocks import Block, answered, by_block, entries, in_blocks, totals
+from quillrank.llm.blocks import Block, answered_packed, by_block, entries, in_blocks, totals
 from quillrank.llm.ngram_join import batch_of
 from quillrank.llm.words import Words, cut, slices
 from quillrank.workspace import Workspace
@@ -34,7 +34,8 @@ END = 0xFF  # a byte that UTF-8 does not use: the end of a text, and what stands
 SYMBOLS = 256
 SMALL = 1  # orders whose counts go to every task: at most 2^16 of them
 GROUP_ROWS = 1 << 19  # windows that are handled together, more for a larger group
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
+BLOCK_BYTES = 256 << 20  # of text whose distinct windows and words are listed once
 _WINDOW, _WORD = 0, 1
 _END_WORD = np.uint64(0x656E64)
 
@@ -80,7 +81,7 @@ def _listed(order: int):
     """The texts with their block, and per block its distinct windows and words with their counts in training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = Block()
+        block = Block(BLOCK_BYTES)
         for batch in slices(batches, size=SLICE_BYTES):
             held_out = batch.column("held_out").to_numpy(zero_copy_only=False)
             words = cut(batch.column("text"), lower=True)
@@ -252,7 +253,7 @@ def scored(documents: DataFrame, workspace: Workspace, order: int = ORDER) -> Da
     if not 2 <= order <= 7:
         raise ValueError("order must be between 2 and 7")
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), is_held_out(F.col("doc_id")).alias("held_out"), "text")
-    saved = workspace.save(in_blocks(documents).mapInArrow(_listed(order), _SCHEMA), "listed", by="is_row")
+    saved = workspace.save(in_blocks(documents, block_bytes=BLOCK_BYTES).mapInArrow(_listed(order), _SCHEMA), "listed", by="is_row")
     listed = entries(saved.where(~F.col("is_row")))
     counted = workspace.save(totals(listed), "counted")
     words = counted.where(F.col("kind") == _WORD)
@@ -265,5 +266,5 @@ def scored(documents: DataFrame, workspace: Workspace, order: int = ORDER) -> Da
     values = workspace.save(values, "values")
     rows = saved.where("is_row").select("block", "doc_id", "held_out", "text")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    out = answered(listed, values, rows).mapInArrow(_scored(order, n_tokens, n_distinct), schema)
+    out = answered_packed(listed, values, rows).mapInArrow(_scored(order, n_tokens, n_distinct), schema)
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -79,3 +79,29 @@ def test_blocks_do_not_change_scores(spark, monkeypatch):
     key = lambda r: repr(r[:3])
     same(sorted(many, key=key), sorted(one, key=key))
     assert blocks.BLOCK_BYTES >= 1 << 20
+
+
+def test_answers_come_packed_and_leave_single(spark):
+    """Every answer of a block is there once, before its rows, however few or many a packed row holds."""
+    listed = [(b, k, key, 1) for b in range(3) for k in range(2) for key in range(b * 5, 3000 + b)]
+    entries = spark.createDataFrame(listed, "block long, kind byte, key long, n long").repartition(3)
+    values = spark.createDataFrame([(k, key, key + k / 2) for k in range(2) for key in range(3010)], "kind byte, key long, value double")
+    rows = spark.createDataFrame([(1, "a"), (4, None)], "block long, text string")
+    found = blocks.answered_packed(entries, values, rows)
+    got = [[tuple(r) for r in part] for part in found.select("block", "kind", "key", "value", "is_row", "text").rdd.glom().collect()]
+    answers = sorted(r[:4] for part in got for r in part if not r[4])
+    assert answers == sorted((b, k, key, key + k / 2) for b, k, key, _ in listed)
+    assert sorted([r[0], r[5]] for part in got for r in part if r[4]) == [[1, "a"], [4, None]]
+    for part in got:
+        assert [(r[0], r[4]) for r in part] == sorted((r[0], r[4]) for r in part)
+
+
+def test_many_distinct_keys_end_a_block(monkeypatch):
+    monkeypatch.setattr(blocks, "BLOCK_KEYS", 10)
+    monkeypatch.setattr(blocks.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 2})())
+    block = blocks.Block()
+    block.count(0, np.arange(4, dtype=np.uint64), np.ones(4, np.int64))
+    assert not block.is_full(1)
+    block.count(1, np.arange(10, dtype=np.uint64), np.ones(10, np.int64))
+    assert block.is_full(1)
+    assert [len(x["keys"][0]) for x in block.lists()] == [4, 10] and not block.is_full(1)
