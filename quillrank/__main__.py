@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 
 from quillrank import RankOptions, Workspace, rank_files
 from quillrank.functions.text import TokenRules
+from quillrank.sinks.packed import write_packed_report
 from quillrank.sinks.report import write_ranking, write_report
 
 
@@ -36,6 +37,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--max-paragraphs", type=int, default=5)
     parser.add_argument("--min-title-distance", type=float, default=0.5)
     parser.add_argument("--rejects", help="where lines that are no article go; without it they fail the job")
+    parser.add_argument("--packed", action="store_true", help="few large report files with an index instead of a folder per query")
     parser.add_argument("--rows", help="write the ranking as Parquet there as well")
     parser.add_argument("--work", help="folder for work tables that all executors share; spark.checkpoint.dir if not given")
     args = parser.parse_args(argv)
@@ -60,7 +62,10 @@ def main(argv: list[str] | None = None) -> None:
     )
     with Workspace(spark, args.work) as workspace:
         ranking = workspace.save(rank_files(spark, args.queries, args.articles, options, workspace, args.rejects), "ranking")
-        write_report(ranking, args.output)
+        if args.packed:
+            write_packed_report(ranking, args.output, workspace)
+        else:
+            write_report(ranking, args.output)
         if args.rows:
             write_ranking(ranking, args.rows)
 

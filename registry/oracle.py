@@ -320,5 +320,8 @@ SELECT query_id, CAST(count(*) AS INTEGER) AS n_results,
 FROM selected GROUP BY query_id""",
     "ranking_report": f"{_selected()} {_REPORT}",
     "report_files": f"{_selected()} {_REPORT}",
+    "report_packed": f"""{_selected()}
+SELECT query_id, translate(any_value(query), ' ', '_') AS file_name, string_agg(line, chr(10) ORDER BY line_no) AS report
+FROM ({_REPORT}) JOIN (SELECT DISTINCT query_id, query FROM selected) USING (query_id) GROUP BY query_id""",
     "ranking_file_name": f"WITH {_ASKED} SELECT query_id, translate(query, ' ', '_') AS file_name FROM asked",
 }

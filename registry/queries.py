@@ -17,6 +17,7 @@ from quillrank.operators.ranking import rank_all, top_per_query
 from quillrank.operators.terms import query_terms, stem_vocabulary, vocabulary
 from quillrank.options import RankOptions
 from quillrank.plans.ranking import Match, match_corpus, rank_matches, select_distinct
+from quillrank.sinks.packed import read_packed_report, write_packed_report
 from quillrank.sinks.report import file_name, nested, read_report, report_lines, write_report
 from quillrank.sources.articles import ARTICLE, decode_articles, read_articles, read_with_rejects
 from quillrank.sources.queries import distinct_queries, read_queries
@@ -342,6 +343,14 @@ def _report_files(spark, sf):
     return read_report(spark, path).withColumn("query_id", F.col("query_id").cast("bigint"))
 
 
+@query("report_packed")
+def _report_packed(spark, sf):
+    workspace = session_workspace(spark)
+    path = workspace.folder("packed")
+    write_packed_report(ranked(spark, sf), path, workspace)
+    return read_packed_report(spark, path)
+
+
 @query("ranking_file_name")
 def _ranking_file_name(spark, sf):
     return sample_queries(spark, sf).select("query_id", file_name(F.col("query")).alias("file_name"))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import SparkSession
 
 from quillrank import __main__ as command
+from quillrank.sinks.packed import read_packed_report
 
 
 def test_command(spark, tmp_path, monkeypatch):
@@ -27,5 +28,8 @@ def test_command(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(places["rows"]).count() == 3
     with pytest.raises(Exception):
         command.main(["--queries", str(tmp_path / "queries.list"), "--output", str(tmp_path / "out2"), "--work", places["work"]])
+    packed = ["--queries", str(tmp_path / "queries.list"), "--output", str(tmp_path / "packed"), "--work", places["work"], "--packed"]
+    command.main([*packed, "--rejects", str(tmp_path / "rejects2"), "--stopwords", places["stopwords"]])
+    assert [r["report"].splitlines() for r in read_packed_report(spark, str(tmp_path / "packed")).collect()] == [lines]
     assert lines[0] == "bond market" and len(lines) == 4  # three of five titles are far apart
     assert SparkSession.getActiveSession() is not None

@@ -1,7 +1,10 @@
 import re
 from pathlib import Path
 
+import pytest
+
 from quillrank import Workspace
+from quillrank.sinks.packed import read_one_report, read_packed_report, write_packed_report
 from quillrank.sinks.report import nested, read_report, report_lines, write_ranking, write_report
 
 RANKING = [
@@ -59,6 +62,44 @@ def test_files_of_a_long_query(spark, tmp_path):
     assert [r["line"] for r in read_report(spark, str(tmp_path)).orderBy("line_no").collect()] == [query, "  1:d 1.0 null"]
 
 
+def test_packed_files(spark, tmp_path):
+    """Few files whatever the number of queries, every report read back by its byte range."""
+    titles = ["A cinematographer, dies at 84", None, "", "In ‘Girl’ by E. D.", "東京 😀", "two\nlines", "x" * 500]
+    rows = [(q, f"query {q} é/ß", r, f"d{q}-{r}", r / 4, titles[(q + r) % 7]) for q in range(400) for r in range(1, 1 + q % 5 + 1)]
+    ranking = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    expected = {}
+    for q, query, r, doc, score, title in sorted(rows):
+        expected[q] = expected.get(q, query) + f"\n  {r}:{doc} {score} {'null' if title is None else title}"
+    for name, size in (("one", 1 << 20), ("some", 1 << 14), ("least", 1)):
+        path = str(tmp_path / name)
+        with Workspace(spark) as workspace:
+            write_packed_report(ranking.where("query_id < 20") if name == "least" else ranking, path, workspace, size)
+        held = {q: text for q, text in expected.items() if q < 20 or name != "least"}
+        files = sorted((tmp_path / name / "reports").glob("file=*/*.txt"))
+        total = sum(f.stat().st_size for f in files)
+        assert (len(files) == 1) if name == "one" else 1 < len(files) <= -(-total // size)
+        index = spark.read.parquet(f"{path}/index").collect()
+        assert len(index) == len(held) and sum(r["length"] for r in index) == total
+        back = read_packed_report(spark, path).collect()
+        assert {r["query_id"]: r["report"] for r in back} == held and len(back) == len(held)
+        assert {r["file_name"] for r in back} == {f"query_{q}_é/ß" for q in held}
+        few = read_packed_report(spark, path, spark.createDataFrame([(3,), (3,), (11,), (9999,)], "query_id bigint"))
+        assert sorted((r["query_id"], r["report"]) for r in few.collect()) == [(3, held[3]), (11, held[11])]
+        assert [read_one_report(spark, path, q) for q in (0, 17, 9999)] == [held[0], held[17], None]
+
+
+def test_packed_files_of_odd_rankings(spark, tmp_path):
+    with Workspace(spark) as workspace:
+        write_packed_report(spark.createDataFrame([], SCHEMA), str(tmp_path / "none"), workspace)
+        assert read_packed_report(spark, str(tmp_path / "none")).collect() == []
+        long = "so long a query / " * 25000
+        ranking = spark.createDataFrame([("q'1", long, 1, "d", 1.0, None)], SCHEMA.replace("query_id bigint", "query_id string"))
+        write_packed_report(ranking, str(tmp_path / "long"), workspace, 100)
+        assert read_one_report(spark, str(tmp_path / "long"), "q'1") == long + "\n  1:d 1.0 null"
+        with pytest.raises(ValueError):
+            write_packed_report(ranking, str(tmp_path / "no"), workspace, 1 << 31)
+
+
 def test_nested(spark):
     row = nested(spark.createDataFrame(RANKING, SCHEMA)).where("query_id = 1").first()
     assert [(r["rank"], r["doc_id"]) for r in row["results"]] == [(1, "11b0-0af5"), (2, "7e9c-981a"), (3, "1cd4-d7ba")]
