@@ -27,6 +27,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--master", default=os.environ.get("SPARK_MASTER"), help="left to spark-submit if not given")
     parser.add_argument("--k", type=int, default=10)
     parser.add_argument("--no-stem", action="store_true")
+    parser.add_argument("--stem-table", help="folder in which stems are kept over runs")
     parser.add_argument("--body-passes", type=int, default=1, choices=(1, 2))
     parser.add_argument("--ratio", default="real", choices=("real", "integer"))
     parser.add_argument("--include-unmatched", action="store_true")
@@ -56,6 +57,7 @@ def main(argv: list[str] | None = None) -> None:
         min_title_distance=args.min_title_distance,
         k=args.k,
         stem=not args.no_stem,
+        stem_table=args.stem_table,
         body_passes=args.body_passes,
         ratio=args.ratio,
         include_unmatched=args.include_unmatched,

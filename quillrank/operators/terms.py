@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from math import ceil
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quillrank.functions.porter import stem
 from quillrank.functions.text import tokenize
 from quillrank.options import RankOptions
+from quillrank.workspace import Workspace
 
 # Every document carries the empty token, which no text yields, and the dictionary maps it to the empty
 # term. So a document without any query term is still there after the join, to be counted.
 PRESENT = ""
+STEMS = "token string, stem1 string, again string"  # a kept stem table; ``again`` is the stem of ``stem1``
+STEM_ROWS = 1 << 20  # rows of one of its files
 
 
 def query_terms(queries: DataFrame, options: RankOptions) -> DataFrame:
@@ -29,14 +34,42 @@ def vocabulary(documents: DataFrame) -> DataFrame:
     return documents.select(F.explode(F.concat("title_tokens", "body_tokens")).alias("token")).distinct()
 
 
+def _stems(tokens: DataFrame) -> DataFrame:
+    return tokens.select("token", stem("token").alias("stem1")).select("token", "stem1", stem("stem1").alias("again"))
+
+
+def _second(options: RankOptions) -> Column:
+    return F.when(~F.col("stem1").isin(list(options.stopwords)), F.col("again"))
+
+
 def stem_vocabulary(tokens: DataFrame, options: RankOptions) -> DataFrame:
     """``(token, stem1, stem2)`` for every row of ``tokens``.
 
     ``stem2`` is what a second analysis makes of ``stem1``: null where that is a stopword, else its stem.
     """
-    stems = tokens.select("token", stem("token").alias("stem1"))
-    again = F.when(~F.col("stem1").isin(list(options.stopwords)), F.col("stem1"))
-    return stems.select("token", "stem1", stem(again).alias("stem2"))
+    return _stems(tokens).select("token", "stem1", _second(options).alias("stem2"))
+
+
+def kept_stem_vocabulary(tokens: DataFrame, path: str, options: RankOptions, workspace: Workspace) -> DataFrame:
+    """``stem_vocabulary`` of the distinct ``tokens`` with a table of stems at ``path`` that grows over runs.
+
+    Only tokens that the table lacks are stemmed, and then appended to it. It does not depend on options. A run that is cut off
+    while appending leaves right rows behind, and two runs at once may append a token twice, so a token counts once
+    when the table is read.
+    """
+    spark = tokens.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+    def table() -> DataFrame:
+        return spark.read.schema(STEMS).parquet(path)
+
+    tokens = workspace.save(tokens, "vocabulary")
+    new = workspace.save_measured(_stems(tokens.join(table(), "token", "left_anti")), "stems")
+    if new.rows:
+        new.frame.repartition(ceil(new.rows / STEM_ROWS)).write.mode("append").parquet(path)
+    kept = table().dropDuplicates(["token"])
+    return tokens.join(kept, "token").select("token", "stem1", _second(options).alias("stem2"))
 
 
 def plain_dictionary(terms: DataFrame) -> DataFrame:

@@ -29,6 +29,7 @@ class RankOptions:
 
     # Physical choices; none of them changes the result
     broadcast_bytes: int = 64 << 20  # a lookup side larger than this is joined by shuffle
+    stem_table: str | None = None  # folder in which stems are kept over runs, so that only new words are stemmed
 
     def __post_init__(self):
         if self.ratio not in ("real", "integer"):

@@ -15,7 +15,7 @@ from quillrank.operators.matching import (
 from quillrank.operators.ranking import numbered
 from quillrank.operators.scoring import document_scores, posting_scores, query_shares, query_term_scores
 from quillrank.operators.terms import (
-    plain_dictionary, query_terms, stem_vocabulary, stemmed_dictionary, vocabulary,
+    kept_stem_vocabulary, plain_dictionary, query_terms, stem_vocabulary, stemmed_dictionary, vocabulary,
 )
 from quillrank.options import RankOptions
 from quillrank.sources.articles import RANKED_FIELDS, read_articles, read_with_rejects
@@ -79,9 +79,12 @@ def match_corpus(articles: DataFrame, queries: DataFrame, options: RankOptions,
         # paragraphs are smaller than the articles and need no second parse.
         documents = workspace.save(with_keys(documents), "tokens")
     if options.stem:
-        stems = workspace.save_measured(
-            stemmed_dictionary(stem_vocabulary(vocabulary(documents), options), terms.frame, options), "dictionary"
-        )
+        words = vocabulary(documents)
+        if options.stem_table:
+            words = kept_stem_vocabulary(words, options.stem_table, options, workspace)
+        else:
+            words = stem_vocabulary(words, options)
+        stems = workspace.save_measured(stemmed_dictionary(words, terms.frame, options), "dictionary")
         dictionary, small = stems.frame, stems.fits(options.broadcast_bytes)
     else:
         dictionary, small = plain_dictionary(terms.frame), plain_fits

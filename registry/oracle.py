@@ -325,3 +325,5 @@ SELECT query_id, translate(any_value(query), ' ', '_') AS file_name, string_agg(
 FROM ({_REPORT}) JOIN (SELECT DISTINCT query_id, query FROM selected) USING (query_id) GROUP BY query_id""",
     "ranking_file_name": f"WITH {_ASKED} SELECT query_id, translate(query, ' ', '_') AS file_name FROM asked",
 }
+
+ORACLE["stem_vocabulary_kept"] = ORACLE["stem_vocabulary"]

@@ -14,7 +14,7 @@ from quillrank.operators.diversity import near_duplicate_titles, with_titles
 from quillrank.operators.documents import analyze_contents, analyze_documents, first_paragraphs, non_empty
 from quillrank.operators.matching import collection_tf, corpus_stats
 from quillrank.operators.ranking import rank_all, top_per_query
-from quillrank.operators.terms import query_terms, stem_vocabulary, vocabulary
+from quillrank.operators.terms import kept_stem_vocabulary, query_terms, stem_vocabulary, vocabulary
 from quillrank.options import RankOptions
 from quillrank.plans.ranking import Match, match_corpus, rank_matches, select_distinct
 from quillrank.sinks.packed import read_packed_report, write_packed_report
@@ -192,6 +192,16 @@ def _stem_vocabulary(spark, sf):
     return stem_vocabulary(vocabulary(analyze_documents(sample_articles(spark, sf), STEMMED)), STEMMED)
 
 
+@query("stem_vocabulary_kept")
+def _stem_vocabulary_kept(spark, sf):
+    """The table has the words of the queries from a run before, and gets the others of the corpus."""
+    workspace = session_workspace(spark)
+    path = workspace.folder("stem-table")
+    asked = query_terms(sample_queries(spark, sf), PLAIN).select(F.col("term").alias("token")).distinct()
+    kept_stem_vocabulary(asked, path, STEMMED, workspace)
+    return kept_stem_vocabulary(vocabulary(analyze_documents(sample_articles(spark, sf), STEMMED)), path, STEMMED, workspace)
+
+
 # Corpus statistics and matches
 
 

@@ -2,6 +2,8 @@
 
 import random
 import re
+from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,11 +12,11 @@ from quillrank import Workspace
 from quillrank.operators.documents import analyze_documents
 from quillrank.operators.matching import match_terms
 from quillrank.operators.lookup import hot_keys, lookup_join
-from quillrank.operators.ranking import top_per_query
-from quillrank.operators.terms import plain_dictionary, query_terms
+from quillrank.operators.ranking import rank_all, top_per_query
+from quillrank.operators.terms import kept_stem_vocabulary, plain_dictionary, query_terms, stem_vocabulary
 from quillrank.plans.ranking import match_corpus, unmatched
 from quillrank.sources.tables import sample_articles, sample_queries
-from registry.queries import PLAIN, QUERIES
+from registry.queries import PLAIN, QUERIES, STEMMED
 from tests.conftest import SF
 
 
@@ -102,3 +104,60 @@ def test_hot_keys_are_not_shuffled(spark, on):
 def test_no_python(spark):
     for key in ("stem_vocabulary", "query_terms_stemmed", "ranked_top10_stemmed"):
         assert "Python" not in plan(QUERIES[key](spark, SF))
+
+
+@pytest.mark.parametrize("limit", [0, 64 << 20])
+def test_full_order_is_written_once(spark, limit, monkeypatch, request):
+    """A query with most of the rows lies in several range partitions; others share one."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled"))
+    rng = random.Random(3)
+    rows = [(1 if i % 3 else 2 + i % 40, f"d{i % 700}", i, float(rng.randrange(20))) for i in range(9000)]
+    written = []
+    save = Workspace.save
+    monkeypatch.setattr(Workspace, "save", lambda self, frame, name, by=None: written.append(name) or save(self, frame, name, by))
+    with Workspace(spark) as workspace:
+        scores = save(workspace, spark.createDataFrame(rows, "query_id long, doc_id string, doc_key long, score double"), "scores")
+        ranked = rank_all(scores, replace(PLAIN, broadcast_bytes=limit), workspace)
+        got = {(r["query_id"], r["doc_key"]): r["position"] for r in ranked.collect()}
+        ordered = workspace.spark.read.parquet(*[str(p) for p in Path(workspace.path).glob("ordered-*")])
+        parts = ordered.where("query_id = 1").select(F.shiftright("row", 33)).distinct().count()
+    expected = {}
+    for query in {r[0] for r in rows}:
+        mine = sorted((r for r in rows if r[0] == query), key=lambda r: (-r[3], r[1], r[2]))
+        expected.update({(query, r[2]): place for place, r in enumerate(mine, 1)})
+    assert got == expected
+    assert written == ["ordered", "starts"] and parts > 1
+
+
+def test_full_order_of_nothing(spark):
+    with Workspace(spark) as workspace:
+        scores = workspace.save(spark.createDataFrame([], "query_id long, doc_id string, doc_key long, score double"), "scores")
+        assert rank_all(scores, PLAIN, workspace).collect() == []
+
+
+def test_known_words_are_not_stemmed_again(spark, tmp_path):
+    """A second run adds no file; a third one with a further word adds that word alone. Options do not change the table."""
+    path, words = str(tmp_path / "stems"), ["relational", "being", "on", "skies", "conditionally", "", "x9"]
+
+    def run(tokens, options=STEMMED):
+        frame = spark.createDataFrame([(w,) for w in tokens], "token string")
+        with Workspace(spark) as workspace:
+            found = sorted(map(tuple, kept_stem_vocabulary(frame, path, options, workspace).collect()))
+        return found, sorted(map(tuple, stem_vocabulary(frame, options).collect()))
+
+    files = lambda: sorted(p.name for p in Path(path).glob("*.parquet"))
+    assert run([]) == ([], []) and files() == []
+    found, expected = run(words)
+    assert found == expected and len(found) == len(words) and len(files()) == 1
+    first = files()
+    found, expected = run(words[2:])
+    assert found == expected and len(found) == 5 and files() == first
+    found, expected = run(words, replace(STEMMED, stopwords=("relat", "ski")))
+    assert found == expected and files() == first and ("skies", "ski", None) in found
+    found, expected = run([*words, "hopefulness"])
+    assert found == expected and len(files()) == 2
+    rows = spark.read.parquet(path).collect()
+    assert sorted(r["token"] for r in rows) == sorted([*words, "hopefulness"])
+    spark.read.parquet(path).limit(3).write.mode("append").parquet(path)  # two runs at once have added the same words
+    assert run(words)[0] == run(words)[1]
