@@ -1,11 +1,12 @@
 """Secret scans: fixed patterns, and character Markov models for what the patterns miss.
 
 Patterns label the samples, over the whole corpus. What the secret patterns find are random strings; long runs of the same
-characters that are written like words are ordinary identifiers. Of both, first-order transitions are counted and a run is reported where the random model
-explains it better by a limit (natural log). Where its ordinary characters outvote the rest, the best stretches inside it
-are reported, widened to the separators around them. The limit comes from ordinary samples that are held out of the counts,
-for each length of run, and is ``MIN_RATIO`` at most. Only built-in expressions are used. The models are one number per pair
-of characters, which the driver sees beside one number for the limit.
+characters that are written like words are ordinary identifiers. Of both, first-order transitions are counted. In every run the
+stretches that the random model explains better by a limit (natural log) are reported, widened to the separators around them.
+Under the ordinary model a stretch from a given character on ever gains t with a chance of exp(-t) at most (the ratio has a mean of
+one), so in n characters one does with n * exp(-t). The limit log(n / ``CHANCE``) keeps that at ``CHANCE`` for runs of all
+lengths. It depends on the run alone, not on the size of the corpus. Only built-in expressions are used. The models are one number per pair
+of characters, which the driver sees.
 
 Defined cases: a null text is an empty one; a corpus without any pattern match has no random model and gets no further
 spans; runs of digits alone are numbers and not reported; repeated rows are each scanned; further columns are ignored.
@@ -28,11 +29,7 @@ KINDS = ("assign", "access", "hex", "random")
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 RUN = 16  # characters of a run that is scored
 SAMPLE_RUN = 12  # and of one that is learned from as ordinary
-MIN_RATIO = 12.0  # the limit at most
-LEAST_RATIO = 6.0  # and at least
-HELD_OUT = 5  # one ordinary sample in so many is not learned from
-HELD_LEAST = 1000  # held-out samples without which the limit stays at its most
-PASSING = 0.001  # share of them that may reach the limit
+CHANCE = 0.001  # share of ordinary runs, as the model has them, that may hold a stretch which is reported
 # What is learned from as ordinary: words in one of the usual cases, joined, with a short number at most.
 ORDINARY = r"^[+/_=-]*+(?:(?:[A-Z]?[a-z]++|[A-Z]++)[+/_=-]*+)++[0-9]{0,4}+[+/_=-]*+$"
 SMOOTHING = 0.5
@@ -117,15 +114,10 @@ def with_base_spans(documents: DataFrame) -> DataFrame:
     return found.select("doc_id", "base", _apart(F.col("runs"), F.col("base")).alias("runs"))
 
 
-def _is_held_out(run: Column) -> Column:
-    """By value, so that copies are on one side."""
-    return F.pmod(F.xxhash64(run["value"]), F.lit(HELD_OUT)) == 0
-
-
 def transitions(found: DataFrame) -> DataFrame:
     """``(random, a, b, n)``: how often character b follows a, in the samples of either label."""
     sample = lambda spans, label: F.transform(spans, lambda s: F.struct(F.lit(label).alias("random"), s["value"].alias("value")))
-    ordinary = F.filter("runs", lambda run: run["value"].rlike(ORDINARY) & ~_is_held_out(run))
+    ordinary = F.filter("runs", lambda run: run["value"].rlike(ORDINARY))
     samples = found.select(F.explode(F.concat(sample("base", True), sample(ordinary, False))).alias("s")).select("s.*")
     codes = samples.select("random", _codes(F.col("value")).alias("codes"))
     # One number per pair, so that the rows that are counted are small.
@@ -168,36 +160,6 @@ def _ratios(value: Column, table: Column) -> Column:
     )
 
 
-def _sum(ratios: Column) -> Column:
-    return F.aggregate(ratios, F.lit(0.0), lambda total, x: total + x)
-
-
-def _best(ratios: Column) -> Column:
-    """The largest sum of consecutive ratios, 0 at least."""
-    state = F.struct(F.lit(0.0).alias("now"), F.lit(0.0).alias("best"))
-
-    def step(s: Column, x: Column) -> Column:
-        now = F.greatest(s["now"] + x, F.lit(0.0))
-        return F.struct(now.alias("now"), F.greatest(s["best"], now).alias("best"))
-
-    return F.aggregate(ratios, state, step, lambda s: s["best"])
-
-
-def excess(found: DataFrame, ratios: list[float] | None) -> float | None:
-    """What best stretches of held-out ordinary samples exceed the log of their length by, all but ``PASSING`` of them.
-
-    A run of twice the length has twice the places for a chance stretch, which costs log 2 in a log ratio. None without
-    ratios or with fewer samples than ``HELD_LEAST``.
-    """
-    if ratios is None:
-        return None
-    held = F.filter("runs", lambda run: run["value"].rlike(ORDINARY) & _is_held_out(run))
-    values = found.select(F.explode(held).alias("run")).select(F.col("run.value").alias("value"))
-    over = _best(_ratios(F.col("value"), _table(ratios))) - F.log(F.length("value"))
-    row = values.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(over, 1 - PASSING, 10000).alias("over")).first()
-    return row["over"] if row["n"] >= HELD_LEAST else None
-
-
 def _stretches(ratios: Column, limit: Column) -> Column:
     """``array<struct<a, b>>``: characters of the best stretches that reach ``limit``, apart from each other.
 
@@ -244,25 +206,16 @@ def _widened(run: Column, stretch: Column) -> Column:
     )
 
 
-def scan(found: DataFrame, ratios: list[float] | None, min_ratio: float = MIN_RATIO, over: float | None = None) -> DataFrame:
-    """``(doc_id, base, spans)`` from ``with_base_spans``; ``spans`` are those of ``base`` and the added ones, in order.
-
-    ``over`` is the ``excess`` of held-out samples; with it the limit is lower than ``min_ratio`` where they allow it.
-    """
+def scan(found: DataFrame, ratios: list[float] | None, chance: float = CHANCE) -> DataFrame:
+    """``(doc_id, base, spans)`` from ``with_base_spans``; ``spans`` are those of ``base`` and the added ones, in order."""
     if ratios is None:
         return found.select("doc_id", "base", F.col("base").alias("spans"))
     table = _table(ratios)
 
-    def limit(run: Column) -> Column:
-        if over is None:
-            return F.lit(min_ratio)
-        return F.least(F.lit(min_ratio), F.greatest(F.lit(LEAST_RATIO), F.log(F.length(run["value"])) + over))
-
     def secrets(run: Column) -> Column:
-        each = _ratios(run["value"], table)
-        inside = F.transform(_stretches(each, limit(run)), lambda stretch: _widened(run, stretch))
-        inside = F.filter(inside, lambda s: (F.length(s["value"]) >= RUN) & s["value"].rlike("[A-Za-z]"))
-        return F.when(_sum(each) >= limit(run), F.array(run)).otherwise(F.array_distinct(inside))
+        limit = F.log(F.length(run["value"]) / F.lit(chance))
+        inside = F.transform(_stretches(_ratios(run["value"], table), limit), lambda stretch: _widened(run, stretch))
+        return F.array_distinct(F.filter(inside, lambda s: (F.length(s["value"]) >= RUN) & s["value"].rlike("[A-Za-z]")))
 
     long = F.filter("runs", lambda run: (F.length(run["value"]) >= RUN) & ~run["value"].rlike("^[0-9]+$"))
     return found.select("doc_id", "base", F.array_sort(F.concat("base", F.flatten(F.transform(long, secrets)))).alias("spans"))

@@ -1,9 +1,12 @@
+import hashlib
+import math
 import random
+import re
 
 from pyspark.sql import functions as F
 
 from quillrank.llm.queries import LLM_QUERIES
-from quillrank.llm.secrets import KINDS, excess, log_ratios, redacted, scan, with_base_spans
+from quillrank.llm.secrets import CHANCE, KINDS, LETTERS, RUN, log_ratios, redacted, scan, with_base_spans
 from quillrank.sources.tables import read_table
 from tests.llm import plain
 
@@ -72,13 +75,75 @@ def test_keys_among_words(spark):
     bare = [(2000 + i, f"the {key(20, letters[:26] + letters[52:])} key") for i in range(40)]
     frame = found(spark, docs + list(paths.items()) + bare)
     ratios = log_ratios(frame)
-    rows = {r["doc_id"]: r for r in scan(frame, ratios, over=excess(frame, ratios)).collect()}
+    rows = {r["doc_id"]: r for r in scan(frame, ratios).collect()}
     added = {i: [s for s in spans(r, "spans") if s[1] == KINDS.index("random")] for i, r in rows.items()}
     assert not any(added[i] for i, _ in docs)
     assert sum({paths[i][a:b] for a, _, b in added[i]} == {k, k[::-1]} for i, k in keys.items()) >= 38
     assert sum(added[i] == [(4, KINDS.index("random"), 24)] for i, _ in bare) >= 38
 
 
+def plain_stretches(value, ratios):
+    """Spans in ``value``, walked over character by character."""
+    limit, found = math.log(len(value) / CHANCE), []
+    gains = [ratios[LETTERS.index(a) * len(LETTERS) + LETTERS.index(b)] for a, b in zip(value, value[1:])]
+    start = 0
+    while start < len(gains):
+        total = peak = 0.0
+        last = at = start
+        while at < len(gains):
+            total += gains[at]
+            if total > peak:
+                peak, last = total, at + 2
+            if total <= 0 or peak - total >= limit:
+                break
+            at += 1
+        if peak >= limit:
+            inside = value[start:last]
+            first = start + len(inside) - len(inside.lstrip("/_=-"))
+            end = start + len(inside.rstrip("/_-"))
+            low = first - len(re.search("[A-Za-z0-9+]*$", value[:first])[0])
+            high = end + len(re.match("[A-Za-z0-9+]*=*", value[end:])[0])
+            if high - low >= RUN and re.search("[A-Za-z]", value[low:high]) and (low, high) not in found:
+                found.append((low, high))
+        start = at + 1
+    return found
+
+
+WORDS = "user account service request handler manager config update status value index table batch window cluster reader".split()
+
+
+def identifiers(rng, n):
+    """Ordinary names of the usual kinds, of two to eight words."""
+    join = [
+        "_".join, "/".join, "-".join, lambda w: "_".join(w).upper(), lambda w: w[0] + "".join(x.title() for x in w[1:]),
+        lambda w: "/".join(w) + "/2024-11-03", lambda w: "".join(w) + "_12",
+    ]
+    return [rng.choice(join)([rng.choice(WORDS) for _ in range(rng.randint(2, 8))]) for _ in range(n)]
+
+
+def test_spans_against_plain_version_and_by_share(spark):
+    """Every added span; most keys are cut out of paths exactly, and few ordinary names are reported. A text has the same
+    spans alone as among others."""
+    rng = random.Random(6)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    key = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    train = [(i, f"token={key(32)} " + " ".join(identifiers(rng, 20))) for i in range(150)]
+    keys = {1000 + i: key(24) for i in range(200)}
+    paths = {i: "/".join([*rng.choices(WORDS, k=(1, 2, 4, 6, 10)[i % 5]), k]) for i, k in keys.items()}
+    names = {5000 + i: name for i, name in enumerate(identifiers(rng, 500))}
+    frame = found(spark, train)
+    ratios = log_ratios(frame)
+    asked = found(spark, [*paths.items(), *names.items()])
+    got = {r["doc_id"]: [(a, b) for a, k, b in spans(r, "spans") if k == KINDS.index("random")] for r in scan(asked, ratios).collect()}
+    expected = {i: plain_stretches(t, ratios) if len(t) >= RUN else [] for i, t in {**paths, **names}.items()}
+    based = {i for i, t in {**paths, **names}.items() if plain.secrets(t)}
+    assert {i: s for i, s in got.items() if i not in based} == {i: s for i, s in expected.items() if i not in based} and len(based) < 5
+    assert sum([paths[i][a:b] for a, b in got[i]] == [k] for i, k in keys.items()) >= 0.9 * len(keys)
+    assert sum(bool(got[i]) for i in names) <= 0.02 * len(names)
+    alone = scan(found(spark, [(1000, paths[1000])]), ratios).first()
+    assert [(a, b) for a, _, b in spans(alone, "spans")] == got[1000]
+
+
 def test_without_samples(spark):
     frame = found(spark, [(1, "nothing of that kind, internationalization"), (2, None)])
     assert log_ratios(frame) is None and [r["spans"] for r in scan(frame, None).collect()] == [[], []]
@@ -98,4 +163,5 @@ def test_query(spark):
         base = plain.secrets(texts[row["doc_id"]])
         assert [row["n_assign"], row["n_access"], row["n_hex"]] == [sum(k == x for _, k, _ in base) for x in range(3)]
         listed = ",".join(f"{plain.PATTERNS[k][0]}:{a}:{b}" for a, k, b in base)
+        assert row["base_sha256"] == hashlib.sha256(listed.encode()).hexdigest()
         assert set(filter(None, listed.split(","))) <= set(row["spans"].split(","))
