@@ -49,9 +49,8 @@ def main(argv: list[str] | None = None) -> None:
     if args.master:
         builder = builder.master(args.master)
     spark = builder.getOrCreate()
-    words = {} if not args.stopwords else {"stopwords": tuple(row["value"] for row in spark.read.text(args.stopwords).collect())}
     options = RankOptions(
-        **words,
+        stopword_table=args.stopwords,
         rules=TokenRules(args.max_token_length, args.max_token_digits, args.max_token_repeats),
         max_paragraphs=args.max_paragraphs,
         min_title_distance=args.min_title_distance,

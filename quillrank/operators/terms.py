@@ -18,11 +18,17 @@ STEMS = "token string, stem1 string, again string"  # a kept stem table; ``again
 STEM_ROWS = 1 << 20  # rows of one of its files
 
 
+def query_tokens(queries: DataFrame, options: RankOptions) -> DataFrame:
+    return queries.select("query_id", tokenize(F.col("query"), options.rules, options.stopwords).alias("tokens"))
+
+
 def query_terms(queries: DataFrame, options: RankOptions) -> DataFrame:
     """``(query_id, pos, term, n_terms)``, repeated terms kept. A query without terms has no row."""
-    tokens = queries.select(
-        "query_id", tokenize(F.col("query"), options.rules, options.stopwords).alias("tokens")
-    )
+    return token_terms(query_tokens(queries, options), options)
+
+
+def token_terms(tokens: DataFrame, options: RankOptions) -> DataFrame:
+    """``query_terms`` from ``(query_id, tokens)``."""
     terms = tokens.select("query_id", F.posexplode("tokens").alias("pos", "term"), F.size("tokens").alias("n_terms"))
     if options.stem:
         terms = terms.withColumn("term", stem("term"))

@@ -12,6 +12,7 @@ from quillrank.functions.text import TokenRules
 class RankOptions:
     # Text analysis
     stopwords: tuple[str, ...] = ENGLISH
+    stopword_table: str | None = None  # text path with a word per line, of any number; takes the place of stopwords
     stem: bool = True
     rules: TokenRules = TokenRules()
     max_paragraphs: int = 5

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -14,8 +14,9 @@ from quillrank.operators.matching import (
 )
 from quillrank.operators.ranking import numbered
 from quillrank.operators.scoring import document_scores, posting_scores, query_shares, query_term_scores
+from quillrank.operators.stopwords import read_words, without_listed_stems, without_words
 from quillrank.operators.terms import (
-    kept_stem_vocabulary, plain_dictionary, query_terms, stem_vocabulary, stemmed_dictionary, vocabulary,
+    kept_stem_vocabulary, plain_dictionary, query_tokens, stem_vocabulary, stemmed_dictionary, token_terms, vocabulary,
 )
 from quillrank.options import RankOptions
 from quillrank.sources.articles import RANKED_FIELDS, read_articles, read_with_rejects
@@ -70,11 +71,22 @@ class Match:
 
 def match_corpus(articles: DataFrame, queries: DataFrame, options: RankOptions, workspace: Workspace) -> Match:
     """Analyze queries and articles and write where the query terms occur."""
+    listed = None
+    if options.stopword_table:
+        listed = workspace.save(read_words(articles.sparkSession, options.stopword_table), "stop-words")
+        options = replace(options, stopwords=())
     asked = workspace.save_measured(distinct_queries(queries), "queries")
-    terms = workspace.save_measured(query_terms(asked.frame, options), "terms")
+    tokens = query_tokens(asked.frame, options)
+    if listed is not None:
+        tokens = without_words(workspace.save(tokens, "query-tokens"), "query_id", ["tokens"], listed, options, workspace)
+    terms = workspace.save_measured(token_terms(tokens, options), "terms")
     documents = analyze_documents(articles, options)
     plain_fits = terms.fits(options.broadcast_bytes)
-    if options.stem or not plain_fits:
+    if listed is not None:
+        documents = workspace.save(with_keys(documents), "all-tokens")
+        documents = without_words(documents, "doc_key", ["title_tokens", "body_tokens"], listed, options, workspace)
+        documents = workspace.save(documents.withColumn("doc_len", F.size("title_tokens") + F.size("body_tokens")), "tokens")
+    elif options.stem or not plain_fits:
         # Read more than once, for the vocabulary or for hot terms, and for the match. The tokens of titles and leading
         # paragraphs are smaller than the articles and need no second parse.
         documents = workspace.save(with_keys(documents), "tokens")
@@ -84,6 +96,8 @@ def match_corpus(articles: DataFrame, queries: DataFrame, options: RankOptions,
             words = kept_stem_vocabulary(words, options.stem_table, options, workspace)
         else:
             words = stem_vocabulary(words, options)
+        if listed is not None and options.body_passes == 2:
+            words = without_listed_stems(words, listed)
         stems = workspace.save_measured(stemmed_dictionary(words, terms.frame, options), "dictionary")
         dictionary, small = stems.frame, stems.fits(options.broadcast_bytes)
     else:

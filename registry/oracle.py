@@ -327,3 +327,4 @@ FROM ({_REPORT}) JOIN (SELECT DISTINCT query_id, query FROM selected) USING (que
 }
 
 ORACLE["stem_vocabulary_kept"] = ORACLE["stem_vocabulary"]
+ORACLE["stopword_filter_table"] = ORACLE["stopword_filter"]

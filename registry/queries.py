@@ -14,6 +14,7 @@ from quillrank.operators.diversity import near_duplicate_titles, with_titles
 from quillrank.operators.documents import analyze_contents, analyze_documents, first_paragraphs, non_empty
 from quillrank.operators.matching import collection_tf, corpus_stats
 from quillrank.operators.ranking import rank_all, top_per_query
+from quillrank.operators.stopwords import read_words, without_words
 from quillrank.operators.terms import kept_stem_vocabulary, query_terms, stem_vocabulary, vocabulary
 from quillrank.options import RankOptions
 from quillrank.plans.ranking import Match, match_corpus, rank_matches, select_distinct
@@ -133,6 +134,19 @@ def _stopword_filter(spark, sf):
     return kept.select("doc_id", F.size("tokens").alias("n_tokens"), joined("tokens").alias("tokens"))
 
 
+@query("stopword_filter_table")
+def _stopword_filter_table(spark, sf):
+    """The words as a text file, and as many again that no text has."""
+    workspace = session_workspace(spark)
+    path = workspace.folder("words")
+    words = spark.createDataFrame([(word,) for word in PLAIN.stopwords], "value string")
+    words.union(texts(spark, sf).select(F.concat(F.lit("-"), "doc_id").alias("value"))).write.text(path)
+    tokens = texts(spark, sf).select("doc_id", tokenize(F.col("text")).alias("tokens"))
+    rows = workspace.save(tokens.withColumn("row", F.monotonically_increasing_id()), "tokens")
+    kept = without_words(rows, "row", ["tokens"], read_words(spark, path), PLAIN, workspace)
+    return kept.select("doc_id", F.size("tokens").alias("n_tokens"), joined("tokens").alias("tokens"))
+
+
 @query("query_terms")
 def _query_terms(spark, sf):
     return query_terms(sample_queries(spark, sf), PLAIN)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quillrank import RankOptions, Workspace, rank_articles
 from quillrank.operators.ranking import rank_all
+from quillrank.operators.stopwords import without_words
 from quillrank.plans.ranking import match_corpus
 from tests import plain
 
@@ -146,3 +147,32 @@ def test_options_are_checked():
     for wrong in ({"ratio": "x"}, {"body_passes": 3}, {"k": 0}, {"depth": 0}, {"depth": 1001}):
         with pytest.raises(ValueError):
             RankOptions(**wrong)
+
+
+@pytest.mark.parametrize("limit", [0, 64 << 20])
+@pytest.mark.parametrize("variant", [{"stem": False}, {"body_passes": 2}])
+def test_stopwords_from_a_table(spark, tmp_path, limit, variant):
+    """As with the same words in the options; documents and queries of such words alone included, among a great many others."""
+    words = ["the", "of", "james", "doing", "market", "common", "financ"]
+    spark.range(200_000).select(F.concat(F.lit("w"), "id").alias("value")).union(spark.createDataFrame([(w,) for w in ["", *words, "the"]], "value string")).write.text(
+        str(tmp_path / "words")
+    )
+    articles = [*corpus(8), ("only", "the of", [("paragraph", "the the")])]
+    options = replace(BASE, broadcast_bytes=limit, **variant)
+    expected = ranked(spark, articles, QUERIES, replace(options, stopwords=tuple(words)))
+    assert ranked(spark, articles, QUERIES, replace(options, stopword_table=str(tmp_path / "words"))) == expected and expected
+    if limit == 0 and not variant.get("stem", True):
+        assert expected == plain.rank(articles, QUERIES, replace(options, stopwords=tuple(words)))
+
+
+def test_stopwords_in_any_place(spark):
+    """Order and repeats of what stays; empty rows; a list that nothing meets leaves the rows as they are."""
+    rows = [(1, ["a", "b", "a", "c"], ["b"]), (2, [], ["a"]), (3, ["b", "b"], []), (4, [], []), (5, ["c", "c", "d"], ["d", "a", "c"])]
+    with Workspace(spark) as workspace:
+        saved = workspace.save(spark.createDataFrame(rows, "k long, x array<string>, y array<string>"), "rows")
+        for listed in ({"a", "b"}, {"c"}, {"zzz"}, set()):
+            words = spark.createDataFrame([(w,) for w in listed], "token string")
+            expected = [(k, [t for t in x if t not in listed], [t for t in y if t not in listed]) for k, x, y in rows]
+            for limit in (0, 64 << 20):
+                kept = without_words(saved, "k", ["x", "y"], words, replace(BASE, broadcast_bytes=limit), workspace)
+                assert sorted(map(tuple, kept.collect())) == expected
