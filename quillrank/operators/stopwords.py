@@ -15,11 +15,11 @@ def read_words(spark: SparkSession, path: str) -> DataFrame:
 
 
 def without_words(rows: DataFrame, key: str, columns: list[str], words: DataFrame, options: RankOptions, workspace: Workspace) -> DataFrame:
-    """``rows``, a written table, with the tokens in ``words`` taken out of the arrays ``columns``; others keep their order.
+    """``rows``, a written table, with the tokens in ``words`` taken out of the arrays ``columns``, none of them null; others keep their order.
 
     ``key`` is different in every row and never null. The list is met by distinct tokens only. What of it occurs is measured: if it may be
-    broadcast, tokens are dropped where they are, else the tokens that stay are looked up, hot ones apart. Tokens then
-    come back to their row by ``key``, so no task holds more than rows did before. Without any such token the rows are returned as they are.
+    broadcast, tokens are dropped where they are, else the tokens that stay are looked up, hot ones apart. The places of those that
+    stay then come back to their row by ``key``, so no task holds more than rows did before. Without any such token the rows are returned as they are.
     """
     def entries(part: int, column: str):
         return F.transform(column, lambda token, pos: F.struct(F.lit(part).alias("part"), pos.alias("pos"), token.alias("token")))
@@ -34,14 +34,15 @@ def without_words(rows: DataFrame, key: str, columns: list[str], words: DataFram
     else:
         staying = vocabulary.join(listed.frame, "token", "left_anti")
         kept = lookup_join(workspace.save(places, "places"), staying, ["token"], False, workspace, options.broadcast_bytes)
-    gathered = kept.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("part", "pos", "token"))).alias("kept"))
+    # Places only, as the row has the tokens.
+    of_part = [F.array_sort(F.collect_list(F.when(F.col("part") == part, F.col("pos")))).alias(f"kept_{part}") for part in range(len(columns))]
+    joined = rows.join(kept.groupBy(key).agg(*of_part), key, "left")
 
-    def tokens(part: int):
-        mine = F.filter("kept", lambda entry: entry["part"] == part)
-        return F.coalesce(F.transform(mine, lambda entry: entry["token"]), F.array().cast("array<string>"))
+    def tokens(column: str):
+        stays = F.transform(f"kept_{columns.index(column)}", lambda pos: F.get(column, pos))
+        return F.coalesce(stays, F.array().cast("array<string>")).alias(column)
 
-    joined = rows.drop(*columns).join(gathered, key, "left")
-    return joined.withColumns({column: tokens(part) for part, column in enumerate(columns)}).select(*rows.columns)
+    return joined.select(*[tokens(name) if name in columns else name for name in rows.columns])
 
 
 def without_listed_stems(stems: DataFrame, words: DataFrame) -> DataFrame:
