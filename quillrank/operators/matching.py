@@ -85,14 +85,13 @@ def corpus_stats(documents: DataFrame) -> DataFrame:
     ).select("n_docs", "total_len", F.try_divide("total_len", "n_docs").alias("avg_len"))
 
 
-def term_frequencies(hits: DataFrame) -> DataFrame:
-    """``(doc_key, doc_id, doc_len, term, tf)``.
+def term_frequencies(hits: DataFrame, tasks: int | None = None) -> DataFrame:
+    """``(doc_key, doc_id, doc_len, term, tf)``, in ``tasks`` partitions or as many as its bytes ask for.
 
     Hits are shuffled by document alone. Scoring groups by document too, so it needs no second shuffle.
     """
-    return (
-        hits.repartition("doc_key").groupBy("doc_key", "doc_id", "doc_len", "term").agg(F.sum("tf").alias("tf"))
-    )
+    dealt = hits.repartition(tasks, "doc_key") if tasks else hits.repartition("doc_key")
+    return dealt.groupBy("doc_key", "doc_id", "doc_len", "term").agg(F.sum("tf").alias("tf"))
 
 
 def term_statistics(hits: DataFrame, stats: DataFrame) -> DataFrame:

@@ -20,12 +20,13 @@ def first_per_query(rows: DataFrame, count: int, order: list, name: str) -> Data
     """The first ``count`` rows of every query, with their place as ``name``.
 
     In two steps, first within pieces of a query: many partitions may each send ``count`` rows of one query. The comparison
-    with a constant lets Spark cut every partition down to that before the shuffle.
+    with a constant lets Spark cut every partition down to that before the shuffle. A piece is what one partition has of a query,
+    so that small partitions are cut as well.
     """
-    pieces = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    for key in (["query_id", F.pmod(F.xxhash64("doc_key"), F.lit(pieces))], ["query_id"]):
+    rows = rows.withColumn("piece", F.spark_partition_id())
+    for key in (["query_id", "piece"], ["query_id"]):
         rows = rows.withColumn(name, F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where(F.col(name) <= count)
-    return rows
+    return rows.drop("piece")
 
 
 def top_per_query(scores: DataFrame, count: int) -> DataFrame:

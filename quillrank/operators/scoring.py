@@ -9,6 +9,8 @@ from quillrank.operators.lookup import lookup_join
 from quillrank.options import RankOptions
 from quillrank.workspace import Workspace
 
+TASK_ROWS = 1 << 19  # of ``query_term_scores`` that a task makes and adds up
+
 
 def posting_scores(
     postings: DataFrame, statistics: DataFrame, options: RankOptions, small: bool = True, workspace: Workspace | None = None
@@ -28,6 +30,18 @@ def query_shares(terms: DataFrame) -> DataFrame:
     return terms.groupBy("query_id", "term").agg((F.count(F.lit(1)) / F.max("n_terms")).alias("share"))
 
 
+def scoring_tasks(hits: DataFrame, shares: DataFrame) -> int:
+    """How many tasks make at most about ``TASK_ROWS`` rows each, a row for every hit and query that holds its term; no fewer than cores.
+
+    Hits are shuffled before queries are joined, when they are a small part of these rows, so the bytes of the shuffle do not tell
+    what a task will hold.
+    """
+    met = hits.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    asked = shares.groupBy("term").agg(F.count(F.lit(1)).alias("n_queries"))
+    rows = met.join(asked, "term").agg(F.sum(F.col("n") * F.col("n_queries"))).first()[0] or 0
+    return max(hits.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+
+
 def query_term_scores(
     scored: DataFrame, shares: DataFrame, options: RankOptions, small: bool = True, workspace: Workspace | None = None
 ) -> DataFrame:

@@ -13,7 +13,7 @@ from quillrank.operators.matching import (
     corpus_stats, hits, match_terms, matched_documents, term_frequencies, term_statistics, with_keys,
 )
 from quillrank.operators.ranking import numbered
-from quillrank.operators.scoring import document_scores, posting_scores, query_shares, query_term_scores
+from quillrank.operators.scoring import document_scores, posting_scores, query_shares, query_term_scores, scoring_tasks
 from quillrank.operators.stopwords import read_words, without_listed_stems, without_words
 from quillrank.operators.terms import (
     kept_stem_vocabulary, plain_dictionary, query_tokens, stem_vocabulary, stemmed_dictionary, token_terms, vocabulary,
@@ -57,12 +57,17 @@ class Match:
     def term_scores(self) -> DataFrame:
         # Neither lookup side has more rows, or wider ones, than the measured query terms.
         small = self.terms.fits(self.options.broadcast_bytes)
-        postings = self.postings if small else self.workspace.save(self.postings, "postings")
+        shares = query_shares(self.terms.frame)
+        if small:
+            # All up to the scores happens in the partitions of this shuffle.
+            postings = term_frequencies(self.hits, scoring_tasks(self.hits, shares))
+        else:
+            postings = self.workspace.save(self.postings, "postings")
         statistics = term_statistics(self.hits, self.stats)
         scored = posting_scores(postings, statistics, self.options, small, self.workspace)
         if not small:
             scored = self.workspace.save(scored, "term-scores")
-        return query_term_scores(scored, query_shares(self.terms.frame), self.options, small, self.workspace)
+        return query_term_scores(scored, shares, self.options, small, self.workspace)
 
     @property
     def scores(self) -> DataFrame:

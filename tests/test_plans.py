@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillrank import Workspace
+from quillrank.operators import scoring
 from quillrank.operators.documents import analyze_documents
 from quillrank.operators.matching import match_terms
 from quillrank.operators.lookup import hot_keys, lookup_join
@@ -52,6 +53,21 @@ def test_scoring_shuffles_hits_once(found):
     assert text.index("sum(tf") < text.index("Exchange hashpartitioning(doc_key")
 
 
+def test_scoring_tasks_make_few_rows(found, monkeypatch):
+    monkeypatch.setattr(scoring, "TASK_ROWS", 200)
+    scored = found.term_scores
+    held = [row["count"] for row in scored.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) > 20 * scoring.TASK_ROWS and max(held) < 4 * scoring.TASK_ROWS
+
+
+def test_small_partitions_are_cut(spark):
+    """Each of 60 partitions has two rows of every query, and sends one."""
+    rows = spark.range(0, 600, 1, 60).select((F.col("id") % 5).alias("query_id"), F.col("id").alias("doc_key"), F.lit(0.5).alias("score"))
+    best = top_per_query(rows.withColumn("doc_id", F.col("doc_key")), 1)
+    assert [tuple(row) for row in best.orderBy("query_id").select("query_id", "doc_id").collect()] == [(i, i) for i in range(5)]
+    assert "Exchange hashpartitioning(query_id" in plan(best) and "SPARK_PARTITION_ID()" in plan(best)
+
+
 def test_top_is_cut_before_the_shuffle(found):
     text = plan(top_per_query(found.scores, PLAIN.depth))
     assert text.count("WindowGroupLimit") == 4
