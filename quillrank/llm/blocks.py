@@ -22,6 +22,7 @@ _BITS = 24  # of a block's number within its task
 _MERGE = 1 << 19  # keys that wait to be merged
 PACKED = 1 << 10  # answers in a row of the shuffle
 _PACK = 1 << 18  # answers that a task packs together
+_PLACED = 1 << 16  # keys that are put into a table at a time
 
 
 def in_blocks(documents: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -149,12 +150,14 @@ class Values:
         self.keys, self.values = keys.view(np.uint64), values
         self.bits = max(4, (2 * len(keys)).bit_length())
         self.slots = np.full(1 << self.bits, -1, np.int32)
-        waiting, at = np.arange(len(keys), dtype=np.int32), self._start(self.keys)
-        while len(waiting):
-            free = self.slots[at] < 0
-            self.slots[at[free]] = waiting[free]  # of several, one stays
-            lost = self.slots[at] != waiting
-            waiting, at = waiting[lost], (at[lost] + 1) & (len(self.slots) - 1)
+        for low in range(0, len(keys), _PLACED):  # piece by piece, as what is at work takes several times a key's bytes
+            piece = self.keys[low : low + _PLACED]
+            waiting, at = np.arange(low, low + len(piece), dtype=np.int32), self._start(piece)
+            while len(waiting):
+                free = self.slots[at] < 0
+                self.slots[at[free]] = waiting[free]  # of several, one stays
+                lost = self.slots[at] != waiting
+                waiting, at = waiting[lost], (at[lost] + 1) & (len(self.slots) - 1)
 
     def _start(self, keys: np.ndarray) -> np.ndarray:
         return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -179,10 +182,32 @@ class Values:
         return self.values[found]
 
 
+class Collected:
+    """Keys and values that come in pieces, in arrays that grow by a fourth; kept pieces would be held twice when joined."""
+
+    def __init__(self, value_type: np.dtype):
+        self.keys, self.values, self.n = np.zeros(0, np.int64), np.zeros(0, value_type), 0
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        end = self.n + len(keys)
+        if end > len(self.keys):
+            self._resize(max(end, len(self.keys) * 5 // 4))
+        self.keys[self.n : end], self.values[self.n : end], self.n = keys, values, end
+
+    def _resize(self, size: int) -> None:
+        for column in (self.keys, self.values):
+            column.resize(size, refcheck=False)
+
+    def table(self) -> Values:
+        self._resize(self.n)
+        return Values(self.keys, self.values)
+
+
 def by_block(batches: Iterator[pa.RecordBatch], kinds: int) -> Iterator[tuple[list[Values], pa.RecordBatch]]:
     """Batches of rows of one block, each with the values of that block, a ``Values`` per kind."""
-    block, parts, known = None, [[] for _ in range(kinds)], None
+    block, parts, known = None, [], None
     for batch in batches:
+        value_type = batch.schema.field("value").type.to_pandas_dtype()
         blocks = batch.column("block").to_numpy()
         is_row = batch.column("is_row").to_numpy(zero_copy_only=False)
         edges = np.flatnonzero((blocks[1:] != blocks[:-1]) | (is_row[1:] != is_row[:-1])) + 1
@@ -190,17 +215,15 @@ def by_block(batches: Iterator[pa.RecordBatch], kinds: int) -> Iterator[tuple[li
             if low == high:
                 continue
             if blocks[low] != block:
-                block, parts, known = blocks[low], [[] for _ in range(kinds)], None
+                block, known = blocks[low], None  # what the last block had can go first
+                parts = [Collected(value_type) for _ in range(kinds)]
             piece = batch.slice(low, high - low)
             if not is_row[low]:
                 kind, key, value = (piece.column(name).to_numpy() for name in ("kind", "key", "value"))
                 for k in range(kinds):
-                    parts[k].append((key[kind == k], value[kind == k]))  # copies, so that the batch can go
+                    parts[k].add(key[kind == k], value[kind == k])
                 continue
             if known is None:
-                known = []
-                for k in range(kinds):
-                    none = (np.zeros(0, np.int64), np.zeros(0, batch.schema.field("value").type.to_pandas_dtype()))
-                    pairs, parts[k] = parts[k] or [none], []
-                    known.append(Values(*(np.concatenate(column) for column in zip(*pairs))))
+                known = [part.table() for part in parts]
+                parts = []
             yield known, piece

@@ -1,10 +1,13 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quillrank import Workspace
 from quillrank.llm import blocks
+from quillrank.llm.blocks import by_block
 from quillrank.llm.ppm import Level, costs, mask, scored
 from quillrank.sources.tables import read_table
 from tests.conftest import SF
@@ -105,3 +108,23 @@ def test_many_distinct_keys_end_a_block(monkeypatch):
     block.count(1, np.arange(10, dtype=np.uint64), np.ones(10, np.int64))
     assert block.is_full(1)
     assert [len(x["keys"][0]) for x in block.lists()] == [4, 10] and not block.is_full(1)
+
+
+def test_a_block_takes_little_more_than_its_table():
+    """The keys and values of a block are held once, with a table of 8 to 16 bytes a key."""
+    n = 1 << 20
+    keys = np.arange(n, dtype=np.int64) * 0x9E3779B97F4A7C1
+
+    def batches():
+        for low in range(0, n, 10_000):
+            part = keys[low : low + 10_000]
+            columns = {"block": np.zeros(len(part), np.int64), "kind": np.zeros(len(part), np.int8), "key": part, "value": part / 7}
+            yield pa.RecordBatch.from_pydict({**columns, "is_row": np.zeros(len(part), bool)})
+        yield pa.RecordBatch.from_pydict({"block": [0], "kind": np.zeros(1, np.int8), "key": [0], "value": [0.0], "is_row": [True]})
+
+    tracemalloc.start()
+    (values, none), rows = next(by_block(batches(), 2))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(rows) == 1 and (values.of(keys) == keys / 7).all() and not len(none.keys)
+    assert peak < 2.6 * 16 * n
