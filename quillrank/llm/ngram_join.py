@@ -364,8 +364,9 @@ def _shared_prefixes(documents: DataFrame, order: Order, workspace: Workspace) -
     key = F.when(F.col("is_frequent"), F.xxhash64("gram", "name")).otherwise(F.col("gram"))
     several = F.expr("min(name) over (partition by key) <> max(name) over (partition by key)")
     marked = rows.withColumn("key", key).withColumn("several", several)
-    kept = marked.where(F.col("is_frequent") | F.col("several")).select("gram", "name", "n", "place").distinct()
-    return workspace.save(kept, "lists")
+    # The key is one of the columns that are made distinct, so rows stay where the shuffle by it has put them.
+    kept = marked.where(F.col("is_frequent") | F.col("several")).select("key", "gram", "name", "n", "place").distinct()
+    return workspace.save(kept.drop("key"), "lists")
 
 
 def _weighted(lists: DataFrame, workspace: Workspace) -> DataFrame:
@@ -393,7 +394,9 @@ def _open_pairs(lists: DataFrame, known: DataFrame, workspace: Workspace) -> Dat
     In each list the sets outside its largest component are paired with the others of the list, so a list that is nearly all
     connected costs in proportion to its length. How far down a set's order the n-gram stands bounds the overlap, and so the
     size of what the set may link with (``_reach``): a set of many n-grams of its own meets few sets in the lists of
-    others. The join is on the n-gram and the smaller set's size in steps of ``STEP``, to meet only these.
+    others. The join is on the n-gram and the larger set's size in steps of ``STEP``, to meet only these. The smaller set has a row for
+    each step: fewer sets have room for a larger one than for a smaller one, and where one side is the sets outside the largest
+    component, the other is nearly the whole list.
     """
     placed = lists.join(known, lists["name"] == known["node"], "left")
     placed = workspace.save(placed.select("gram", "name", "n", "place", F.coalesce("component", "name").alias("component")), "placed")
@@ -406,9 +409,10 @@ def _open_pairs(lists: DataFrame, known: DataFrame, workspace: Workspace) -> Dat
     def side(rows: DataFrame, letter: str) -> DataFrame:
         return rows.select("gram", "step", *[F.col(c).alias(f"{c}_{letter}") for c in ("name", "n", "component", "is_main", "reach")])
 
-    least, most = F.ceil(F.lit(PERCENT) * F.col("n") / F.lit(100)), F.least("n", "reach")
-    smaller = side(left.where(F.col("reach") >= F.col("n")).withColumn("step", _step(F.col("n"))), "a")
-    larger = side(left.where(least <= most).withColumn("step", F.explode(F.sequence(_step(least), _step(most)))), "b")
+    most = F.least(F.floor(F.col("n") * 100 / F.lit(PERCENT)), F.col("reach"))
+    smaller = side(left.where(F.col("reach") >= F.col("n")).withColumn("step", F.explode(F.sequence(_step(F.col("n")), _step(most)))), "a")
+    least = F.ceil(F.lit(PERCENT) * F.col("n") / F.lit(100))
+    larger = side(left.where(least <= F.least("n", "reach")).withColumn("step", _step(F.col("n"))), "b")
     fits = (F.col("n_b") <= F.col("reach_a")) & (F.col("n_a") <= F.col("reach_b")) & (F.col("n_a") * 100 >= F.col("n_b") * PERCENT)
     once = F.struct("n_a", "name_a") < F.struct("n_b", "name_b")
     open_ = fits & once & (F.col("component_a") != F.col("component_b"))

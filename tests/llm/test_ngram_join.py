@@ -92,3 +92,14 @@ def test_candidates_of_a_group_are_linear(spark, monkeypatch, size):
     assert n <= 4 * size
     if size == 100:
         assert got == plain.near_duplicates(docs)
+
+
+def test_lists_are_shuffled_once(spark, monkeypatch):
+    """Rows are made distinct where the shuffle by n-gram has put them."""
+    plans, save = {}, Workspace.save
+    monkeypatch.setattr(Workspace, "save", lambda self, frame, name, by=None: plans.setdefault(name, frame) and save(self, frame, name, by))
+    words = "a b c d e f g h i j k l m n o p q r s t u v w x y z".split()
+    docs = spark.createDataFrame([(i, " ".join(words[: 20 + i % 5])) for i in range(20)], "doc_id long, text string")
+    with Workspace(spark) as workspace:
+        near_duplicates(docs, workspace).collect()
+        assert plans["lists"]._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
