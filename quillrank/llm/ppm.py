@@ -35,7 +35,7 @@ SYMBOLS = 256
 SMALL = 1  # orders whose counts go to every task: at most 2^16 of them
 GROUP_ROWS = 1 << 19  # windows that are handled together, more for a larger group
 SLICE_BYTES = 1 << 19
-BLOCK_BYTES = 256 << 20  # of text whose distinct windows and words are listed once
+BLOCK_BYTES = 64 << 20  # of text whose distinct windows and words are listed once
 _WINDOW, _WORD = 0, 1
 _END_WORD = np.uint64(0x656E64)
 
@@ -44,12 +44,10 @@ _ROW = {
     "kind": pa.int8(),
     "keys": pa.list_(pa.int64()),
     "counts": pa.list_(pa.int64()),
-    "doc_id": pa.int64(),
-    "held_out": pa.bool_(),
-    "text": pa.string(),
+    "texts": pa.binary(),
     "is_row": pa.bool_(),
 }
-_SCHEMA = "block long, kind byte, keys array<long>, counts array<long>, doc_id long, held_out boolean, text string, is_row boolean"
+_SCHEMA = "block long, kind byte, keys array<long>, counts array<long>, texts binary, is_row boolean"
 
 
 def windows(words: Words, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -77,8 +75,22 @@ def word_keys(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return out, first + np.arange(len(first))
 
 
+def pack(batch: pa.RecordBatch) -> bytes:
+    """Rows as a compressed value: texts are written, shuffled and sorted, and take a fraction of their bytes meanwhile."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpack(values: pa.Array) -> Iterator[pa.RecordBatch]:
+    for value in values:
+        with pa.ipc.open_stream(value.as_buffer()) as reader:
+            yield from reader
+
+
 def _listed(order: int):
-    """The texts with their block, and per block its distinct windows and words with their counts in training texts."""
+    """The texts, packed, with their block, and per block its distinct windows and words with their counts in training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = Block(BLOCK_BYTES)
@@ -91,8 +103,7 @@ def _listed(order: int):
                 block.count(kind, used, n)
                 unused = np.setdiff1d(keys[~trains], used)  # to be scored, but not counted
                 block.count(kind, unused, np.zeros(len(unused), np.int64))
-            texts = {name: batch.column(name) for name in ("doc_id", "held_out", "text")}
-            yield _batch(len(batch), block=np.full(len(batch), block.number), is_row=np.ones(len(batch), bool), **texts)
+            yield _batch(1, block=[block.number], is_row=[True], texts=[pack(batch.select(["doc_id", "held_out", "text"]))])
             if block.is_full(len(words.data)):
                 yield from (_batch(1, is_row=[False], **columns) for columns in block.lists())
         yield from (_batch(1, is_row=[False], **columns) for columns in block.lists())
@@ -207,7 +218,7 @@ def _scored(order: int, n_tokens: int, n_distinct: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (window_costs, word_counts), rows in by_block(batches, 2):
-            for batch in slices(iter([rows]), size=SLICE_BYTES):
+            for batch in unpack(rows.column("texts")):
                 words = cut(batch.column("text"), lower=True)
                 keys, first = windows(words, order)
                 below = np.concatenate([[0.0], np.cumsum(window_costs.of(keys))])
@@ -264,7 +275,7 @@ def scored(documents: DataFrame, workspace: Workspace, order: int = ORDER) -> Da
         words.select("kind", "key", F.col("total").cast("double").alias("value"))
     )
     values = workspace.save(values, "values")
-    rows = saved.where("is_row").select("block", "doc_id", "held_out", "text")
+    rows = saved.where("is_row").select("block", "texts")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     out = answered_packed(listed, values, rows).mapInArrow(_scored(order, n_tokens, n_distinct), schema)
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 
 from quillrank import Workspace
-from quillrank.llm import blocks
+from quillrank.llm import blocks, ppm
 from quillrank.llm.blocks import by_block
 from quillrank.llm.ppm import Level, costs, mask, scored
 from quillrank.sources.tables import read_table
@@ -128,3 +128,18 @@ def test_a_block_takes_little_more_than_its_table():
     tracemalloc.stop()
     assert len(rows) == 1 and (values.of(keys) == keys / 7).all() and not len(none.keys)
     assert peak < 2.6 * 16 * n
+
+
+def test_texts_of_a_block_travel_packed(monkeypatch):
+    """What a block's texts take in a task, on disk and in the shuffle is a part of their bytes; they come back whole."""
+    monkeypatch.setattr(blocks.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    rng = random.Random(5)
+    some = ["some", "words", "that", "texts", "repeat", "Straße", "中文"]
+    texts = [" ".join(rng.choices(some, k=rng.randrange(900))) for _ in range(800)] + [None, "", " "]
+    ids = [*range(len(texts) - 1), None]
+    given = pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "held_out": [i % 7 == 2 for i in range(len(texts))], "text": texts})
+    out = pa.Table.from_batches(list(ppm._listed(5)(iter([given.slice(0, 300), given.slice(300)]))))
+    rows = out.filter(out["is_row"])
+    assert sum(len(value) for value in rows["texts"].to_pylist()) < sum(len((t or "").encode()) for t in texts) / 2
+    back = [row for chunk in rows["texts"].chunks for batch in ppm.unpack(chunk) for row in batch.to_pylist()]
+    assert back == given.to_pylist()
