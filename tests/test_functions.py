@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quillrank.functions.porter import stem
 from quillrank.functions.stopwords import ENGLISH
 from quillrank.functions.text import TokenRules, remove_stopwords, tokenize
-from quillrank.functions.titles import title_distance, titles_alike
+from quillrank.functions.titles import edits, title_distance, titles_alike
 from quillrank.functions.weighting import dph
 from tests import plain
 
@@ -140,3 +140,20 @@ def test_dph_limits(spark):
     assert score(spark, 1, 100, 10, 10.0, 10) < 0
     assert score(spark, 1, 20, 10, 10.0, 10, "integer") == float("-inf")
     assert score(spark, 3, 20, 3, 10.0, 10, "integer") == 0.0
+
+
+def test_edit_distances_of_many_texts_at_once(spark):
+    """Texts side by side do not disturb each other, and a column gives what Spark's own function does."""
+    rng = random.Random(7)
+    rows = []
+    for n in range(60):
+        letters = "ab" if n % 2 else "aß中\U0001f600. \0"
+        text = None if n == 9 else "".join(rng.choices(letters, k=rng.randrange(50)))
+        rows += [(text, "".join(rng.choices(letters, k=rng.randrange(80)))) for _ in range(rng.randrange(6))]
+        rows += [(text, other) for other in (text, "", None)]
+    assert edits("kitten", ["sitting", "", "kitten", "mitten"]) == [3, 6, 0, 1] and edits("", ["ab", ""]) == [2, 0]
+    longer = F.greatest(F.char_length("a"), F.char_length("b"))
+    both = spark.createDataFrame(rows, "a string, b string").select(
+        title_distance(F.col("a"), F.col("b")).alias("got"), F.try_divide(F.levenshtein("a", "b"), longer).alias("want")
+    )
+    assert len(rows) > 200 and all(row["got"] == row["want"] for row in both.collect())
