@@ -117,3 +117,12 @@ def test_rejects_have_a_reason(spark, tmp_path):
     assert {r["value"]: r["reason"] for r in rejects.collect()} == {k: v for k, v in lines.items() if v}
     assert sorted(r["id"] or "" for r in articles.collect()) == ["", "7", "a", "h"]
     assert read_with_rejects(spark, str(path), RANKED_FIELDS)[1].where("reason = 'contents.kicker'").count() == 0
+
+
+def test_a_line_is_parsed_once(spark, tmp_path):
+    """Once by the schema and once as a variant, whatever is asked of it afterwards."""
+    (tmp_path / "lines").write_text('{"id":"1","contents":[{"content":"a"}]}\n{"id":{}}\n')
+    for frame, rows in zip(read_with_rejects(spark, str(tmp_path / "lines")), (1, 1)):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 1 and plan.count("parseJson(") == 1
+        assert frame.count() == rows
