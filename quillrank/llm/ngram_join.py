@@ -39,7 +39,8 @@ CHUNK = 1 << 16  # cells in a row of it
 STEP = 1.03  # ratio of sizes that are joined together
 STEPS = 8  # levels per doubling of a count
 FRAGMENTS = 4  # of the n-grams that are not frequent; these are a last one
-_BUFFER = 1 << 21
+SLICE_BYTES = 1 << 19  # of text at once; shingles take some 100 times that
+_BUFFER = 1 << 19
 _SEEN = 1 << 20
 
 
@@ -139,7 +140,7 @@ def _describe(share: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter, unseen, table = Counter(int(2 / share)), Unseen(), np.zeros(SLOTS, np.uint16)
-        for batch in slices(batches):
+        for batch in slices(batches, size=SLICE_BYTES):
             grams, first = shingle_sets(batch.column("text"))
             names = set_names(grams, first)
             counter.add(grams)
@@ -223,7 +224,7 @@ def _prefixes(order: Order):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unseen = Unseen()
-        for batch in slices(batches):
+        for batch in slices(batches, size=SLICE_BYTES):
             grams, first = shingle_sets(batch.column("text"))
             sizes, names = np.diff(first), set_names(grams, first)
             owners = np.repeat(np.arange(len(sizes)), sizes)
@@ -272,7 +273,7 @@ def _segments(order: Order, wanted: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unseen = Unseen()
-        for batch in slices(batches):
+        for batch in slices(batches, size=SLICE_BYTES):
             grams, first = shingle_sets(batch.column("text"))
             names = set_names(grams, first)
             take = maybe(wanted, names)

@@ -1,5 +1,8 @@
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from quillrank import Workspace
@@ -103,3 +106,20 @@ def test_lists_are_shuffled_once(spark, monkeypatch):
     with Workspace(spark) as workspace:
         near_duplicates(docs, workspace).collect()
         assert plans["lists"]._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+@pytest.mark.parametrize("work", ["describe", "prefixes", "segments"])
+def test_task_in_little_memory(monkeypatch, work):
+    """What a task holds beside its input does not grow with the batches that it is sent, here of 6 MB of text."""
+    monkeypatch.setattr(ngram_join, "maybe", lambda wanted, names: np.ones(len(names), bool))
+    order = ngram_join.Order(np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    run = {"describe": ngram_join._describe(1e-5), "prefixes": ngram_join._prefixes(order), "segments": ngram_join._segments(order, None)}[work]
+    words = [f"w{x:05}" for x in np.random.default_rng(5).integers(0, 100000, 900000).tolist()]
+    texts = [" ".join(words[i : i + 300]) for i in range(0, len(words), 300)]
+    batch = pa.record_batch({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts)})
+    tracemalloc.start()
+    for _ in run(iter([batch] * 3)):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6, peak
