@@ -138,6 +138,14 @@ def _descend(model: Model, rows: pd.DataFrame, rate: float, weight: dict[int, fl
     return model
 
 
+def averaged(parts: pd.DataFrame) -> pd.DataFrame:
+    """The mean of a round's models, each by the rows that it was learned from: the driver is sent this one only."""
+    parts = parts.sort_values("shard")
+    weights = parts["rows"].to_numpy(np.float64)
+    stack = np.stack([np.frombuffer(model, np.float32) for model in parts["model"]])
+    return pd.DataFrame({"model": [(weights / weights.sum() @ stack).astype(np.float32).tobytes()]})
+
+
 def train(documents: DataFrame, labels: DataFrame, workspace: Workspace, per_label: int = SAMPLE_PER_LABEL) -> Model:
     """Learn ``quality`` of ``labels`` from the texts of ``documents``, at most ``2 * per_label`` of them."""
     ids = F.broadcast(training_ids(labels, per_label))  # that many rows
@@ -163,12 +171,11 @@ def train(documents: DataFrame, labels: DataFrame, workspace: Workspace, per_lab
                 model = _descend(model, rows.iloc[order], rate, weight)
             return pd.DataFrame({"shard": rows["shard"].iloc[:1], "rows": [len(rows)], "model": [model.pack()]})
 
-        parts = dealt.groupBy("shard").applyInPandas(fit, "shard int, rows long, model binary").orderBy("shard").collect()
-        if not parts:
+        parts = dealt.groupBy("shard").applyInPandas(fit, "shard int, rows long, model binary")
+        found = parts.groupBy().applyInPandas(averaged, "model binary").collect()
+        if not found:
             break
-        weights = np.array([part.rows for part in parts], dtype=np.float64)
-        stack = np.stack([np.frombuffer(bytes(part.model), np.float32) for part in parts])
-        model = Model.unpack((weights / weights.sum() @ stack).astype(np.float32).tobytes())
+        model = Model.unpack(found[0].model)
     return model
 
 

@@ -1,6 +1,7 @@
 import zlib
 
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 
 from quillrank import Workspace
 from quillrank.llm.quality import accepted, scored, train, training_ids
@@ -58,3 +59,18 @@ def test_missing_labels(spark, where):
         found = scored(docs, train(docs, labels.where(where), workspace, per_label=5)).collect()
         assert all(r["score"] == 0.5 if where == "false" else r["score"] >= 0.5 for r in found)
         assert scored(docs.limit(0), train(docs.limit(0), labels, workspace)).collect() == []
+
+
+def test_driver_is_sent_one_model_a_round(spark, monkeypatch):
+    sent, collect = [], DataFrame.collect
+
+    def watched(frame):
+        rows = collect(frame)
+        sent.append(sum(len(x) for row in rows for x in row if isinstance(x, (bytes, bytearray))))
+        return rows
+
+    monkeypatch.setattr(DataFrame, "collect", watched)
+    docs, labels = small(spark)
+    with Workspace(spark) as workspace:
+        model = train(docs, labels, workspace)
+    assert 0 < max(sent) <= len(model.pack()) and sum(n > 0 for n in sent) == 8
