@@ -11,7 +11,9 @@ overlap of a candidate pair is counted fragment by fragment and summed.
 Links are needed up to connection only. First every set is compared with one other set per shared rare n-gram, the centre of
 its list; then only pairs are left that share a rare n-gram and are not connected yet. Inside a group of near-copies that is
 a number of pairs in proportion to the group. Texts are read again for overlaps, and only sets in candidate pairs are
-shuffled.
+shuffled. In a large corpus most of the pairs that share a rare n-gram are not alike, as the order is the more by chance the
+more n-grams a cell has; so a candidate pair must also be near by its sketches, some bits for an n-gram, which bound the
+overlap from above.
 
 Sets are named by a fingerprint of 64 bits of their n-grams' fingerprints. Equal sets have one name, so exact copies are
 one set throughout. Defined cases: null and empty texts have an empty set, which links with nothing; rows without an id
@@ -69,6 +71,19 @@ def set_names(grams: np.ndarray, first: np.ndarray) -> np.ndarray:
     return mix(sums[first[1:]] - sums[first[:-1]], 12) ^ np.diff(first).astype(np.uint64)
 
 
+def sketches_of(grams: np.ndarray, first: np.ndarray) -> pa.ListArray:
+    """Each set's n-grams counted in cells, of each cell the lowest bit: one to two bits for an n-gram, in a power of two of longs.
+
+    Cells in which two sets differ hold an n-gram that only one of them has, each cell another one.
+    """
+    sizes = np.diff(first)
+    longs = (1 << np.ceil(np.log2(np.maximum(1, -(-sizes // 64)))).astype(np.int64)) * (sizes > 0)
+    start = np.concatenate([[0], np.cumsum(longs)])
+    cells = (mix(grams, 13) & np.repeat(longs * 64 - 1, sizes).astype(np.uint64)).astype(np.int64) + np.repeat(start[:-1] * 64, sizes)
+    odd = (np.bincount(cells, minlength=int(start[-1]) * 64) & 1).astype(np.uint8)
+    return pa.ListArray.from_arrays(pa.array(start, pa.int32()), pa.array(np.packbits(odd, bitorder="little").view(np.int64)))
+
+
 def slots_of(grams: np.ndarray) -> np.ndarray:
     return (grams >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
 
@@ -145,7 +160,8 @@ def _describe(share: float):
             names = set_names(grams, first)
             counter.add(grams)
             add_to(table, grams[np.repeat(unseen(names), np.diff(first))])
-            yield described_rows(len(names), doc_id=batch.column("doc_id"), n=np.diff(first), name=names.view(np.int64))
+            sketch = sketches_of(grams, first)
+            yield described_rows(len(names), doc_id=batch.column("doc_id"), n=np.diff(first), name=names.view(np.int64), sketch=sketch)
         counter.settle()
         often = counter.counts >= max(2, share * counter.total)
         yield described_rows(1, grams=[counter.keys[often].view(np.int64)], counts=[counter.counts[often]])
@@ -164,6 +180,7 @@ _DESCRIBED = {
     "counts": pa.list_(pa.int64()),
     "chunk": pa.int32(),
     "cells": pa.binary(),
+    "sketch": pa.list_(pa.int64()),
 }
 
 
@@ -312,8 +329,28 @@ def overlaps(documents: DataFrame, pairs: DataFrame, n_pairs: int, order: Order,
     return both.groupBy(*pairs.columns).agg(F.sum(part).alias("overlap"))
 
 
-def _compared(documents: DataFrame, pairs: DataFrame, order: Order, workspace: Workspace, name: str) -> DataFrame:
-    candidates = workspace.save_measured(pairs, f"{name}-pairs")
+def _differing(a: Column, b: Column) -> Column:
+    """In how many cells two sketches differ. The longer one is folded to the length of the other, of half as many longs."""
+    size = F.least(F.size(a), F.size(b))
+
+    def folded(sketch: Column) -> Column:
+        halves = F.slice(sketch, F.lit(1), size), F.slice(sketch, size + 1, size)
+        return F.when(F.size(sketch) > size, F.zip_with(*halves, lambda x, y: x.bitwiseXOR(y))).otherwise(sketch)
+
+    differ = F.zip_with(folded(a), folded(b), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.coalesce(F.aggregate(differ, F.lit(0), lambda total, x: total + x), F.lit(0))
+
+
+def _near(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The ``pairs`` that may be alike by their sketches: what differs there at least is not in the overlap."""
+    for side in ("a", "b"):
+        pairs = pairs.join(sketches.select(F.col("name").alias(side), F.col("sketch").alias(f"in_{side}")), side)
+    room = F.col("n_a") + F.col("n_b") - 2 * _least_overlap(F.col("n_a"), F.col("n_b"))
+    return pairs.where(_differing(F.col("in_a"), F.col("in_b")) <= room).select("a", "b", "n_a", "n_b")
+
+
+def _compared(documents: DataFrame, pairs: DataFrame, sketches: DataFrame, order: Order, workspace: Workspace, name: str) -> DataFrame:
+    candidates = workspace.save_measured(_near(pairs, sketches), f"{name}-pairs")
     if not candidates.rows:
         return candidates.frame.withColumn("overlap", F.lit(0).cast("long"))
     return workspace.save(overlaps(documents, candidates.frame, candidates.rows, order, workspace), name)
@@ -330,17 +367,19 @@ def near_duplicates(documents: DataFrame, workspace: Workspace, frequent: float
     smallest id that links reach.
     """
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "doc_id long, n long, name long, grams array<long>, counts array<long>, chunk int, cells binary"
+    schema = "doc_id long, n long, name long, grams array<long>, counts array<long>, chunk int, cells binary, sketch array<long>"
     described = workspace.save(documents.mapInArrow(_describe(frequent), schema), "sets")
     sets = described.where(F.col("n").isNotNull()).select("doc_id", "n", "name")
     total = described.agg(F.sum("n")).first()[0] or 0
     order = frequent_rows(described, frequent * total)
     order.levels = levels_of(described)
 
+    sketches = described.where(F.col("n") > 0).groupBy("name").agg(F.first("sketch").alias("sketch"))  # copies are equal
+    sketches = workspace.save(sketches, "sketches")
     lists = _weighted(_shared_prefixes(documents, order, workspace), workspace)
-    stars = _compared(documents, _star_pairs(lists, workspace), order, workspace, "stars")
+    stars = _compared(documents, _star_pairs(lists, workspace), sketches, order, workspace, "stars")
     known = workspace.save(components(_linked(stars), workspace), "known")
-    rest = _compared(documents, _open_pairs(lists, known, workspace), order, workspace, "open")
+    rest = _compared(documents, _open_pairs(lists, known, workspace), sketches, order, workspace, "open")
     joined = known.select(F.col("node").alias("a"), F.col("component").alias("b")).union(_linked(rest))
     return _labelled(sets, workspace.save(components(joined, workspace), "components"), workspace)
 

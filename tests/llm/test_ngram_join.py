@@ -4,6 +4,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from quillrank import Workspace
 from quillrank.llm.components import components
@@ -123,3 +124,32 @@ def test_task_in_little_memory(monkeypatch, work):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 100e6, peak
+
+
+def test_sketches_bound_the_difference(spark):
+    """Sets of all sizes, empty ones and pairs whose sketches have not the same length."""
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64)) for size in (1, 3, 64, 65, 70, 130, 500, 520, 3000)]
+    sets += [np.unique(np.concatenate([x[: len(x) * 9 // 10], rng.integers(0, 1 << 63, len(x) // 10).astype(np.uint64)])) for x in sets]
+    sets = [np.zeros(0, np.uint64), *sets]
+    sketches = ngram_join.sketches_of(np.concatenate(sets), np.cumsum([0, *map(len, sets)])).to_pylist()
+    assert [len(x) for x in sketches[:9]] == [0, 1, 1, 1, 2, 2, 4, 8, 16]
+    rows = [(i, j, sketches[i], sketches[j]) for i in range(len(sets)) for j in range(len(sets)) if 0.5 <= (len(sketches[i]) or 9) / (len(sketches[j]) or 9) <= 2]
+    frame = spark.createDataFrame(rows, "i int, j int, a array<long>, b array<long>")
+    found = {(r["i"], r["j"]): r["n"] for r in frame.select("i", "j", ngram_join._differing(F.col("a"), F.col("b")).alias("n")).collect()}
+    assert all(n <= len(np.setxor1d(sets[i], sets[j])) for (i, j), n in found.items())
+    assert found[7, 8] > 150 and found[7, 16] > 40 and found[7, 7] == 0 and any(len(sketches[i]) != len(sketches[j]) for i, j in found)
+
+
+def test_unlike_pairs_are_not_compared(spark, monkeypatch):
+    """Half of two texts is the same, and in an order by chance that comes first in many of them."""
+    monkeypatch.setattr(ngram_join, "levels_of", lambda described: np.zeros(ngram_join.SLOTS, np.uint8))
+    rows, overlaps = [], ngram_join.overlaps
+    monkeypatch.setattr(ngram_join, "overlaps", lambda *a: rows.append(a[1].count()) or overlaps(*a))
+    docs = []
+    for i in range(30):
+        shared = [f"s{i}x{j}" for j in range(150)]
+        docs += [(2 * i + k, " ".join(shared + [f"u{i}x{k}x{j}" for j in range(60)])) for k in (0, 1)]
+    docs += [(100, docs[0][1] + " more"), (101, docs[7][1].replace("x100 ", "new "))]
+    assert run(spark, docs) == plain.near_duplicates(docs)
+    assert sum(rows) <= 6, rows
